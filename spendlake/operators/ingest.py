@@ -11,6 +11,7 @@ against one row per (account, day), which AQE splits when a key is skewed.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendlake.functions.text import account_from_file_name, row_hash
@@ -38,12 +39,15 @@ def typed_rows(rows: DataFrame) -> DataFrame:
         "amount", "sender", "recipient", "name", "description", "balance", "currency",
         "reconciled", "source_file", "row_in_file",
         account_from_file_name(F.col("source_file")).alias("account"),
+        F.col("posting_date_text").isNull().alias("pending"),
     )
 
 
 def posted(typed: DataFrame) -> DataFrame:
-    """Pending rows (no posting date) are not loaded."""
-    return typed.filter(F.col("posting_date").isNotNull())
+    """Pending rows (no posting date) are not loaded.  The test is on the
+    text: a present text either parses or fails the job, and the filter
+    does not re-evaluate the parse."""
+    return typed.filter(~F.col("pending")).drop("pending")
 
 
 def newest_file_wins(rows: DataFrame) -> DataFrame:
@@ -60,18 +64,26 @@ def newest_file_wins(rows: DataFrame) -> DataFrame:
 
 def dedupe_by_key(rows: DataFrame) -> DataFrame:
     """One row per key: the first loaded wins, i.e. highest file name, then
-    earliest position in the file.  ``max_by`` aggregates partially on the
-    map side, so no key ever gathers its duplicates in one task."""
-    order = F.struct(F.col("source_file"), (-F.col("row_in_file")).alias("neg_row"))
-    payload = F.struct(*[c for c in RAW_COLUMNS if c != "transaction_hash"])
-    return (rows.groupBy("transaction_hash")
-            .agg(F.max_by(payload, order).alias("_kept"))
-            .select("transaction_hash", "_kept.*"))
+    earliest position in the file.  ``row_number() == 1`` is planned with a
+    partial WindowGroupLimit before the shuffle, so each map task keeps one
+    row per key and no key gathers its duplicates in one task."""
+    first = W.partitionBy("transaction_hash").orderBy(F.desc("source_file"), F.asc("row_in_file"))
+    return (rows.withColumn("_rn", F.row_number().over(first))
+            .filter(F.col("_rn") == 1).select(*RAW_COLUMNS))
 
 
-def load(rows: DataFrame, with_load_time: bool = True) -> DataFrame:
+def land(rows: DataFrame, landing_path: str) -> DataFrame:
+    """Write typed posted rows once (a landing table in a shared folder) and
+    read them back: the parse runs once, the newest-export aggregate reads
+    three columns only, and lost executors do not re-parse the exports."""
+    posted(typed_rows(rows)).write.mode("overwrite").parquet(landing_path)
+    return rows.sparkSession.read.parquet(landing_path)
+
+
+def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None = None) -> DataFrame:
     """Export rows -> raw transactions (one row per key)."""
-    kept = dedupe_by_key(newest_file_wins(posted(typed_rows(rows))))
+    ready = land(rows, landing_path) if landing_path else posted(typed_rows(rows))
+    kept = dedupe_by_key(newest_file_wins(ready))
     if with_load_time:
         kept = kept.withColumn("loaded_at", F.current_timestamp())
     return kept
@@ -85,7 +97,7 @@ def load_audit(rows: DataFrame) -> DataFrame:
     kept = newest_file_wins(posted(typed))
     parsed = typed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("parsed"),
-        F.count_if(F.col("posting_date").isNull()).alias("pending"))
+        F.count_if(F.col("pending")).alias("pending"))
     per_kept = kept.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
     inserted = dedupe_by_key(kept).groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
     per_file = (parsed.join(per_kept, "source_file", "left").join(inserted, "source_file", "left")

@@ -50,7 +50,7 @@ def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool
     """Exports -> ``raw_transactions``.  Full refresh by default; ``append``
     keeps the stored keys and adds unseen ones."""
     rows = export_rows if export_rows is not None else read_exports(spark, csv_dir)
-    new_raw = ingest.load(rows)
+    new_raw = ingest.load(rows, landing_path=raw_path.rstrip("/") + "_landing")
     if append and _fs_exists(spark, raw_path):
         existing = spark.read.parquet(raw_path)
         ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)

@@ -12,3 +12,12 @@ def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 def read_mart(spark: SparkSession, marts_dir: str, name: str) -> DataFrame:
     """Read a written mart back, read-only."""
     return spark.read.parquet(f"{marts_dir.rstrip('/')}/{name}")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (e.g. one file holding a single row group), so the expression-heavy
+    steps before the first shuffle run in parallel.  A large input already
+    has many splits and is returned unchanged (no extra shuffle)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
