@@ -59,11 +59,17 @@ def _last_position(header: Column, name: str) -> Column:
     return F.when(rpos > 0, F.size(header) - rpos + 1).otherwise(F.lit(0)).cast("int")
 
 
+def _has(header: Column, name: str) -> Column:
+    # The header array is padded with NULL cells; array_contains over NULLs
+    # answers NULL instead of false, so test the compacted array.
+    return F.array_contains(F.array_compact(header), F.lit(name))
+
+
 def _checked_header(header: Column, source_file: Column) -> Column:
     out = header
     for f in reversed(REQUIRED):
         msg = F.concat(F.lit(f"Missing column for field '{f}' in file '"), source_file, F.lit("'"))
-        out = F.when(~F.array_contains(header, F.lit(f)), F.raise_error(msg)).otherwise(out)
+        out = F.when(~_has(header, f), F.raise_error(msg)).otherwise(out)
     return out
 
 
@@ -93,7 +99,7 @@ def read_exports(spark: SparkSession, path: str, mapping: dict[str, str] | None
         pos = _last_position(F.col("header"), name)
         return F.when(F.col("_is_data") & (pos > 0), empty_to_null(F.element_at(F.col("cells"), pos)))
 
-    has_currency = F.array_contains(F.col("header"), F.lit("currency"))
+    has_currency = _has(F.col("header"), "currency")
     bound = rows.select(
         F.nullif(field("posting_date"), F.lit(pending_marker)).alias("posting_date_text"),
         field("amount").alias("_amount_text"),
