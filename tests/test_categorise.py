@@ -1,0 +1,106 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from spendlake import fixed_values as FV
+from spendlake.operators.categorise import categorise, rank_key
+from spendlake.sources.rules import rules_frame
+
+STAGED = "transaction_hash string, transaction_description string, counterparty_name string, transaction_type string"
+
+
+def staged(spark, rows):
+    return spark.createDataFrame([(f"h{i}",) + tuple(r) for i, r in enumerate(rows)], STAGED)
+
+
+CASES = [
+    ("NETTO 123", None, "debit", "CAT001", "Matched"),
+    ("Coffee Shop", None, "debit", "CAT019", "Matched"),
+    ("Rente 2024", None, "credit", "CAT004", "Matched"),
+    ("xyz", "Lidl 7", "debit", "CAT001", "Matched"),
+    ("Pizza Roma", "netto", "debit", "CAT002", "Matched"),
+    ("Barbershop", None, "debit", "CAT003", "Matched"),
+    ("Matas", None, "debit", "CAT011", "Matched"),
+    ("xyz", None, "credit", "CAT999", "Uncategorized"),
+    (None, None, "debit", "CAT999", "Uncategorized"),
+]
+
+
+@pytest.mark.parametrize("method", ["case", "array", "join"])
+def test_seed_rule_cases(spark, method):
+    df = staged(spark, [c[:3] for c in CASES])
+    got = {r["transaction_hash"]: (r["category_key"], r["categorization_status"])
+           for r in categorise(df, rules_frame(spark), method).collect()}
+    for i, c in enumerate(CASES):
+        assert got[f"h{i}"] == (c[3], c[4]), c
+
+
+def like(text, pattern):
+    """LIKE '%p%' with % and _ as wildcards, as a regex."""
+    import re
+    rx = "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in pattern)
+    return re.search(rx, text, re.S) is not None
+
+
+def brute_force(rows, rules):
+    out = []
+    for desc, name, ttype in rows:
+        best = None
+        for r in sorted(rules, key=rank_key):
+            ptype, value = r[0], r[1]
+            if value is None:
+                continue
+            text = {"description": desc, "name": name}.get(ptype)
+            if ptype == "transaction_type":
+                hit = ttype is not None and ttype.lower() == value.lower()
+            elif ptype in ("description", "name"):
+                hit = text is not None and like(text.lower(), value.lower())
+            else:
+                hit = False
+            if hit:
+                best = r
+                break
+        key = best[2] if best else None
+        out.append((key or "CAT999", "Matched" if key is not None else "Uncategorized"))
+    return out
+
+
+words = st.sampled_from(["ab", "Ab", "b", "abc", "x_y", "x%y", "xay", "ø", "Ø", "ring", "c"])
+texts = st.one_of(st.none(), st.lists(words, min_size=0, max_size=3).map(" ".join))
+rule = st.tuples(st.sampled_from(["description", "name", "transaction_type", "other"]),
+                 st.one_of(st.none(), words, st.sampled_from(["debit", "CREDIT"])),
+                 st.one_of(st.none(), st.sampled_from(["CAT001", "CAT002", "CAT003"])),
+                 st.one_of(st.none(), st.sampled_from([50, 90, 100])))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(texts, texts, st.sampled_from(["debit", "credit"])), min_size=1, max_size=12),
+       rules=st.lists(rule, min_size=0, max_size=8))
+def test_forms_agree_with_brute_force(spark, rows, rules):
+    df = staged(spark, rows)
+    rf = spark.createDataFrame(rules, "pattern_type string, pattern_value string, category_key string, priority int")
+    want = brute_force(rows, rules)
+    for method in ("case", "array", "join"):
+        got = {r["transaction_hash"]: (r["category_key"], r["categorization_status"])
+               for r in categorise(df, rf, method).collect()}
+        assert [got[f"h{i}"] for i in range(len(rows))] == want, method
+
+
+def test_many_rules_use_array_form_and_agree(spark):
+    rng = random.Random(7)
+    rules = [("description", f"w{rng.randrange(400)}", f"CAT{rng.randrange(1, 22):03d}", rng.choice([50, 90, 100]))
+             for _ in range(300)]
+    rows = [(" ".join(f"w{rng.randrange(400)}" for _ in range(3)), None, "debit") for _ in range(50)]
+    df = staged(spark, rows)
+    rf = spark.createDataFrame(rules, "pattern_type string, pattern_value string, category_key string, priority int")
+    auto = {r[0]: r[1] for r in categorise(df, rf).select("transaction_hash", "category_key").collect()}
+    join = {r[0]: r[1] for r in categorise(df, rf, "join").select("transaction_hash", "category_key").collect()}
+    assert auto == join
+    assert [auto[f"h{i}"] for i in range(len(rows))] == [k for k, _ in brute_force(rows, rules)]
+
+
+def test_seed_has_56_rules():
+    assert len(FV.DEFAULT_RULES) == 56
+    assert sum(1 for r in FV.DEFAULT_RULES if r[0] == "description") == 49
