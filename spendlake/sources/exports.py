@@ -33,9 +33,13 @@ def _cells_schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
 
 
-def read_cells(spark: SparkSession, path: str, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Positional cells of every record, with file name and file order."""
-    glob = path if path.endswith(".csv") else path.rstrip("/") + "/*.csv"
+def read_cells(spark: SparkSession, path, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """Positional cells of every record, with file name and file order.
+    ``path`` is a directory (its ``*.csv`` files), a file, or a list of files."""
+    if isinstance(path, (list, tuple)):
+        glob = list(path)
+    else:
+        glob = path if path.endswith(".csv") else path.rstrip("/") + "/*.csv"
     df = (spark.read.schema(_cells_schema(max_columns))
           .options(header=False, sep=";", quote='"', escape='"', multiLine=True,
                    encoding="UTF-8", mode="PERMISSIVE", nullValue="", emptyValue="")
@@ -73,7 +77,7 @@ def _checked_header(header: Column, source_file: Column) -> Column:
     return out
 
 
-def read_exports(spark: SparkSession, path: str, mapping: dict[str, str] | None = None,
+def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = None,
                  on_error: str = "fail", pending_marker: str = FV.PENDING_MARKER,
                  default_currency: str = FV.DEFAULT_CURRENCY, max_columns: int = MAX_COLUMNS):
     """Export rows (``schemas.EXPORT_ROWS``) of every CSV in ``path``.
