@@ -145,7 +145,7 @@ def categorise_array(staged: DataFrame, rules: list[tuple]) -> DataFrame:
     df, low = _with_lowered(staged)
     df = df.withColumn("_matches", matching_rules(df, rules, low))
     best = F.get(F.col("_matches"), 0)
-    return (_finish(df, best["category_key"], F.size("_matches") > 0)
+    return (_finish(df, best["category_key"], best["category_key"].isNotNull())
             .drop("_matches").transform(_drop_lowered))
 
 
