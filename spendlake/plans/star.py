@@ -23,11 +23,20 @@ REPORT_COLUMNS = FACT_COLUMNS + DATE_COLUMNS + CATEGORY_COLUMNS + ACCOUNT_COLUMN
 
 def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
                  dim_account: DataFrame) -> DataFrame:
-    """Fact LEFT JOIN date, category, account; one row per fact row."""
+    """Fact LEFT JOIN date, category, account; one row per fact row.
+
+    The account dimension is made unique on its key (``dropDuplicates``):
+    its join is many-to-one by construction, and Catalyst, knowing the key is
+    distinct, removes the join from every report that uses no account
+    column -- at scale this saves shuffling the fact by account.  Date and
+    category keys are unique by construction (generated calendar, literal
+    rows) and their joins are used by nearly every report; the unique checks
+    cover stored copies."""
     d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
     c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
                     .withColumnRenamed("category_key", "_c_key"))
-    a = dim_account.select("account_key", *ACCOUNT_COLUMNS).withColumnRenamed("account_key", "_a_key")
+    a = (dim_account.select("account_key", *ACCOUNT_COLUMNS).dropDuplicates(["account_key"])
+         .withColumnRenamed("account_key", "_a_key"))
     f = fact.select(*FACT_COLUMNS)
     return (f.join(d, f["date_key"] == d["_d_key"], "left")
              .join(c, f["category_key"] == c["_c_key"], "left")

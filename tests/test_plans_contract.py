@@ -37,6 +37,15 @@ def test_bounded_dimensions_are_broadcast(spark):
     assert p.count("BroadcastHashJoin") >= 2
 
 
+def test_unused_account_join_is_removed(spark):
+    from spendlake.operators import reports
+    m = Model(spark, SF0001)
+    p = reports.expenses_by_category(m.filtered)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_a_key" not in p  # the account dimension is not joined at all
+    q = reports.transaction_list(m.filtered, ["account_number"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_a_key" in q
+
+
 def test_dedupe_limits_groups_before_the_shuffle(spark):
     m = Model(spark, SF0001)
     p = plan(ingest.dedupe_by_key(m.kept))
