@@ -89,10 +89,11 @@ def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None
     return kept
 
 
-def load_audit(rows: DataFrame) -> DataFrame:
+def load_audit(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Per export file: parsed, pending, superseded (an export with a higher
     name supplied the day), duplicate key, inserted and skipped; the row with
-    ``source_file`` NULL is the total."""
+    ``source_file`` NULL is the total.  ``files`` (one ``source_file`` per
+    file, e.g. ``exports.export_files``) adds files without data rows."""
     typed = typed_rows(rows)
     kept = newest_file_wins(posted(typed))
     parsed = typed.groupBy("source_file").agg(
@@ -100,6 +101,10 @@ def load_audit(rows: DataFrame) -> DataFrame:
         F.count_if(F.col("pending")).alias("pending"))
     per_kept = kept.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
     inserted = dedupe_by_key(kept).groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
+    if files is not None:
+        parsed = (files.select("source_file").distinct().join(parsed, "source_file", "left")
+                  .select("source_file", F.coalesce("parsed", F.lit(0)).alias("parsed"),
+                          F.coalesce("pending", F.lit(0)).alias("pending")))
     per_file = (parsed.join(per_kept, "source_file", "left").join(inserted, "source_file", "left")
                 .select("source_file", "parsed", "pending",
                         (F.col("parsed") - F.col("pending") - F.coalesce("kept", F.lit(0))).alias("superseded"),

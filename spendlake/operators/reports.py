@@ -215,3 +215,11 @@ def amount_by_date(frame: DataFrame) -> DataFrame:
 def amount_by_category(frame: DataFrame) -> DataFrame:
     return (frame.filter(F.col("category_name").isNotNull()).groupBy("category_name")
             .agg(_money(F.sum("amount")).alias("amount")))
+
+
+def categories_in_use(dim_category: DataFrame, fact: DataFrame) -> DataFrame:
+    """Category rows that occur in the fact, in display order (semi join
+    against the distinct fact keys, then ``sort_order``)."""
+    used = fact.select("category_key").filter(F.col("category_key").isNotNull()).distinct()
+    return (dim_category.join(used, "category_key", "left_semi")
+            .orderBy("sort_order", "category_key"))

@@ -180,6 +180,8 @@ for _name in ["key_metrics", "key_metrics_text", "income_vs_expenses", "expenses
     register(_name)(_on_filtered(getattr(reports, _name)))
 register("transaction_list")(_on_filtered(lambda f: reports.transaction_list(f)))
 register("transaction_search")(_on_filtered(lambda f: reports.transaction_search(f, SEARCH_TERM)))
+register("categories_in_use")(lambda spark, d: reports.categories_in_use(Model(spark, d).dim_category,
+                                                                       Model(spark, d).fact))
 register("measure_total_amount")(_on_fact(reports.total_amount))
 register("measure_average")(_on_fact(reports.average_transaction))
 register("measures")(_on_fact(reports.measures))

@@ -345,6 +345,8 @@ FROM filtered ORDER BY date_day DESC NULLS LAST, transaction_key""",
 WHERE coalesce(regexp_matches(transaction_description, '{SEARCH_TERM}', 'i'), false)
    OR coalesce(regexp_matches(counterparty_name, '{SEARCH_TERM}', 'i'), false)""",
     "category_list": BASE + " SELECT DISTINCT category_name FROM filtered WHERE category_name IS NOT NULL ORDER BY category_name",
+    "categories_in_use": BASE + """ SELECT * FROM dim_category
+WHERE category_key IN (SELECT category_key FROM fct WHERE category_key IS NOT NULL) ORDER BY sort_order, category_key""",
     "measure_total_amount": BASE + f" SELECT {_money('coalesce(sum(amount), 0)')} AS total_amount FROM fct",
     "measure_average": BASE + f" SELECT {_money('round(avg(absolute_amount), 2)')} AS average_transaction FROM fct",
     "measures": BASE + f""" SELECT {_money('coalesce(sum(amount), 0)')} AS total_amount,

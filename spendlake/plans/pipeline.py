@@ -85,9 +85,12 @@ def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: Data
 def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
                  export_rows: DataFrame | None = None, skip_load: bool = False,
                  skip_models: bool = False, rules: DataFrame | None = None,
-                 calendar=(FV.CALENDAR_START, FV.CALENDAR_END), append: bool = False) -> PipelineResult:
+                 calendar=(FV.CALENDAR_START, FV.CALENDAR_END), append: bool = False,
+                 keep_frame: bool = False) -> PipelineResult:
     """Load (unless skipped or no export exists), build marts and run the
-    checks (unless skipped), and return the report frame over the marts."""
+    checks (unless skipped), and return the report frame over the marts.
+    ``keep_frame`` persists the frame for repeated reports (memory and disk;
+    a lost block is recomputed from the written marts)."""
     raw_path, marts_dir = f"{out_dir}/raw_transactions", f"{out_dir}/marts"
     has_input = export_rows is not None or (csv_dir is not None and _fs_exists(spark, csv_dir, "*.csv"))
     if not skip_load and has_input:
@@ -103,6 +106,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
     else:
         built, checks = build_marts(spark, raw, marts_dir, rules, calendar)
     frame = report_frame(built["fct_transactions"], built["dim_date"], built["dim_category"], built["dim_account"])
+    if keep_frame:
+        frame = frame.persist()
     return PipelineResult(raw, built, checks, frame)
 
 

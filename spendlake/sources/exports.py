@@ -132,3 +132,9 @@ def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = Non
         "source_file", "row_in_file", "posting_date_text", F.col("_amount_text").alias("amount_text"),
         "description", "name")
     return good.select(*columns), rejects
+
+
+def export_files(spark: SparkSession, path, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """One row per export file that has at least a header line (a file with
+    no line at all yields no row, as it yields no transactions)."""
+    return read_cells(spark, path, max_columns).select("source_file").distinct()

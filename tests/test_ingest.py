@@ -107,3 +107,12 @@ def test_adapter_counts(spark):
     assert ingest.posted(typed).count() == 813
     assert ingest.newest_file_wins(ingest.posted(typed)).count() == 569
     assert ingest.load(rows).count() == 555
+
+
+def test_audit_lists_files_without_rows(spark, tmp_path):
+    from spendlake.sources.exports import export_files
+    write_csv(tmp_path / NEW, HEADER, [row("2024/01/10", "-1,00", "a")])
+    write_csv(tmp_path / OLD, HEADER, [])
+    audit = {r["source_file"]: r for r in ingest.load_audit(read_exports(spark, str(tmp_path)),
+                                                            export_files(spark, str(tmp_path))).collect()}
+    assert audit[OLD]["parsed"] == 0 and audit[OLD]["inserted"] == 0 and audit[NEW]["inserted"] == 1

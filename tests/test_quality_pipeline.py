@@ -99,3 +99,17 @@ def test_export_single_file(spark, tmp_path):
     n = pipeline.export_csv(m.fact.limit(5), str(tmp_path / "one"), single_file=True)
     assert n == 5
     assert len([f for f in os.listdir(tmp_path / "one") if f.endswith(".csv")]) == 1
+
+
+def test_rule_seed_csv_and_keep_frame(spark, tmp_path):
+    from spendlake.sources.rules import read_rules_csv
+    seed = tmp_path / "rules.csv"
+    seed.write_text("pattern_type,pattern_value,category_key,priority\ndescription,netto,CAT001,100\n"
+                    "description,\"el og vand\",CAT005,100\n", encoding="utf-8")
+    rules = read_rules_csv(spark, str(seed))
+    assert [tuple(r) for r in rules.collect()] == [("description", "netto", "CAT001", 100),
+                                                   ("description", "el og vand", "CAT005", 100)]
+    res = pipeline.run_pipeline(spark, str(tmp_path / "out"), csv_dir=str(csv_dir(tmp_path)), rules=rules,
+                                keep_frame=True)
+    assert res.frame.is_cached
+    assert {r.category_key for r in res.frame.collect()} == {"CAT001", "CAT999"}
