@@ -33,21 +33,30 @@ def _cells_schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
 
 
-def read_cells(spark: SparkSession, path, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def read_cells(spark: SparkSession, path, max_columns: int = MAX_COLUMNS, split_files: bool = False) -> DataFrame:
     """Positional cells of every record, with file name and file order.
-    ``path`` is a directory (its ``*.csv`` files), a file, or a list of files."""
+    ``path`` is a directory (its ``*.csv`` files), a file, or a list of files.
+
+    By default a file is read whole (quoted fields may hold line breaks), so
+    files are the unit of parallelism.  ``split_files=True`` reads line by
+    line and lets Spark split a large file into byte ranges -- for exports
+    known to hold no quoted line breaks, so that one huge file does not land
+    in one task.  The position in the file is (split start, record id): the
+    id grows with the file position inside a split, the split start orders
+    the splits, whatever partitions they are packed into."""
     if isinstance(path, (list, tuple)):
         glob = list(path)
     else:
         glob = path if path.endswith(".csv") else path.rstrip("/") + "/*.csv"
     df = (spark.read.schema(_cells_schema(max_columns))
-          .options(header=False, sep=";", quote='"', escape='"', multiLine=True,
+          .options(header=False, sep=";", quote='"', escape='"', multiLine=not split_files,
                    encoding="UTF-8", mode="PERMISSIVE", nullValue="", emptyValue="")
           .csv(glob))
     return df.select(
         F.array(*[F.col(f"_c{i}") for i in range(max_columns)]).alias("cells"),
         decode_file_name(F.col("_metadata.file_name")).alias("source_file"),
-        F.monotonically_increasing_id().alias("row_in_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("split_start"),
+                 F.monotonically_increasing_id().alias("record")).alias("row_in_file"),
     )
 
 
@@ -79,14 +88,15 @@ def _checked_header(header: Column, source_file: Column) -> Column:
 
 def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = None,
                  on_error: str = "fail", pending_marker: str = FV.PENDING_MARKER,
-                 default_currency: str = FV.DEFAULT_CURRENCY, max_columns: int = MAX_COLUMNS):
+                 default_currency: str = FV.DEFAULT_CURRENCY, max_columns: int = MAX_COLUMNS,
+                 split_files: bool = False):
     """Export rows (``schemas.EXPORT_ROWS``) of every CSV in ``path``.
 
     Returns the rows, or ``(rows, rejects)`` when ``on_error="reject"``."""
     if on_error not in ("fail", "reject"):
         raise ValueError("on_error must be 'fail' or 'reject'")
     mapping = dict(FV.HEADER_TO_FIELD if mapping is None else mapping)
-    cells = read_cells(spark, path, max_columns)
+    cells = read_cells(spark, path, max_columns, split_files)
     headers = (cells.groupBy("source_file")
                .agg(F.min_by("cells", "row_in_file").alias("_header"), F.min("row_in_file").alias("_header_row"))
                .select(F.col("source_file").alias("_hfile"), "_header_row",
@@ -123,7 +133,7 @@ def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = Non
                "currency", "reconciled", "source_file", "row_in_file"]
     if on_error == "fail":
         msg = F.concat(F.lit("Empty required value (amount or currency) in file '"), F.col("source_file"),
-                       F.lit("' at record "), F.col("row_in_file").cast("string"))
+                       F.lit("' at record "), F.col("row_in_file.record").cast("string"))
         amount = F.when(bad_amount | bad_currency, F.raise_error(msg)).otherwise(parse_locale_decimal(F.col("_amount_text")))
         return bound.withColumn("amount", amount).select(*columns)
     good = bound.filter(~(bad_amount | bad_currency)).withColumn("amount", parse_locale_decimal(F.col("_amount_text")))

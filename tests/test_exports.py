@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from conftest import HEADER, write_csv
 from spendlake.operators import ingest
-from spendlake.sources.exports import read_exports
+from spendlake.sources.exports import read_cells, read_exports
 
 F1 = "Konto 0718 - 2024-02-01 08.00.00.csv"
 F0 = "Konto 0718 - 2024-01-16 08.00.00.csv"
@@ -111,3 +111,30 @@ def test_hash_and_large_amount(spark, tmp_path):
     write_csv(tmp_path / F1, HEADER, [["2024/01/05", "12.345.678,90", "a", "b", "c", "d", "", "DKK", ""]])
     raw = ingest.load(read_exports(spark, str(tmp_path))).first()
     assert raw["transaction_hash"] == hashlib.md5("2024/01/05|12345678.9|d|c|a|b".encode()).hexdigest()
+
+
+def test_split_large_file_keeps_header_and_order(spark, tmp_path):
+    # One large export read in byte-range splits: the header binds every
+    # split, and the first of two equal rows (by file position) wins.
+    n = 60000
+    rows = [["2024/01/%02d" % (i % 28 + 1), "-%d,00" % (i % 997), "0718", "", "n%d" % (i % 5000), "d%d" % i,
+             "%d,00" % i, "DKK", ""] for i in range(n)]
+    rows.append(["2024/01/01", "-0,00", "0718", "", "n0", "d0", "999999,00", "DKK", ""])  # same key as row 0
+    header = ["Beskrivelse", "Bogføringsdato", "Beløb", "Afsender", "Modtager", "Navn", "Saldo", "Valuta", "Afstemt"]
+    reordered = [[r[5], r[0], r[1], r[2], r[3], r[4], r[6], r[7], r[8]] for r in rows]
+    write_csv(tmp_path / F1, header, reordered)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        cells = read_cells(spark, str(tmp_path), split_files=True)
+        assert cells.rdd.getNumPartitions() > 4
+        got = read_exports(spark, str(tmp_path), split_files=True)
+        assert got.count() == n + 1
+        raw = ingest.load(got)
+        assert raw.count() == n
+        first = raw.filter("description = 'd0'").first()
+        assert first["balance"] == Decimal("0.00") and first["amount"] == Decimal("0.00")
+        whole = ingest.load(read_exports(spark, str(tmp_path)))
+        assert sorted(r.transaction_hash for r in whole.collect()) == sorted(r.transaction_hash for r in raw.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
