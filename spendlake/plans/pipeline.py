@@ -8,6 +8,7 @@ re-runs its tasks from the last shuffle or written table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +19,7 @@ from spendlake.operators import ingest, marts, quality
 from spendlake.operators.categorise import categorise
 from spendlake.operators.staging import stage
 from spendlake.plans.star import report_frame
+from spendlake.session import checkpoint_dir
 from spendlake.sources.exports import read_exports
 from spendlake.sources.rules import rules_frame
 
@@ -45,17 +47,29 @@ class PipelineResult:
     frame: DataFrame
 
 
+def _fs_delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool = False,
-                 export_rows: DataFrame | None = None) -> DataFrame:
+                 export_rows: DataFrame | None = None, split_files: bool = False) -> DataFrame:
     """Exports -> ``raw_transactions``.  Full refresh by default; ``append``
-    keeps the stored keys and adds unseen ones."""
-    rows = export_rows if export_rows is not None else read_exports(spark, csv_dir)
-    new_raw = ingest.load(rows, landing_path=raw_path.rstrip("/") + "_landing")
-    if append and _fs_exists(spark, raw_path):
-        existing = spark.read.parquet(raw_path)
-        ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
-    else:
-        new_raw.write.mode("overwrite").parquet(raw_path)
+    keeps the stored keys and adds unseen ones.  The parsed rows are landed
+    once in the shared checkpoint folder (``spark.checkpoint.dir``) and that
+    run-private table is removed when the raw table is written."""
+    rows = export_rows if export_rows is not None else read_exports(spark, csv_dir, split_files=split_files)
+    landing = f"{checkpoint_dir(spark).rstrip('/')}/spendlake-landing-{uuid.uuid4().hex}"
+    try:
+        new_raw = ingest.load(rows, landing_path=landing)
+        if append and _fs_exists(spark, raw_path):
+            existing = spark.read.parquet(raw_path)
+            ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
+        else:
+            new_raw.write.mode("overwrite").parquet(raw_path)
+    finally:
+        _fs_delete(spark, landing)
     return spark.read.parquet(raw_path)
 
 
