@@ -57,8 +57,11 @@ def newest_file_wins(rows: DataFrame) -> DataFrame:
               .agg(F.max("source_file").alias("_newest_file"))
               .withColumnRenamed("account", "_acct")
               .withColumnRenamed("posting_date", "_day"))
+    # Equi-keys are (account, day) only, so the aggregate's output
+    # partitioning serves the join and only the rows are shuffled.  No file
+    # name exceeds the maximum, so ``>=`` keeps exactly the newest file.
     cond = ((rows["account"] == newest["_acct"]) & (rows["posting_date"] == newest["_day"])
-            & (rows["source_file"] == newest["_newest_file"]))
+            & (rows["source_file"] >= newest["_newest_file"]))
     return rows.join(newest, cond, "left_semi")
 
 
