@@ -27,6 +27,9 @@ FIELDS = ["posting_date", "amount", "sender", "recipient", "name", "description"
           "currency", "reconciled"]
 REQUIRED = [f for f in FIELDS if f != "currency"]
 MAX_COLUMNS = 64
+# Broadcast the per-file header table up to this many files (a row holds the
+# file name and nine small integers).
+BROADCAST_FILES = 100_000
 
 
 def _cells_schema(n: int) -> T.StructType:
@@ -97,10 +100,20 @@ def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = Non
         raise ValueError("on_error must be 'fail' or 'reject'")
     mapping = dict(FV.HEADER_TO_FIELD if mapping is None else mapping)
     cells = read_cells(spark, path, max_columns, split_files)
+    # One row per file: the first record is the header.  It is reduced to the
+    # 1-based cell position of each field (0 = column absent), so the table
+    # has a fixed width per file.  The file listing is already on the driver
+    # (it plans the scan), so the number of files bounds the table's size:
+    # within the bound it is broadcast and no record is shuffled to meet its
+    # header; above it, AQE picks the join at runtime.
     headers = (cells.groupBy("source_file")
                .agg(F.min_by("cells", "row_in_file").alias("_header"), F.min("row_in_file").alias("_header_row"))
                .select(F.col("source_file").alias("_hfile"), "_header_row",
-                       _checked_header(_english(F.col("_header"), mapping), F.col("source_file")).alias("header")))
+                       _checked_header(_english(F.col("_header"), mapping), F.col("source_file")).alias("_h")))
+    headers = headers.select("_hfile", "_header_row",
+                             *[_last_position(F.col("_h"), f).alias(f"_pos_{f}") for f in FIELDS])
+    if len(cells.inputFiles()) <= BROADCAST_FILES:
+        headers = F.broadcast(headers)
     # A data record is any non-header record with a non-empty cell.  Every
     # value (and so every raising check) is NULL for other records, so no
     # filter order chosen by the optimizer can evaluate a check on them.
@@ -110,10 +123,10 @@ def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = Non
             .withColumn("_is_data", is_data).filter(F.col("_is_data")))
 
     def field(name: str) -> Column:
-        pos = _last_position(F.col("header"), name)
+        pos = F.col(f"_pos_{name}")
         return F.when(F.col("_is_data") & (pos > 0), empty_to_null(F.element_at(F.col("cells"), pos)))
 
-    has_currency = _has(F.col("header"), "currency")
+    has_currency = F.col("_pos_currency") > 0
     bound = rows.select(
         F.nullif(field("posting_date"), F.lit(pending_marker)).alias("posting_date_text"),
         field("amount").alias("_amount_text"),
