@@ -57,11 +57,12 @@ def newest_file_wins(rows: DataFrame) -> DataFrame:
               .agg(F.max("source_file").alias("_newest_file"))
               .withColumnRenamed("account", "_acct")
               .withColumnRenamed("posting_date", "_day"))
-    # Equi-keys are (account, day) only, so the aggregate's output
-    # partitioning serves the join and only the rows are shuffled.  No file
-    # name exceeds the maximum, so ``>=`` keeps exactly the newest file.
+    # All three columns are equi-keys, so both join sides come straight from
+    # a shuffle: that is the shape AQE's skew-join rule can split when one
+    # account-day holds a large share of all rows (a join reusing the
+    # aggregate's partitioning saves a small exchange but cannot be split).
     cond = ((rows["account"] == newest["_acct"]) & (rows["posting_date"] == newest["_day"])
-            & (rows["source_file"] >= newest["_newest_file"]))
+            & (rows["source_file"] == newest["_newest_file"]))
     return rows.join(newest, cond, "left_semi")
 
 

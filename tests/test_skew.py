@@ -1,0 +1,65 @@
+"""Hot groups: one account-day holding most rows, one key repeated many times."""
+
+from pyspark.sql import functions as F
+
+from spendlake.operators import ingest
+
+
+def hot_rows(spark, n=40000):
+    ids = spark.range(0, n, numPartitions=8)
+    hot = F.col("id") % 2 == 0  # half of all rows: one account, one day, one file
+    return ids.select(
+        F.when(hot, F.lit("2024/01/10")).otherwise(
+            F.date_format(F.date_add(F.lit("2024-01-01"), (F.col("id") % 300).cast("int")), "yyyy/MM/dd")
+        ).alias("posting_date_text"),
+        # every 4th row repeats one key (same text fields) -> a hot duplicate group
+        F.when(F.col("id") % 4 == 0, F.lit(1)).otherwise(F.col("id")).cast("decimal(18,2)").alias("amount"),
+        F.when(hot, F.lit("0718")).otherwise(F.concat(F.lit("08"), (F.col("id") % 97).cast("string"))).alias("sender"),
+        F.lit(None).cast("string").alias("recipient"),
+        F.lit("n").alias("name"),
+        F.when(F.col("id") % 4 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("description"),
+        F.lit(1).cast("decimal(18,2)").alias("balance"),
+        F.lit("DKK").alias("currency"),
+        F.lit(None).cast("string").alias("reconciled"),
+        F.when(hot, F.lit("Konto 0718 - 2024-02-01.csv"))
+         .otherwise(F.concat(F.lit("Konto 08"), (F.col("id") % 97).cast("string"),
+                             F.when(F.col("id") % 3 == 0, F.lit(" - 2024-02-01.csv")).otherwise(F.lit(" - 2024-01-16.csv"))))
+         .alias("source_file"),
+        F.col("id").alias("row_in_file"),
+    )
+
+
+def test_hot_account_day_is_split_by_aqe(spark):
+    rows = hot_rows(spark)
+    expected = sorted(r.transaction_hash for r in ingest.load(rows, with_load_time=False).collect())
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = ingest.newest_file_wins(ingest.posted(ingest.typed_rows(rows)))
+        kept.collect()  # runs this Dataset's own adaptive plan to its final form
+        final = kept._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final
+        assert "SortMergeJoin(skew=true)" in final or "isSkewJoin=true" in final or "skew=true" in final
+        got = sorted(r.transaction_hash for r in ingest.load(rows, with_load_time=False).collect())
+        assert got == expected
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_duplicate_key_is_reduced_before_the_shuffle(spark):
+    rows = hot_rows(spark)
+    raw = ingest.load(rows, with_load_time=False)
+    assert raw.filter(F.col("description") == "same").count() == 1
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
