@@ -77,28 +77,30 @@ def dedupe_by_key(rows: DataFrame) -> DataFrame:
 
 
 def land(rows: DataFrame, landing_path: str) -> DataFrame:
-    """Write typed posted rows once (a landing table in a shared folder) and
-    read them back: the parse runs once, the newest-export aggregate reads
-    three columns only, and lost executors do not re-parse the exports."""
-    posted(typed_rows(rows)).write.mode("overwrite").parquet(landing_path)
+    """Write typed rows once (a landing table in a shared folder) and read
+    them back: the parse runs once, the newest-export aggregate reads three
+    columns only, and lost executors do not re-parse the exports.  Pending
+    rows are kept (flagged) so the load audit can be computed from it."""
+    typed_rows(rows).write.mode("overwrite").parquet(landing_path)
     return rows.sparkSession.read.parquet(landing_path)
 
 
 def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None = None) -> DataFrame:
     """Export rows -> raw transactions (one row per key)."""
-    ready = land(rows, landing_path) if landing_path else posted(typed_rows(rows))
+    ready = posted(land(rows, landing_path) if landing_path else typed_rows(rows))
     kept = dedupe_by_key(newest_file_wins(ready))
     if with_load_time:
         kept = kept.withColumn("loaded_at", F.current_timestamp())
     return kept
 
 
-def load_audit(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+def load_audit(rows: DataFrame, files: DataFrame | None = None, typed: DataFrame | None = None) -> DataFrame:
     """Per export file: parsed, pending, superseded (an export with a higher
     name supplied the day), duplicate key, inserted and skipped; the row with
     ``source_file`` NULL is the total.  ``files`` (one ``source_file`` per
-    file, e.g. ``exports.export_files``) adds files without data rows."""
-    typed = typed_rows(rows)
+    file, e.g. ``exports.export_files``) adds files without data rows;
+    ``typed`` (a landing table) replaces parsing ``rows`` again."""
+    typed = typed if typed is not None else typed_rows(rows)
     kept = newest_file_wins(posted(typed))
     parsed = typed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("parsed"),

@@ -54,7 +54,8 @@ def _fs_delete(spark: SparkSession, path: str) -> None:
 
 
 def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool = False,
-                 export_rows: DataFrame | None = None, split_files: bool = False) -> DataFrame:
+                 export_rows: DataFrame | None = None, split_files: bool = False,
+                 audit_path: str | None = None) -> DataFrame:
     """Exports -> ``raw_transactions``.  Full refresh by default; ``append``
     keeps the stored keys and adds unseen ones.  The parsed rows are landed
     once in the shared checkpoint folder (``spark.checkpoint.dir``) and that
@@ -68,6 +69,10 @@ def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool
             ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
         else:
             new_raw.write.mode("overwrite").parquet(raw_path)
+        if audit_path:
+            # From the landing table: parsed once, one row per file (+ total).
+            typed = spark.read.parquet(landing)
+            ingest.load_audit(rows, typed=typed).write.mode("overwrite").parquet(audit_path)
     finally:
         _fs_delete(spark, landing)
     return spark.read.parquet(raw_path)
@@ -108,7 +113,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
     raw_path, marts_dir = f"{out_dir}/raw_transactions", f"{out_dir}/marts"
     has_input = export_rows is not None or (csv_dir is not None and _fs_exists(spark, csv_dir, "*.csv"))
     if not skip_load and has_input:
-        load_exports(spark, csv_dir, raw_path, append=append, export_rows=export_rows)
+        load_exports(spark, csv_dir, raw_path, append=append, export_rows=export_rows,
+                     audit_path=f"{out_dir}/load_audit")
     if not _fs_exists(spark, raw_path):
         raise FileNotFoundError(f"no raw table at {raw_path}; load exports first")
     raw = spark.read.parquet(raw_path)
@@ -138,6 +144,12 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
     return int(obs.get["rows"])
 
 
+def export_search(frame: DataFrame, term: str | None, path: str, single_file: bool = False) -> int:
+    """The searched transaction list with all columns, as CSV."""
+    from spendlake.operators.reports import transaction_search
+    return export_csv(transaction_search(frame, term), path, single_file)
+
+
 def export_marts(spark: SparkSession, marts_dir: str, export_dir: str, single_file: bool = False) -> dict[str, int]:
     """All four marts as CSV directories; returns row counts and the total."""
     counts = {}

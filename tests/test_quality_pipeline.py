@@ -58,6 +58,11 @@ def test_run_pipeline_end_to_end(spark, tmp_path):
     assert cats == {"Netto 123": ("Groceries", "Matched"), "Løn januar": ("Salary", "Matched"),
                     "Coffee Shop": ("Bank Fees", "Matched")}
     assert res.raw.filter(F.col("loaded_at").isNull()).count() == 0
+    audit = {r.source_file: r for r in spark.read.parquet(f"{out}/load_audit").collect()}
+    assert audit[None].parsed == 5 and audit[None].pending == 1 and audit[None].superseded == 1
+    assert audit[None].inserted == 3
+    n = pipeline.export_search(res.frame, "netto|coffee", str(tmp_path / "search"))
+    assert n == 2
     # skip the load (no exports needed), then skip the models too
     res2 = pipeline.run_pipeline(spark, out, skip_load=True)
     assert res2.frame.count() == 3
