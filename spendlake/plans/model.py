@@ -11,7 +11,7 @@ from spendlake import fixed_values as FV
 from spendlake.operators import filters, ingest, marts
 from spendlake.operators.categorise import categorise
 from spendlake.operators.staging import stage
-from spendlake.plans.star import report_frame
+from spendlake.plans.star import report_frame_same_run
 from spendlake.sources import adapters
 from spendlake.sources.rules import FIXTURE_RULES, rules_frame
 
@@ -89,7 +89,9 @@ class Model:
 
     @cached_property
     def frame(self) -> DataFrame:
-        return report_frame(self.fact, self.dim_date, self.dim_category, self.dim_account)
+        # dim_account is built here from the same staging as the fact, so its
+        # attributes follow from the key (see report_frame_same_run).
+        return report_frame_same_run(self.fact, self.dim_date, self.dim_category)
 
     @cached_property
     def filtered(self) -> DataFrame:

@@ -18,7 +18,7 @@ from spendlake import fixed_values as FV
 from spendlake.operators import ingest, marts, quality
 from spendlake.operators.categorise import categorise
 from spendlake.operators.staging import stage
-from spendlake.plans.star import report_frame
+from spendlake.plans.star import report_frame, report_frame_same_run
 from spendlake.session import checkpoint_dir
 from spendlake.sources.exports import read_exports
 from spendlake.sources.rules import rules_frame
@@ -125,7 +125,12 @@ def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
         built = {n: spark.read.parquet(f"{marts_dir}/{n}") for n in MART_NAMES}
     else:
         built, checks = build_marts(spark, raw, marts_dir, rules, calendar)
-    frame = report_frame(built["fct_transactions"], built["dim_date"], built["dim_category"], built["dim_account"])
+    if skip_models:
+        frame = report_frame(built["fct_transactions"], built["dim_date"], built["dim_category"],
+                             built["dim_account"])
+    else:
+        # Built in this run and checked (relationships): no account join needed.
+        frame = report_frame_same_run(built["fct_transactions"], built["dim_date"], built["dim_category"])
     if keep_frame:
         frame = frame.persist()
     return PipelineResult(raw, built, checks, frame)

@@ -38,14 +38,26 @@ def test_bounded_dimensions_are_broadcast(spark):
 
 
 def test_unused_account_join_is_removed(spark):
-    from spendlake.operators import reports
+    from spendlake.operators import filters, reports
+    from spendlake.plans.star import report_frame
     m = Model(spark, SF0001)
-    p = reports.expenses_by_category(m.filtered)._jdf.queryExecution().optimizedPlan().toString()
+    stored = filters.dashboard(report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account))
+    p = reports.expenses_by_category(stored)._jdf.queryExecution().optimizedPlan().toString()
     assert "_a_key" not in p  # the account dimension is not joined at all
-    q = reports.transaction_list(m.filtered, ["account_number"])._jdf.queryExecution().optimizedPlan().toString()
+    q = reports.transaction_list(stored, ["account_number"])._jdf.queryExecution().optimizedPlan().toString()
     assert "_a_key" in q
 
 
+def test_same_run_frame_equals_joined_frame(spark):
+    from spendlake.plans.star import report_frame
+    m = Model(spark, SF0001)
+    joined = report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account)
+    assert "_a_key" not in m.frame._jdf.queryExecution().optimizedPlan().toString()
+    def rows(df):
+        return sorted(tuple("" if v is None else str(v) for v in r) for r in df.select(*joined.columns).collect())
+    assert rows(m.frame) == rows(joined)
+
+
 def test_dedupe_limits_groups_before_the_shuffle(spark):
     m = Model(spark, SF0001)
     p = plan(ingest.dedupe_by_key(m.kept))
