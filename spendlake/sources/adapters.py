@@ -37,7 +37,7 @@ def events_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every event is one row; every 50th event is exported a second time
     (``copy`` = 1, other balance) so the key dedupe has work.  Description and
     name come from ``part`` / ``customer`` by modular keys."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"), "event_id")
     copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     ev = ev.withColumn("copy", F.explode(copies))
     part = (table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -69,7 +69,7 @@ def lineitem_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows over ``lineitem`` joined to its dimensions (bench adapter)."""
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
