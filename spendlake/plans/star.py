@@ -23,8 +23,11 @@ FACT_COLUMNS = [
 REPORT_COLUMNS = FACT_COLUMNS + DATE_COLUMNS + CATEGORY_COLUMNS + ACCOUNT_COLUMNS
 
 
+ACCOUNT_BROADCAST_ROWS = 1_000_000
+
+
 def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
-                 dim_account: DataFrame) -> DataFrame:
+                 dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS) -> DataFrame:
     """Fact LEFT JOIN date, category, account; one row per fact row.
 
     The account dimension is made unique on its key (``dropDuplicates``):
@@ -39,6 +42,11 @@ def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
                     .withColumnRenamed("category_key", "_c_key"))
     a = (dim_account.select("account_key", *ACCOUNT_COLUMNS).dropDuplicates(["account_key"])
          .withColumnRenamed("account_key", "_a_key"))
+    # A stored dimension's row count comes from file footers (one cheap job,
+    # at most bound+1 rows counted).  Within the bound it is broadcast, so a
+    # hot account cannot skew the join; beyond it AQE plans the join.
+    if account_broadcast_rows and dim_account.limit(account_broadcast_rows + 1).count() <= account_broadcast_rows:
+        a = F.broadcast(a)
     f = fact.select(*FACT_COLUMNS)
     return (f.join(d, f["date_key"] == d["_d_key"], "left")
              .join(c, f["category_key"] == c["_c_key"], "left")
