@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.operators import ingest
+from spendlake.plans.pipeline import _fs_exists
 from spendlake.sources.exports import read_exports
 
 
@@ -27,11 +28,10 @@ def _append_batch(raw_path: str):
         if not paths:
             return
         new_raw = ingest.load(read_exports(spark, paths))
-        try:
-            existing = spark.read.parquet(raw_path)
-        except Exception:  # first batch: no table yet
+        if not _fs_exists(spark, raw_path):  # first batch: no table yet
             new_raw.write.mode("append").parquet(raw_path)
             return
+        existing = spark.read.parquet(raw_path)
         ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
     return run
 
