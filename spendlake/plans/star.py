@@ -1,9 +1,10 @@
 """Star join: the denormalised report frame.
 
 Date and category dimensions are bounded by construction (calendar range,
-literal rows) and are broadcast.  The account dimension grows with the data,
-so its join strategy is left to AQE (broadcast when the runtime size allows,
-otherwise a shuffle join whose skewed partitions AQE splits)."""
+literal rows) and are broadcast.  The account dimension grows with the data:
+it is broadcast within a counted bound, and joined on (account, salt) beyond
+it, so a hot account never lands in one task; either way the account side is
+unique on its join keys, so reports without account columns skip the join."""
 
 from __future__ import annotations
 
@@ -24,33 +25,49 @@ REPORT_COLUMNS = FACT_COLUMNS + DATE_COLUMNS + CATEGORY_COLUMNS + ACCOUNT_COLUMN
 
 
 ACCOUNT_BROADCAST_ROWS = 1_000_000
+ACCOUNT_SALTS = 64
+
+
+def _accounts(fact: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, salts: int):
+    """Fact with the join columns, and the account side, for a left join that
+    Catalyst can drop when no account column is used (the account side is
+    unique on the join keys).
+
+    Within ``broadcast_rows`` (counted from file footers, at most bound+1 rows)
+    the unique dimension is broadcast, so no account can skew the join.
+    Beyond it the join is salted: each fact row takes one of ``salts`` salts
+    from its transaction key, the dimension is replicated once per salt, and
+    the join runs on (account, salt) -- a hot account is spread over
+    ``salts`` partitions instead of one."""
+    a = dim_account.select(F.col("account_key").alias("_a_key"), *ACCOUNT_COLUMNS)
+    small = (broadcast_rows is not None and broadcast_rows > 0
+             and dim_account.limit(broadcast_rows + 1).count() <= broadcast_rows)
+    if small:
+        return fact, F.broadcast(a.dropDuplicates(["_a_key"])), (fact["account_key"] == F.col("_a_key"))
+    f = fact.withColumn("_salt", F.pmod(F.xxhash64("transaction_key"), F.lit(salts)).cast("int"))
+    a = (a.withColumn("_a_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+          .dropDuplicates(["_a_key", "_a_salt"]))
+    return f, a, (f["account_key"] == F.col("_a_key")) & (f["_salt"] == F.col("_a_salt"))
 
 
 def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
-                 dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS) -> DataFrame:
+                 dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS,
+                 account_salts: int = ACCOUNT_SALTS) -> DataFrame:
     """Fact LEFT JOIN date, category, account; one row per fact row.
 
-    The account dimension is made unique on its key (``dropDuplicates``):
-    its join is many-to-one by construction, and Catalyst, knowing the key is
-    distinct, removes the join from every report that uses no account
-    column -- at scale this saves shuffling the fact by account.  Date and
-    category keys are unique by construction (generated calendar, literal
-    rows) and their joins are used by nearly every report; the unique checks
-    cover stored copies."""
+    The account side is unique on its join keys, so the join is many-to-one
+    by construction and Catalyst removes it from every report that uses no
+    account column -- at scale this saves shuffling the fact by account.
+    Date and category keys are unique by construction (generated calendar,
+    literal rows) and their joins are used by nearly every report; the unique
+    checks cover stored copies."""
     d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
     c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
                     .withColumnRenamed("category_key", "_c_key"))
-    a = (dim_account.select("account_key", *ACCOUNT_COLUMNS).dropDuplicates(["account_key"])
-         .withColumnRenamed("account_key", "_a_key"))
-    # A stored dimension's row count comes from file footers (one cheap job,
-    # at most bound+1 rows counted).  Within the bound it is broadcast, so a
-    # hot account cannot skew the join; beyond it AQE plans the join.
-    if account_broadcast_rows and dim_account.limit(account_broadcast_rows + 1).count() <= account_broadcast_rows:
-        a = F.broadcast(a)
-    f = fact.select(*FACT_COLUMNS)
+    f, a, on = _accounts(fact.select(*FACT_COLUMNS), dim_account, account_broadcast_rows, account_salts)
     return (f.join(d, f["date_key"] == d["_d_key"], "left")
              .join(c, f["category_key"] == c["_c_key"], "left")
-             .join(a, f["account_key"] == a["_a_key"], "left")
+             .join(a, on, "left")
              .select(*REPORT_COLUMNS))
 
 

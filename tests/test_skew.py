@@ -63,3 +63,18 @@ def test_hot_duplicate_key_is_reduced_before_the_shuffle(spark):
     assert raw.filter(F.col("description") == "same").count() == 1
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_account_spreads_over_salts(spark):
+    from spendlake.plans.star import _accounts
+    fact = spark.range(0, 20000, numPartitions=4).select(
+        F.col("id").cast("string").alias("transaction_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("account_key"))
+    dim = fact.select(F.col("account_key"), F.col("account_key").alias("account_number"),
+                      F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct()
+    f, a, on = _accounts(fact, dim, 0, 16)
+    joined = f.join(a, on, "left")
+    hot = joined.filter(F.col("account_key") == "hot")
+    assert hot.count() == fact.filter(F.col("account_key") == "hot").count()
+    assert hot.filter(F.col("account_number") == "hot").count() == hot.count()
+    assert hot.select("_salt").distinct().count() == 16  # the hot account is spread over 16 keys
