@@ -2,9 +2,10 @@
 
 Date and category dimensions are bounded by construction (calendar range,
 literal rows) and are broadcast.  The account dimension grows with the data:
-it is broadcast within a counted bound, and joined on (account, salt) beyond
-it, so a hot account never lands in one task; either way the account side is
-unique on its join keys, so reports without account columns skip the join."""
+it is broadcast within a counted bound; beyond it hot accounts are joined
+map-side against a broadcast of their few rows and the rest by a shuffle join
+without hot keys.  Every account side is unique on its key, so reports
+without account columns skip the account join entirely."""
 
 from __future__ import annotations
 
@@ -25,37 +26,43 @@ REPORT_COLUMNS = FACT_COLUMNS + DATE_COLUMNS + CATEGORY_COLUMNS + ACCOUNT_COLUMN
 
 
 ACCOUNT_BROADCAST_ROWS = 1_000_000
-ACCOUNT_SALTS = 64
+HOT_ACCOUNT_ROWS = 10_000_000
 
 
-def _accounts(fact: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, salts: int):
-    """Fact with the join columns, and the account side, for a left join that
-    Catalyst can drop when no account column is used (the account side is
-    unique on the join keys).
+def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, hot_rows: int) -> DataFrame:
+    """Left join of the account attributes, in a form Catalyst removes when
+    no account column is used (every account side is unique on its key).
 
-    Within ``broadcast_rows`` (counted from file footers, at most bound+1 rows)
-    the unique dimension is broadcast, so no account can skew the join.
-    Beyond it the join is salted: each fact row takes one of ``salts`` salts
-    from its transaction key, the dimension is replicated once per salt, and
-    the join runs on (account, salt) -- a hot account is spread over
-    ``salts`` partitions instead of one."""
-    a = dim_account.select(F.col("account_key").alias("_a_key"), *ACCOUNT_COLUMNS)
+    Within ``broadcast_rows`` (counted from file footers, at most bound+1
+    rows) the unique dimension is broadcast, so no account can skew the join.
+    Beyond it, accounts with more than ``hot_rows`` fact rows are found by one
+    aggregate (partial on the map side); there are at most rows/``hot_rows``
+    of them, so their dimension rows are broadcast and joined map-side.  For
+    the shuffle join their key is replaced by a unique value that matches
+    nothing, so no key in that join holds more than ``hot_rows`` rows."""
+    a = dim_account.select(F.col("account_key").alias("_a_key"), *ACCOUNT_COLUMNS).dropDuplicates(["_a_key"])
     small = (broadcast_rows is not None and broadcast_rows > 0
              and dim_account.limit(broadcast_rows + 1).count() <= broadcast_rows)
     if small:
-        return fact, F.broadcast(a.dropDuplicates(["_a_key"])), (fact["account_key"] == F.col("_a_key"))
-    f = fact.withColumn("_salt", F.pmod(F.xxhash64("transaction_key"), F.lit(salts)).cast("int"))
-    a = (a.withColumn("_a_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-          .dropDuplicates(["_a_key", "_a_salt"]))
-    return f, a, (f["account_key"] == F.col("_a_key")) & (f["_salt"] == F.col("_a_salt"))
+        return f.join(F.broadcast(a), f["account_key"] == F.col("_a_key"), "left")
+    hot_keys = (f.groupBy("account_key").agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > hot_rows).select(F.col("account_key").alias("_hk")))
+    hot = (a.join(F.broadcast(hot_keys), F.col("_a_key") == F.col("_hk"), "left_semi")
+           .select(F.col("_a_key").alias("_h_key"), *[F.col(c).alias("_h_" + c) for c in ACCOUNT_COLUMNS]))
+    g = f.join(F.broadcast(hot), f["account_key"] == F.col("_h_key"), "left")
+    g = g.withColumn("_j_key", F.when(F.col("_h_key").isNotNull(),
+                                      F.concat(F.lit("\u0000"), F.col("transaction_key")))
+                      .otherwise(F.col("account_key")))
+    g = g.join(a, g["_j_key"] == F.col("_a_key"), "left")
+    return g.withColumns({c: F.coalesce(F.col("_h_" + c), F.col(c)) for c in ACCOUNT_COLUMNS})
 
 
 def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
                  dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS,
-                 account_salts: int = ACCOUNT_SALTS) -> DataFrame:
+                 hot_account_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
     """Fact LEFT JOIN date, category, account; one row per fact row.
 
-    The account side is unique on its join keys, so the join is many-to-one
+    Every account side is unique on its join key, so the join is many-to-one
     by construction and Catalyst removes it from every report that uses no
     account column -- at scale this saves shuffling the fact by account.
     Date and category keys are unique by construction (generated calendar,
@@ -64,11 +71,10 @@ def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
     d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
     c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
                     .withColumnRenamed("category_key", "_c_key"))
-    f, a, on = _accounts(fact.select(*FACT_COLUMNS), dim_account, account_broadcast_rows, account_salts)
-    return (f.join(d, f["date_key"] == d["_d_key"], "left")
-             .join(c, f["category_key"] == c["_c_key"], "left")
-             .join(a, on, "left")
-             .select(*REPORT_COLUMNS))
+    f = fact.select(*FACT_COLUMNS)
+    f = (f.join(d, f["date_key"] == d["_d_key"], "left")
+          .join(c, f["category_key"] == c["_c_key"], "left"))
+    return _with_accounts(f, dim_account, account_broadcast_rows, hot_account_rows).select(*REPORT_COLUMNS)
 
 
 def account_columns(key, bank_name: str = FV.BANK_NAME, checking_prefix: str = FV.CHECKING_PREFIX) -> dict:

@@ -48,20 +48,21 @@ def test_unused_account_join_is_removed(spark):
     assert "_a_key" in q
 
 
-def test_salted_account_join(spark):
+def test_large_account_dimension_join(spark):
     from spendlake.operators import filters, reports
     from spendlake.plans.star import report_frame
     m = Model(spark, SF0001)
-    salted = report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account, account_broadcast_rows=0,
-                          account_salts=4)
+    # force the path for a dimension above the broadcast bound, with tiny hot limit
+    large = report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account, account_broadcast_rows=0,
+                         hot_account_rows=3)
     plain = report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account)
-    p = reports.expenses_by_category(filters.dashboard(salted))._jdf.queryExecution().optimizedPlan().toString()
-    assert "_a_key" not in p and "_salt" not in p  # unused: no join, no salt
+    p = reports.expenses_by_category(filters.dashboard(large))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_a_key" not in p and "_h_key" not in p  # unused: no account join, no hot-key aggregate
     cols = ["transaction_key", "account_number", "bank_name", "account_type"]
     def rows(df):
         return sorted(tuple("" if v is None else str(v) for v in r) for r in df.select(*cols).collect())
-    assert rows(salted) == rows(plain)
-    assert "_a_salt" in salted.select(*cols)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(large) == rows(plain)
+    assert "_h_key" in large.select(*cols)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_same_run_frame_equals_joined_frame(spark):

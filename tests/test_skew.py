@@ -65,16 +65,20 @@ def test_hot_duplicate_key_is_reduced_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_hot_account_spreads_over_salts(spark):
-    from spendlake.plans.star import _accounts
+def test_hot_account_is_joined_map_side(spark):
+    from spendlake.plans.star import _with_accounts
     fact = spark.range(0, 20000, numPartitions=4).select(
         F.col("id").cast("string").alias("transaction_key"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("account_key"))
     dim = fact.select(F.col("account_key"), F.col("account_key").alias("account_number"),
                       F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct()
-    f, a, on = _accounts(fact, dim, 0, 16)
-    joined = f.join(a, on, "left")
+    joined = _with_accounts(fact, dim, 0, 1000)
     hot = joined.filter(F.col("account_key") == "hot")
-    assert hot.count() == fact.filter(F.col("account_key") == "hot").count()
-    assert hot.filter(F.col("account_number") == "hot").count() == hot.count()
-    assert hot.select("_salt").distinct().count() == 16  # the hot account is spread over 16 keys
+    n_hot = fact.filter(F.col("account_key") == "hot").count()
+    assert hot.filter(F.col("account_number") == "hot").count() == hot.count() == n_hot
+    # in the shuffle join every hot row carries its own key: no key holds the hot account
+    assert hot.select("_j_key").distinct().count() == n_hot
+    biggest = joined.groupBy("_j_key").count().agg(F.max("count")).first()[0]
+    assert biggest <= 1000
+    cold = joined.filter(F.col("account_key") != "hot")
+    assert cold.filter(F.col("account_number") == F.col("account_key")).count() == cold.count()
