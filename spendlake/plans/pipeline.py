@@ -18,12 +18,13 @@ from spendlake import fixed_values as FV
 from spendlake.operators import ingest, marts, quality
 from spendlake.operators.categorise import categorise
 from spendlake.operators.staging import stage
-from spendlake.plans.star import report_frame, report_frame_same_run
+from spendlake.plans.star import HOT_ACCOUNT_ROWS, hot_accounts, report_frame, report_frame_same_run
 from spendlake.session import checkpoint_dir
 from spendlake.sources.exports import read_exports
 from spendlake.sources.rules import rules_frame
 
 MART_NAMES = ["dim_account", "dim_category", "dim_date", "fct_transactions"]
+HOT_LIST = "hot_accounts"
 
 
 def _fs_exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:
@@ -79,7 +80,8 @@ def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool
 
 
 def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: DataFrame | None = None,
-                calendar=(FV.CALENDAR_START, FV.CALENDAR_END), run_checks: bool = True):
+                calendar=(FV.CALENDAR_START, FV.CALENDAR_END), run_checks: bool = True,
+                hot_account_rows: int = HOT_ACCOUNT_ROWS):
     """raw -> staged -> categorised -> marts (written), then the 21 checks on
     the written tables; any failing check raises ``quality.ChecksFailed``."""
     rules = rules if rules is not None else rules_frame(spark)
@@ -93,6 +95,9 @@ def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: Data
     for name, df in built.items():
         df.write.mode("overwrite").parquet(f"{marts_dir}/{name}")
     written = {name: spark.read.parquet(f"{marts_dir}/{name}") for name in built}
+    # Accounts too large for one task of the account join (read by report_frame).
+    hot_accounts(written["fct_transactions"], hot_account_rows).write.mode("overwrite").parquet(
+        f"{marts_dir}/{HOT_LIST}")
     checks = None
     if run_checks:
         checks = quality.run_checks(spark, quality.standard_checks(
@@ -126,8 +131,10 @@ def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
     else:
         built, checks = build_marts(spark, raw, marts_dir, rules, calendar)
     if skip_models:
+        hot_path = f"{marts_dir}/{HOT_LIST}"
+        hot = spark.read.parquet(hot_path) if _fs_exists(spark, hot_path) else None
         frame = report_frame(built["fct_transactions"], built["dim_date"], built["dim_category"],
-                             built["dim_account"])
+                             built["dim_account"], hot_list=hot)
     else:
         # Built in this run and checked (relationships): no account join needed.
         frame = report_frame_same_run(built["fct_transactions"], built["dim_date"], built["dim_category"])

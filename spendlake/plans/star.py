@@ -29,7 +29,16 @@ ACCOUNT_BROADCAST_ROWS = 1_000_000
 HOT_ACCOUNT_ROWS = 10_000_000
 
 
-def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, hot_rows: int) -> DataFrame:
+def hot_accounts(fact: DataFrame, hot_rows: int = None) -> DataFrame:
+    """Accounts with more than ``hot_rows`` fact rows (at most rows/hot_rows
+    of them): one aggregate over the key column, partial on the map side."""
+    hot_rows = HOT_ACCOUNT_ROWS if hot_rows is None else hot_rows
+    return (fact.filter(F.col("account_key").isNotNull()).groupBy("account_key")
+            .agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows))
+
+
+def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, hot_rows: int,
+                   hot_list: DataFrame | None = None) -> DataFrame:
     """Left join of the account attributes, in a form Catalyst removes when
     no account column is used (every account side is unique on its key).
 
@@ -45,8 +54,8 @@ def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | N
              and dim_account.limit(broadcast_rows + 1).count() <= broadcast_rows)
     if small:
         return f.join(F.broadcast(a), f["account_key"] == F.col("_a_key"), "left")
-    hot_keys = (f.groupBy("account_key").agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > hot_rows).select(F.col("account_key").alias("_hk")))
+    hot_keys = (hot_list if hot_list is not None else hot_accounts(f, hot_rows)).select(
+        F.col("account_key").alias("_hk"))
     hot = (a.join(F.broadcast(hot_keys), F.col("_a_key") == F.col("_hk"), "left_semi")
            .select(F.col("_a_key").alias("_h_key"), *[F.col(c).alias("_h_" + c) for c in ACCOUNT_COLUMNS]))
     g = f.join(F.broadcast(hot), f["account_key"] == F.col("_h_key"), "left")
@@ -59,7 +68,7 @@ def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | N
 
 def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
                  dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS,
-                 hot_account_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
+                 hot_account_rows: int = HOT_ACCOUNT_ROWS, hot_list: DataFrame | None = None) -> DataFrame:
     """Fact LEFT JOIN date, category, account; one row per fact row.
 
     Every account side is unique on its join key, so the join is many-to-one
@@ -67,14 +76,15 @@ def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
     account column -- at scale this saves shuffling the fact by account.
     Date and category keys are unique by construction (generated calendar,
     literal rows) and their joins are used by nearly every report; the unique
-    checks cover stored copies."""
+    checks cover stored copies.  ``hot_list`` is the stored result of
+    ``hot_accounts`` (written with the marts), so queries need not recount."""
     d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
     c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
                     .withColumnRenamed("category_key", "_c_key"))
     f = fact.select(*FACT_COLUMNS)
     f = (f.join(d, f["date_key"] == d["_d_key"], "left")
           .join(c, f["category_key"] == c["_c_key"], "left"))
-    return _with_accounts(f, dim_account, account_broadcast_rows, hot_account_rows).select(*REPORT_COLUMNS)
+    return _with_accounts(f, dim_account, account_broadcast_rows, hot_account_rows, hot_list).select(*REPORT_COLUMNS)
 
 
 def account_columns(key, bank_name: str = FV.BANK_NAME, checking_prefix: str = FV.CHECKING_PREFIX) -> dict:

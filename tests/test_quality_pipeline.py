@@ -68,6 +68,7 @@ def test_run_pipeline_end_to_end(spark, tmp_path):
     assert res2.frame.count() == 3
     res3 = pipeline.run_pipeline(spark, out, skip_load=True, skip_models=True)
     assert res3.checks is None and res3.frame.count() == 3
+    assert spark.read.parquet(f"{out}/marts/hot_accounts").count() == 0
     counts = pipeline.export_marts(spark, f"{out}/marts", str(tmp_path / "export"))
     assert counts["fct_transactions"] == 3 and counts["dim_category"] == 22 and counts["dim_date"] == 4018
     back = spark.read.options(header=True).csv(str(tmp_path / "export" / "dim_category"))

@@ -82,3 +82,17 @@ def test_hot_account_is_joined_map_side(spark):
     assert biggest <= 1000
     cold = joined.filter(F.col("account_key") != "hot")
     assert cold.filter(F.col("account_number") == F.col("account_key")).count() == cold.count()
+
+
+def test_stored_hot_list_is_used(spark):
+    from spendlake.plans.star import _with_accounts, hot_accounts
+    fact = spark.range(0, 3000, numPartitions=4).select(
+        F.col("id").cast("string").alias("transaction_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("account_key"))
+    dim = fact.select(F.col("account_key"), F.col("account_key").alias("account_number"),
+                      F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct()
+    stored = hot_accounts(fact, 100)
+    assert [r.account_key for r in stored.collect()] == ["hot"]
+    joined = _with_accounts(fact, dim, 0, 100, hot_list=stored)
+    assert joined.filter(F.col("_h_key") == "hot").count() == 1000
+    assert joined.filter(F.col("account_number").isNull()).count() == 0
