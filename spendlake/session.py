@@ -1,16 +1,11 @@
-"""Session settings the library relies on, and lineage cuts.
-
-A cluster brings its own session; ``tuned`` only fills in settings that are
-unset.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session and
-sets a scratch directory only where none is configured (local tests).
-"""
+"""Session settings the library relies on, and the shared scratch folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from runtime sizes,
 # splits skewed partitions and coalesces small ones.
@@ -40,28 +35,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """Fill in unset defaults on an existing session (never overrides)."""
-    for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-    return spark
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a scratch folder only when unset."""
+    """The shared folder named by the session's ``spark.checkpoint.dir``.
+
+    Only a local master, where driver and executors are one process, gets a
+    scratch folder when none is set; on a cluster a missing setting is an
+    error, since other machines could not read a local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not configured:
-        configured = spark.sparkContext._jsc.sc().getCheckpointDir()
-        configured = configured.get() if configured.isDefined() else None
+        held = context._jsc.sc().getCheckpointDir()
+        configured = held.get() if held.isDefined() else None
     if not configured:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="spendlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        context.setCheckpointDir(configured)
     return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
