@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import simhash
+from spendlake.llm import bpe, simhash
 from spendlake.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def register(name: str):
     return deco
 
 
+@register("op2_bpe_round_trip")
+def _bpe(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, d, "documents"))
+
+
 @register("op10_simhash_near_dedup")
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)
