@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, simhash
-from spendlake.llm.common import read_table
+from spendlake.llm import bpe, classifier, quality_rules, simhash
+from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,11 +20,35 @@ def register(name: str):
     return deco
 
 
+QUALITY_THRESHOLD = 0.3
+
+
+def quality_model(spark: SparkSession, d: str) -> classifier.Model:
+    """Learned from ``labels.quality`` of the documents that are not held out."""
+    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    seen = labels.filter(~held_out("doc_id", 5, 0)).select("doc_id", F.col("quality").alias("label"))
+    return classifier.fit(docs, seen)
+
+
+@register("op1_quality_classifier")
+def _quality(spark: SparkSession, d: str) -> DataFrame:
+    model = quality_model(spark, d)
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    scored = docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"),
+                         classifier.score(F.col("text"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
 @register("op2_bpe_round_trip")
 def _bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, d, "documents"))
 
 
+@register("op3_quality_rules")
+def _rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, d, "documents"))
+
+
 @register("op10_simhash_near_dedup")
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)
