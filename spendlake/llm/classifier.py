@@ -182,9 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
 
     def learn(rows: pa.Table) -> pa.Table:
         order = np.argsort([hash((int(i) * _MULTIPLIER) % (1 << 61)) for i in rows["id"].to_pylist()], kind="stable")
-        slots, vals = rows["slots"].to_pylist(), rows["vals"].to_pylist()
-        slots = [np.array(s + [1 << bits], np.int64) for s in slots]
-        vals = [np.array(v + [1.0]) for v in vals]
+        at = np.cumsum(rows["slots"].combine_chunks().value_lengths().to_numpy())[:-1]
+        slots = [np.append(s, 1 << bits) for s in np.split(rows["slots"].combine_chunks().flatten().to_numpy(), at)]
+        vals = [np.append(v, 1.0) for v in np.split(rows["vals"].combine_chunks().flatten().to_numpy(), at)]
         label = rows["label"].to_pylist()
         learner = Ftrl(bits)
         for _ in range(epochs):

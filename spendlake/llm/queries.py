@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, classifier, quality_rules, simhash
+from spendlake.llm import bpe, classifier, decontaminate, quality_rules, simhash
 from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def _rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, d, "documents"))
 
 
+@register("op6_benchmark_decontamination")
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
 @register("op10_simhash_near_dedup")
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)
