@@ -45,8 +45,7 @@ from spendlake.llm.common import cut, slices
 
 BLOCK_BYTES = 1 << 20
 _SIGNS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
-_OTHER_SIGNS = re.compile("[ -©«-±´¶-¸»¿×÷"
-                          " -⁯　-〿＀-／]")
+_OTHER_SIGNS = re.compile(r"[\u00a0-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
 
 
 @dataclass(frozen=True)

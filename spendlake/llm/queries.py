@@ -23,17 +23,16 @@ def register(name: str):
 QUALITY_THRESHOLD = 0.3
 
 
-def quality_model(spark: SparkSession, d: str) -> classifier.Model:
+def quality_model(docs: DataFrame, labels: DataFrame) -> classifier.Model:
     """Learned from ``labels.quality`` of the documents that are not held out."""
-    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
     seen = labels.filter(~held_out("doc_id", 5, 0)).select("doc_id", F.col("quality").alias("label"))
     return classifier.fit(docs, seen)
 
 
 @register("op1_quality_classifier")
 def _quality(spark: SparkSession, d: str) -> DataFrame:
-    model = quality_model(spark, d)
     docs = read_table(spark, d, "documents").select("doc_id", "text")
+    model = quality_model(docs, read_table(spark, d, "labels"))
     scored = docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"),
                          classifier.score(F.col("text"), model, spark).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
