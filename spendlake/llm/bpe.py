@@ -29,6 +29,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from spendlake.llm.common import slices
@@ -146,7 +147,7 @@ def decode(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tokeniz
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 lists = part.column("ids")
-                counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 bodies = codec(ranks, pattern).decode(lists.flatten().to_numpy(), counts)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(bodies, pa.binary())],
                                                  ["doc_id", "body"])

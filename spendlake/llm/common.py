@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
 
     Every row is passed on; a single longer text makes a slice of its own."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             if size and size + n > max_bytes:
