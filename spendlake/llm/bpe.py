@@ -109,7 +109,7 @@ class Codec:
         return out
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        return self.memo.ids_of(texts)
+        return self.memo.values_of(texts)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each document, from the ids of all and the number of each."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, classifier, decontaminate, quality_rules, simhash
+from spendlake.llm import bpe, classifier, decontaminate, langid, prefix_counts, quality_rules, simhash
 from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,11 +48,25 @@ def _rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, d, "documents"))
 
 
+@register("op5_prefix_token_counts")
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_counts.count_tokens(read_table(spark, d, "documents"), limit=512)
+
+
 @register("op6_benchmark_decontamination")
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
 
 
+@register("op8_language_id")
+def _language(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "lang")
+    out = held_out("doc_id", 4, 2)
+    model = langid.fit(docs.filter(~out))
+    found = langid.predict(F.col("text"), model, spark)
+    return docs.select("doc_id", out.alias("held_out"), found.alias("p")).select("doc_id", "held_out", "p.*")
+
+
 @register("op10_simhash_near_dedup")
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)

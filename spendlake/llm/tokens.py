@@ -63,30 +63,33 @@ def text_chunks(text: str, pattern: regex.Pattern) -> list[str]:
 
 
 class ChunkMemo:
-    """Token ids of chunks, at most ``limit`` chunks at a time.
+    """One array per chunk (its token ids, say), for at most ``limit`` chunks at a time.
 
-    ``encode`` turns a list of unseen pre-tokens into a list of id arrays.
-    When the memo is full it starts afresh, so memory stays bounded and only
-    work is repeated."""
+    ``encode`` turns a list of unseen pre-tokens into a list of arrays, and
+    ``join`` the arrays of a chunk's pre-tokens into the chunk's own.  When
+    the memo is full it starts afresh, so memory stays bounded and only work
+    is repeated."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], pattern: regex.Pattern, limit: int = 400_000):
-        self.encode, self.pattern, self.limit = encode, pattern, limit
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], pattern: regex.Pattern,
+                 join: Callable[[list[np.ndarray]], np.ndarray] = np.concatenate, dtype=np.uint32,
+                 limit: int = 400_000):
+        self.encode, self.pattern, self.join, self.dtype, self.limit = encode, pattern, join, dtype, limit
         self._reset()
 
     def _reset(self) -> None:
         self.at: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)  # chunk k: ids[ends[k]:ends[k + 1]]
+        self.values = np.zeros(1 << 16, self.dtype)
+        self.ends = np.zeros(1 << 14, np.int64)  # chunk k: values[ends[k]:ends[k + 1]]
 
-    def _store(self, chunks: list[str], parts: list[list[np.ndarray]]) -> None:
-        flat = np.concatenate([p for ps in parts for p in ps]).astype(np.uint32)
-        lengths = np.fromiter((sum(map(len, ps)) for ps in parts), np.int64, len(parts))
+    def _store(self, chunks: list[str], arrays: list[np.ndarray]) -> None:
+        flat = np.concatenate(arrays)
+        lengths = np.fromiter(map(len, arrays), np.int64, len(arrays))
         n, used = len(self.at), int(self.ends[len(self.at)])
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while used + len(flat) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         while n + len(chunks) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[used:used + len(flat)] = flat
+        self.values[used:used + len(flat)] = flat
         self.ends[n + 1:n + 1 + len(chunks)] = used + np.cumsum(lengths)
         self.at.update(zip(chunks, range(n, n + len(chunks)), strict=True))
 
@@ -95,30 +98,37 @@ class ChunkMemo:
         found = [self.pattern.findall(c) for c in chunks]
         words = [w for w in dict.fromkeys(w for ws in found for w in ws) if w not in self.at]
         if words:
-            self._store(words, [[ids] for ids in self.encode(words)])
+            self._store(words, self.encode(words))
         joined = [(c, ws) for c, ws in zip(chunks, found, strict=True) if c not in self.at]
         if joined:
             def known(w: str) -> np.ndarray:
                 k = self.at[w]
-                return self.ids[self.ends[k]:self.ends[k + 1]]
-            self._store([c for c, _ in joined], [[known(w) for w in ws] for _, ws in joined])
+                return self.values[self.ends[k]:self.ends[k + 1]]
+            self._store([c for c, _ in joined], [self.join([known(w) for w in ws]) for _, ws in joined])
 
-    def ids_of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, one after the other, and the number of ids of each text."""
-        cut = [text_chunks(t or "", self.pattern) for t in texts]
+    def keys(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The memo's number of every chunk, and the number of chunks of each text."""
         missing = {c for chunks in cut for c in chunks if c not in self.at}
         if missing:
             if len(self.at) + len(missing) > self.limit:
                 self._reset()
                 missing = {c for chunks in cut for c in chunks}
-            self._add(list(missing))
+            self._add(sorted(missing))
         get = self.at.__getitem__
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        keys = np.fromiter((get(c) for chunks in cut for c in chunks), np.int64, int(per_text.sum()))
+        return np.fromiter((get(c) for chunks in cut for c in chunks), np.int64, int(per_text.sum())), per_text
+
+    def gather(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of all chunks one after the other, and the number of each."""
         starts = self.ends[keys]
         lengths = self.ends[keys + 1] - starts
-        total = int(lengths.sum())
         ends = np.cumsum(lengths)
-        index = np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
-        upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_text)))]
-        return self.ids[index], np.diff(upto)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], lengths
+
+    def values_of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All values of the texts, one after the other, and the number of each text."""
+        keys, per_text = self.keys([text_chunks(t or "", self.pattern) for t in texts])
+        values, lengths = self.gather(keys)
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        return values, np.diff(ends[np.concatenate(([0], np.cumsum(per_text)))])
