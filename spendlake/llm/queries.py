@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import bpe, classifier, decontaminate, langid, prefix_counts, quality_rules, simhash
+from spendlake.llm import (bpe, classifier, decontaminate, hilbert, langid, prefix_counts, quality_rules, simhash,
+                           warc_zip)
 from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,11 @@ def _rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, d, "documents"))
 
 
+@register("op4_hilbert_sharding")
+def _shards(spark: SparkSession, d: str) -> DataFrame:
+    return hilbert.assign(read_table(spark, d, "documents"), shards=8)
+
+
 @register("op5_prefix_token_counts")
 def _counts(spark: SparkSession, d: str) -> DataFrame:
     return prefix_counts.count_tokens(read_table(spark, d, "documents"), limit=512)
@@ -67,6 +73,11 @@ def _language(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", out.alias("held_out"), found.alias("p")).select("doc_id", "held_out", "p.*")
 
 
+@register("op9_warc_zip")
+def _warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc_zip.round_trip(read_table(spark, d, "pages"), min_revisit_bytes=0)
+
+
 @register("op10_simhash_near_dedup")
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)
