@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (bpe, classifier, decontaminate, hilbert, langid, prefix_counts, quality_rules, simhash,
-                           warc_zip)
+from spendlake.llm import (bpe, classifier, decontaminate, hilbert, langid, packing, prefix_counts,
+                           quality_rules, simhash, warc_zip)
 from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
 
 
+@register("op7_packed_token_ids")
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read_table(spark, d, "documents"), length=2048)
+
+
 @register("op8_language_id")
 def _language(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents").select("doc_id", "text", "lang")
