@@ -10,7 +10,7 @@ so the queries see each distinct word about once per worker.
 Decoding.  Rows (document, position, id) join the vocabulary, and an
 aggregate ordered by position puts the bytes of each document together.
 
-No row leaves its partition, nothing is shuffled, and a block of about two
+No row leaves its partition, nothing is shuffled, and a block of about four
 megabytes of text is held at a time.  The recursive query costs the square of
 the length of one unbroken run of letters (not of a text).
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from spendlake.llm.common import slices
 from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
 
-BLOCK_BYTES = 2 << 20  # text held at once
+BLOCK_BYTES = 4 << 20  # text held at once
 WORDS_PER_QUERY = 50_000
 
 ENCODE = """
@@ -43,20 +43,22 @@ WITH RECURSIVE step(word, pos, id, live) AS (
     SELECT word, pos, id, true FROM start_rows
   UNION ALL (
     WITH pairs AS (
-        SELECT word, pos, id,
-               lead(id) OVER by_word AS right_id, lag(pos) OVER by_word AS left_pos
+        SELECT word, pos, id, lead(word) OVER in_order AS right_word,
+               lead(pos) OVER in_order AS right_pos, lead(id) OVER in_order AS right_id
         FROM step WHERE live
-        WINDOW by_word AS (PARTITION BY word ORDER BY pos)),
+        WINDOW in_order AS (ORDER BY word, pos)),
     ranked AS (
-        SELECT word, pos, id, left_pos, rank
-        FROM pairs LEFT JOIN merges ON pair = (id::BIGINT << 32) | right_id),
+        SELECT word, pos, id, right_pos, rank
+        FROM pairs LEFT JOIN merges ON pair = (id::BIGINT << 32) | right_id AND right_word = word),
     best AS (  -- the smallest rank, then the leftmost position; null: no pair is left
-        SELECT word, min((rank::BIGINT << 32) | pos) AS choice FROM ranked GROUP BY word)
+        SELECT word, min((rank::BIGINT << 32) | pos) AS choice,
+               arg_min(right_pos, (rank::BIGINT << 32) | pos) AS joined
+        FROM ranked GROUP BY word)
     SELECT r.word, r.pos,
            CASE WHEN r.pos = (choice & 4294967295) THEN (choice >> 32)::INTEGER ELSE r.id END,
            choice IS NOT NULL
     FROM ranked r JOIN best USING (word)
-    WHERE choice IS NULL OR left_pos IS NULL OR left_pos <> (choice & 4294967295)))
+    WHERE choice IS NULL OR r.pos <> joined))
 SELECT word, id FROM step WHERE NOT live ORDER BY word, pos
 """
 
@@ -92,8 +94,9 @@ class Codec:
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.memo = ChunkMemo(self.encode_words, pretokenizer(pattern))
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens, and the number of each."""
+        ids, counts = [], []
         for at in range(0, len(words), WORDS_PER_QUERY):
             coded = [w.encode("utf-8") for w in words[at:at + WORDS_PER_QUERY]]
             lengths = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -104,9 +107,9 @@ class Codec:
                 "pos": pa.array((np.arange(len(raw)) - first).astype(np.int32)),
                 "id": pa.array(self.byte_ids[raw])})
             got = self.db.execute(ENCODE).fetchnumpy()
-            counts = np.bincount(np.asarray(got["word"]), minlength=len(coded))
-            out += np.split(np.asarray(got["id"]).astype(np.uint32), np.cumsum(counts)[:-1])
-        return out
+            counts.append(np.bincount(np.asarray(got["word"]), minlength=len(coded)))
+            ids.append(np.asarray(got["id"]).astype(np.uint32))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         return self.memo.values_of(texts)

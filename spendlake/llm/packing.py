@@ -30,6 +30,7 @@ import io
 import json
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -98,8 +99,13 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 @functools.lru_cache(maxsize=1)
 def _memo(ranks: str, pattern: str) -> ChunkMemo:
     encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(ranks), special_tokens={})
-    return ChunkMemo(lambda words: [np.array(encoding.encode_ordinary(w), np.uint32) for w in words],
-                     pretokenizer(pattern))
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = list(map(encoding.encode_ordinary, words))
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum())), lengths
+
+    return ChunkMemo(encode, pretokenizer(pattern))
 
 
 SCHEMA = ("pack_id long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, "

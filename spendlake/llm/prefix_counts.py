@@ -137,8 +137,8 @@ class PrefixCounter:
                 break
         return np.array(count[1:], np.int32)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Counts after each character of each pre-token."""
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts after each character of each pre-token, and the number of characters of each."""
         out = []
         for w in words:
             found = self.counts(w.encode("utf-8"))
@@ -147,24 +147,27 @@ class PrefixCounter:
             if w in _CONTRACTIONS:
                 found[1] = 2
             out.append(found)
-        return out
+        return np.concatenate(out), np.fromiter(map(len, words), np.int64, len(words))
 
     @staticmethod
-    def _join(arrays: list[np.ndarray]) -> np.ndarray:
-        base = np.cumsum([0] + [a[-1] for a in arrays[:-1]])
-        return np.concatenate([a + b for a, b in zip(arrays, base, strict=True)]).astype(np.int32)
+    def _join(values: np.ndarray, lengths: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """Add to each part's counts the tokens of the parts before it in its group."""
+        if not len(lengths):
+            return values
+        totals = values[np.cumsum(lengths) - 1].astype(np.int64)
+        upto = np.cumsum(totals) - totals
+        base = upto - np.repeat(upto[np.cumsum(parts) - parts], parts)
+        return (values + np.repeat(base, lengths)).astype(np.int32)
 
     def tables(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Counts after each character of texts without special strings, one after
         the other, and the number of characters of each."""
         keys, per_text = self.memo.keys([text_chunks(t, self.pattern) for t in texts])
         values, lengths = self.memo.gather(keys)
+        kept = per_text[per_text > 0]
+        table = self._join(values, lengths, kept)
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        totals = values[ends[1:] - 1] if len(lengths) else np.zeros(0, np.int32)
-        upto = np.concatenate(([0], np.cumsum(totals, dtype=np.int64)))
         first = np.concatenate(([0], np.cumsum(per_text)))
-        base = upto[:-1] - np.repeat(upto[first[:-1]], per_text)
-        table = (values + np.repeat(base, lengths)).astype(np.int32)
         starts = ends[first]
         for text, at in zip(texts, starts[:-1].tolist(), strict=True):
             for run in self.white.finditer(text):

@@ -10,6 +10,7 @@ import base64
 import functools
 import re
 from collections.abc import Callable, Iterable
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -49,76 +50,100 @@ def text_chunks(text: str, pattern: regex.Pattern) -> list[str]:
         return []
     if text[0].isspace() or text[-1].isspace() or _DOUBLE_SPACE.search(text):
         return pattern.findall(text)
-    if "\n" not in text:
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-    out: list[str] = []
-    for line in text.split("\n"):
-        if out:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out += [" " + w for w in rest]
-    return out
+    if "\x00" in text:
+        return pattern.findall(text)
+    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
 
 
-class ChunkMemo:
-    """One array per chunk (its token ids, say), for at most ``limit`` chunks at a time.
+def is_one_word(chunk: str) -> bool:
+    """Letters behind at most one space: a pre-token by itself."""
+    return chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha())
 
-    ``encode`` turns a list of unseen pre-tokens into a list of arrays, and
-    ``join`` the arrays of a chunk's pre-tokens into the chunk's own.  When
-    the memo is full it starts afresh, so memory stays bounded and only work
-    is repeated."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], pattern: regex.Pattern,
-                 join: Callable[[list[np.ndarray]], np.ndarray] = np.concatenate, dtype=np.uint32,
-                 limit: int = 400_000):
-        self.encode, self.pattern, self.join, self.dtype, self.limit = encode, pattern, join, dtype, limit
-        self._reset()
+Ragged = tuple[np.ndarray, np.ndarray]  # values one after the other, and the number of each
 
-    def _reset(self) -> None:
+
+class ChunkMemo:
+    """One array per chunk (its token ids, say), for at most ``limit`` chunks at a time.
+
+    ``encode`` turns a list of unseen pre-tokens into their arrays.  ``join``
+    turns the arrays of pre-tokens into those of chunks: it gets the values,
+    the length of each pre-token's array, and the number of pre-tokens of each
+    chunk, and returns the values.  When the memo is full, the chunks seen in
+    fewest blocks go, down to half of the limit: memory stays bounded, and
+    only work is repeated."""
+
+    def __init__(self, encode: Callable[[list[str]], Ragged], pattern: regex.Pattern,
+                 join: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = lambda values, *_: values,
+                 dtype=np.uint32, limit: int = 1_000_000):
+        self.encode, self.pattern, self.join, self.limit = encode, pattern, join, limit
         self.at: dict[str, int] = {}
-        self.values = np.zeros(1 << 16, self.dtype)
+        self.values = np.zeros(1 << 16, dtype)
         self.ends = np.zeros(1 << 14, np.int64)  # chunk k: values[ends[k]:ends[k + 1]]
+        self.uses = np.zeros(1 << 14, np.int32)  # blocks in which chunk k was seen
 
-    def _store(self, chunks: list[str], arrays: list[np.ndarray]) -> None:
-        flat = np.concatenate(arrays)
-        lengths = np.fromiter(map(len, arrays), np.int64, len(arrays))
-        n, used = len(self.at), int(self.ends[len(self.at)])
-        while used + len(flat) > len(self.values):
+    def _store(self, chunks: list[str], values: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.at)
+        used = int(self.ends[n])
+        while used + len(values) > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         while n + len(chunks) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.values[used:used + len(flat)] = flat
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
+        self.values[used:used + len(values)] = values
         self.ends[n + 1:n + 1 + len(chunks)] = used + np.cumsum(lengths)
+        self.uses[n:n + len(chunks)] = 0
         self.at.update(zip(chunks, range(n, n + len(chunks)), strict=True))
 
+    def _shrink(self) -> None:
+        """Keep the chunks seen in most blocks, half of the limit at most."""
+        n = len(self.at)
+        uses = self.uses[:n]
+        least = int(np.sort(uses)[max(n - self.limit // 2, 0)]) + 1
+        kept = np.flatnonzero(uses >= max(least, 2))
+        values, lengths = self.gather(kept)
+        chosen = set(kept.tolist())
+        chunks = [c for c, k in self.at.items() if k in chosen]
+        seen = uses[kept] // 2
+        self.at, self.ends[:1] = {}, 0
+        self._store(chunks, values, lengths)
+        self.uses[:len(chunks)] = seen
+
     def _add(self, chunks: list[str]) -> None:
         """Encode the unseen pre-tokens of unseen chunks; a pre-token is a chunk as well."""
-        found = [self.pattern.findall(c) for c in chunks]
-        words = [w for w in dict.fromkeys(w for ws in found for w in ws) if w not in self.at]
+        words = list(filter(is_one_word, chunks))
+        joined = [c for c in chunks if not is_one_word(c)]
+        found = list(map(self.pattern.findall, joined))
+        words += {w for w in chain.from_iterable(found) if w not in self.at}.difference(words)
         if words:
-            self._store(words, self.encode(words))
-        joined = [(c, ws) for c, ws in zip(chunks, found, strict=True) if c not in self.at]
-        if joined:
-            def known(w: str) -> np.ndarray:
-                k = self.at[w]
-                return self.values[self.ends[k]:self.ends[k + 1]]
-            self._store([c for c, _ in joined], [self.join([known(w) for w in ws]) for _, ws in joined])
+            self._store(words, *self.encode(words))
+        more = [i for i, ws in enumerate(found) if len(ws) > 1]
+        if more:
+            parts = np.fromiter((len(found[i]) for i in more), np.int64, len(more))
+            keys = np.fromiter(map(self.at.__getitem__, chain.from_iterable(found[i] for i in more)),
+                               np.int64, int(parts.sum()))
+            self.uses[keys] += 1
+            values, lengths = self.gather(keys)
+            whole = np.add.reduceat(lengths, np.cumsum(parts) - parts)
+            self._store([joined[i] for i in more], self.join(values, lengths, parts), whole)
 
     def keys(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The memo's number of every chunk, and the number of chunks of each text."""
-        missing = {c for chunks in cut for c in chunks if c not in self.at}
-        if missing:
-            if len(self.at) + len(missing) > self.limit:
-                self._reset()
-                missing = {c for chunks in cut for c in chunks}
-            self._add(sorted(missing))
-        get = self.at.__getitem__
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        return np.fromiter((get(c) for chunks in cut for c in chunks), np.int64, int(per_text.sum())), per_text
-
-    def gather(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        chunks = list(chain.from_iterable(cut))
+        keys = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        gaps = np.flatnonzero(keys < 0).tolist()
+        if gaps:
+            missing = {chunks[i] for i in gaps}
+            if len(self.at) + len(missing) > self.limit:
+                self._shrink()
+                gaps, missing = range(len(chunks)), {c for c in chunks if c not in self.at}
+            self._add(list(missing))
+            keys[gaps] = [self.at[chunks[i]] for i in gaps]
+        self.uses[keys] += 1
+        return keys, per_text
+
+    def gather(self, keys: np.ndarray) -> Ragged:
         """The values of all chunks one after the other, and the number of each."""
         starts = self.ends[keys]
         lengths = self.ends[keys + 1] - starts
@@ -126,7 +151,7 @@ class ChunkMemo:
         total = int(ends[-1]) if len(ends) else 0
         return self.values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], lengths
 
-    def values_of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def values_of(self, texts: Iterable[str | None]) -> Ragged:
         """All values of the texts, one after the other, and the number of each text."""
         keys, per_text = self.keys([text_chunks(t or "", self.pattern) for t in texts])
         values, lengths = self.gather(keys)
