@@ -1,0 +1,66 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+
+from spendlake.llm import bpe, tokens
+from spendlake.llm.queries import QUERIES
+
+from .fixtures import SF, TEXTS, odd_docs, table
+
+ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.load_ranks(),
+                             special_tokens={})
+PIECES = ["a", "the", " ", "  ", "\n", "\t", "'", "'re", "'s", "\u00e9", "\u00df", "\u4e2d", "1", "\u00b2", "!", 
+          "\u00a0", "\x1c", "\x85", "\u2009", "\u200b", "\r", "Ab", "don't", "\U0001f600", "\u0301", "\x00", "\u3000",
+          "_"]
+
+
+def digest(ids):
+    return hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_query_equals_the_library(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, "documents").collect()}
+    rows = QUERIES["op2_bpe_round_trip"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = ENCODING.encode_ordinary(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), digest(ids))
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_any_text_equals_the_library():
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 25))) for _ in range(3000)] + ["", None, "ab" * 400]
+    codec = bpe.codec(tokens.RANKS, public_tokenizers.PATTERN)
+    ids, counts = codec.encode(texts)
+    for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert own.tolist() == ENCODING.encode_ordinary(text or "")
+    assert codec.decode(ids, counts) == [(t or "").encode() for t in texts]
+
+
+def test_a_full_memo_changes_nothing():
+    codec = bpe.Codec()
+    codec.memo.limit = 60
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = ["".join(rng.choices(PIECES, k=12)) for _ in range(4)]
+        ids, counts = codec.encode(texts)
+        for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert own.tolist() == ENCODING.encode_ordinary(text)
+
+
+def test_encode_and_decode_frames(spark):
+    docs = odd_docs(spark)
+    encoded = bpe.encode(docs)
+    want = sorted(str((d, ENCODING.encode_ordinary(t or ""))) for d, t, *_ in TEXTS)
+    assert sorted(str((r["doc_id"], list(r["ids"]))) for r in encoded.collect()) == want
+    bodies = sorted(str((r["doc_id"], bytes(r["body"]))) for r in bpe.decode(encoded).collect())
+    assert bodies == sorted(str((d, (t or "").encode())) for d, t, *_ in TEXTS)
+
+
+def test_empty_table(spark):
+    docs = odd_docs(spark, [])
+    assert bpe.round_trip(docs).count() == 0 and bpe.decode(bpe.encode(docs)).count() == 0
