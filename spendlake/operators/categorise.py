@@ -8,39 +8,49 @@ the lower-cased text (``%`` and ``_`` in a pattern act as wildcards);
 match -> ``CAT999`` / ``Uncategorized``; a best rule whose key is NULL is
 also ``Uncategorized``.
 
-Three plans give the same result:
-
-* ``case``  (default up to ``CASE_LIMIT`` rules): the rules, sorted once, are
-  compiled into one CASE chain.  Map-only, whole-stage codegen, no shuffle.
+Every plan is map-only and takes any number of rules:
+
+* ``case`` (default up to ``CASE_LIMIT`` rules, what generated code holds
+  comfortably): the rules, sorted once, are compiled into one CASE chain.
+* ``automaton`` (default beyond): the patterns' literal texts form one
+  Aho-Corasick automaton, so a text is read once however many rules there are;
+  type rules are looked up by equality, wildcards are checked only where
+  their longest literal occurs.  An Arrow UDF, since no built-in expression
+  finds many patterns in one pass.
 * ``array``: the rules travel as one literal ``array<struct>``; the first
-  element of ``filter(rules, matches)`` wins.  Map-only; for larger tables.
-* ``join``: broadcast rule join + best match per transaction by an
-  aggregate with partial aggregation, joined back on the key.  Also yields all
-  matches (``rule_matches``).
+  element of ``filter(rules, matches)`` wins.
+* ``join``: all matches of each transaction (``rule_matches``, from the
+  automaton) and the best one by an aggregate, joined back on the key.
 
-The rule table is a seed: it is brought to the driver only through a bounded
-``limit`` and its size is checked before it is inlined or broadcast.
+The rule table is a seed that the driver holds anyway; beyond ``BLOCK_RULES``
+rules the automaton is built in blocks, so a worker holds a bounded one.
 """
 
 from __future__ import annotations
 
+import functools
+import re
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake import fixed_values as FV
+from spendlake.schemas import RULES
 
 CASE_LIMIT = 200
-ARRAY_LIMIT = 5000
-BROADCAST_LIMIT = 100_000
+BLOCK_RULES = 100_000
 
 TEXT_COLUMN = {"description": "transaction_description", "name": "counterparty_name"}
 PATTERN_TYPES = ("description", "name", "transaction_type")
 _ESCAPE = "\u0001"
 
 
-def _collect_rules(rules: DataFrame, limit: int) -> list[tuple] | None:
-    rows = rules.select("pattern_type", "pattern_value", "category_key", "priority").limit(limit + 1).collect()
-    return None if len(rows) > limit else [tuple(r) for r in rows]
+def _collect_rules(rules: DataFrame) -> list[tuple]:
+    return [tuple(r) for r in rules.select("pattern_type", "pattern_value", "category_key", "priority").collect()]
 
 
 def rank_key(rule: tuple):
@@ -149,28 +159,111 @@ def categorise_array(staged: DataFrame, rules: list[tuple]) -> DataFrame:
             .drop("_matches").transform(_drop_lowered))
 
 
-def rule_matches(staged: DataFrame, rules: DataFrame, pattern_type: str | None = None) -> DataFrame:
-    """Every (transaction, rule) match: broadcast rule join.  The rule table
-    is size-checked before it is broadcast."""
-    if _collect_rules(rules, BROADCAST_LIMIT) is None:
-        raise ValueError(f"rule table exceeds {BROADCAST_LIMIT} rows; refusing to broadcast it")
-    r = rules.filter(F.col("pattern_type").isin(*PATTERN_TYPES) & F.col("pattern_value").isNotNull())
-    if pattern_type is not None:
-        r = r.filter(F.col("pattern_type") == pattern_type)
-    r = F.broadcast(r.select("pattern_type", F.lower("pattern_value").alias("_pattern_lc"),
-                             "category_key", "priority"))
-    t = staged.select("transaction_hash", "transaction_description", "counterparty_name", "transaction_type")
-    desc_lc, name_lc = F.lower(t["transaction_description"]), F.lower(t["counterparty_name"])
-    like = F.concat(F.lit("%"), F.col("_pattern_lc"), F.lit("%"))
-    wild = F.col("_pattern_lc").contains("%") | F.col("_pattern_lc").contains("_")
+class _Matcher:
+    """One block of rules, best first; finds the rules that match a row."""
+
+    def __init__(self, rules: list[tuple]):
+        self.types: dict[str, list[int]] = {}
+        self.finders = {t: ahocorasick.Automaton() for t in TEXT_COLUMN}
+        self.patterns: list[re.Pattern | None] = [None] * len(rules)
+        self.always: dict[str, list[int]] = {t: [] for t in TEXT_COLUMN}
+        needles: dict[str, dict[str, list[int]]] = {t: {} for t in TEXT_COLUMN}
+        for k, (kind, value) in enumerate(rules):
+            if kind == "transaction_type":
+                self.types.setdefault(value, []).append(k)
+                continue
+            literals = re.split("[%_]", value)
+            if len(literals) > 1:
+                body = "".join(".*" if c == "%" else "." if c == "_" else re.escape(c) for c in value)
+                self.patterns[k] = re.compile(body, re.S)
+            needle = max(literals, key=len)
+            if needle:
+                needles[kind].setdefault(needle, []).append(k)
+            else:
+                self.always[kind].append(k)
+        for kind, found in needles.items():
+            for needle, rows in found.items():
+                self.finders[kind].add_word(needle, rows)
+            if found:
+                self.finders[kind].make_automaton()
+
+    def __call__(self, texts: dict[str, str | None], type_lc: str | None) -> set[int]:
+        out = set(self.types.get(type_lc, ()))
+        for kind, text in texts.items():
+            if text is None:
+                continue
+            hits = set(self.always[kind])
+            if len(self.finders[kind]):
+                hits.update(k for _, rows in self.finders[kind].iter(text) for k in rows)
+            out.update(k for k in hits if self.patterns[k] is None or self.patterns[k].search(text))
+        return out
+
+
+class _Block:
+    """Up to BLOCK_RULES rules, best first; a worker builds their matcher once."""
+
+    def __init__(self, rules: list[tuple]):
+        self.rules = rules
+
+    @functools.cached_property
+    def matcher(self) -> _Matcher:
+        return _Matcher([r[:2] for r in self.rules])
+
+    def matches(self, description: pd.Series, name: pd.Series, kind: pd.Series) -> Iterator[list[tuple]]:
+        """The matching rules of each row, best first."""
+        for d, n, t in zip(description, name, kind, strict=True):
+            yield [self.rules[k] for k in sorted(self.matcher({"description": d, "name": n}, t))]
+
+
+def _blocks(staged: DataFrame, rules: DataFrame) -> list:
+    """The usable rules, best first, in broadcast blocks."""
+    usable = rules.filter(F.col("pattern_type").isin(*PATTERN_TYPES) & F.col("pattern_value").isNotNull())
+    # lowered by the same function as the texts
+    ordered = sorted(_collect_rules(usable.withColumn("pattern_value", F.lower("pattern_value"))), key=rank_key)
+    context = staged.sparkSession.sparkContext
+    return [context.broadcast(_Block(ordered[at:at + BLOCK_RULES])) for at in range(0, len(ordered), BLOCK_RULES)]
+
+
+def _best_rule(shared):
+    @F.pandas_udf("found boolean, key string")
+    def best_rule(description: pd.Series, name: pd.Series, kind: pd.Series) -> pd.DataFrame:
+        rows = list(shared.value.matches(description, name, kind))
+        keys = pd.Series([m[0][2] if m else None for m in rows], dtype=object)
+        return pd.DataFrame({"found": [bool(m) for m in rows], "key": keys})
+    return best_rule
+
+
+def _all_rules(shared):
+    @F.pandas_udf("array<struct<pattern_type:string,category_key:string,priority:int>>")
+    def all_rules(description: pd.Series, name: pd.Series, kind: pd.Series) -> pd.Series:
+        return pd.Series([[{"pattern_type": t, "category_key": k, "priority": p} for t, _, k, p in m]
+                          for m in shared.value.matches(description, name, kind)], dtype=object)
+    return all_rules
+
+
+def categorise_automaton(staged: DataFrame, rules: DataFrame) -> DataFrame:
+    texts = _lowered(staged)
+    df, best, columns = staged, F.lit(None).cast("struct<key:string>"), []
+    for n, shared in enumerate(_blocks(staged, rules)):
+        columns.append(f"_block{n}")
+        df = df.withColumn(columns[-1], _best_rule(shared)(*texts.values()))
+        # blocks come best first
+        best = F.coalesce(best, F.when(F.col(f"{columns[-1]}.found"), F.struct(F.col(f"{columns[-1]}.key").alias("key"))))
+    df = df.withColumn("_best", best)
+    return _finish(df, F.col("_best.key"), F.col("_best.key").isNotNull()).drop("_best", *columns)
 
-    def text(lc: Column) -> Column:
-        return F.when(wild, F.like(lc, like, F.lit(_ESCAPE))).otherwise(F.contains(lc, F.col("_pattern_lc")))
 
-    cond = (((F.col("pattern_type") == "description") & text(desc_lc))
-            | ((F.col("pattern_type") == "name") & text(name_lc))
-            | ((F.col("pattern_type") == "transaction_type") & (F.lower(t["transaction_type"]) == F.col("_pattern_lc"))))
-    return t.join(r, cond, "inner").select("transaction_hash", "pattern_type", "category_key", "priority")
+def rule_matches(staged: DataFrame, rules: DataFrame, pattern_type: str | None = None) -> DataFrame:
+    """Every (transaction, rule) match: transaction_hash, pattern_type, category_key, priority."""
+    if pattern_type is not None:
+        rules = rules.filter(F.col("pattern_type") == pattern_type)
+    schema = T.StructType([T.StructField("transaction_hash", T.StringType()), *RULES.fields[:1], *RULES.fields[2:]])
+    out = staged.sparkSession.createDataFrame([], schema)
+    texts = _lowered(staged)
+    for shared in _blocks(staged, rules):
+        hits = staged.select("transaction_hash", F.explode(_all_rules(shared)(*texts.values())).alias("_r"))
+        out = out.union(hits.select("transaction_hash", "_r.*"))
+    return out
 
 
 def _rank_struct() -> Column:
@@ -197,13 +290,13 @@ def categorise_join(staged: DataFrame, rules: DataFrame) -> DataFrame:
 
 def categorise(staged: DataFrame, rules: DataFrame, method: str = "auto") -> DataFrame:
     """Add ``category_key`` and ``categorization_status``."""
-    if method in ("auto", "case", "array"):
-        limit = CASE_LIMIT if method == "case" else ARRAY_LIMIT
-        collected = _collect_rules(rules, limit)
-        if collected is not None:
-            if method == "array" or (method == "auto" and len(collected) > CASE_LIMIT):
-                return categorise_array(staged, collected)
-            return categorise_case(staged, collected)
-        if method != "auto":
-            raise ValueError(f"rule table exceeds {limit} rows for method {method!r}")
-    return categorise_join(staged, rules)
+    if method == "join":
+        return categorise_join(staged, rules)
+    if method == "automaton":
+        return categorise_automaton(staged, rules)
+    if method not in ("auto", "case", "array"):
+        raise ValueError(f"unknown method {method!r}")
+    if method == "auto" and len(rules.limit(CASE_LIMIT + 1).collect()) > CASE_LIMIT:
+        return categorise_automaton(staged, rules)
+    collected = _collect_rules(rules)
+    return categorise_array(staged, collected) if method == "array" else categorise_case(staged, collected)

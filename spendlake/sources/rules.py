@@ -23,6 +23,25 @@ FIXTURE_RULES = [
 ]
 
 
+# Wildcards, NULL keys, NULL priorities, NULL patterns and an unknown type.
+ODD_RULES = [
+    ("description", "g%r r", "CAT001", 100),
+    ("description", "_lue%bolt", "CAT002", None),
+    ("description", "large", None, 120),
+    ("description", "%", "CAT003", None),
+    ("name", "customer#0000000_1", "CAT020", 110),
+    ("name", "customer#", None, None),
+    ("transaction_type", "CREDIT", "CAT018", 90),
+    ("transaction_type", "deb%", "CAT016", 130),
+    ("description", None, "CAT004", 500),
+    ("counterparty", "a", "CAT005", 500),
+]
+
+# More rules than generated code holds well: one for each customer number that
+# ends in 000 to 399, of several priorities.
+MANY_RULES = [("name", f"{k:03d}", f"CAT{k % 21 + 1:03d}", 50 + k % 7) for k in range(400)] + FIXTURE_RULES
+
+
 def rules_frame(spark: SparkSession, rows=None) -> DataFrame:
     """Rule table from rows (default: the standard seed)."""
     return spark.createDataFrame(list(FV.DEFAULT_RULES if rows is None else rows), RULES)

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from spendlake import fixed_values as FV
+from spendlake.operators import categorise as C
 from spendlake.operators.categorise import categorise, rank_key
 from spendlake.sources.rules import rules_frame
 
@@ -28,7 +29,7 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("method", ["case", "array", "join"])
+@pytest.mark.parametrize("method", ["case", "array", "automaton", "join"])
 def test_seed_rule_cases(spark, method):
     df = staged(spark, [c[:3] for c in CASES])
     got = {r["transaction_hash"]: (r["category_key"], r["categorization_status"])
@@ -82,23 +83,38 @@ def test_forms_agree_with_brute_force(spark, rows, rules):
     df = staged(spark, rows)
     rf = spark.createDataFrame(rules, "pattern_type string, pattern_value string, category_key string, priority int")
     want = brute_force(rows, rules)
-    for method in ("case", "array", "join"):
+    for method in ("case", "array", "automaton", "join"):
         got = {r["transaction_hash"]: (r["category_key"], r["categorization_status"])
                for r in categorise(df, rf, method).collect()}
         assert [got[f"h{i}"] for i in range(len(rows))] == want, method
 
 
-def test_many_rules_use_array_form_and_agree(spark):
+@pytest.mark.parametrize("block", [100_000, 70])
+def test_many_rules_agree_with_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_RULES", block)
     rng = random.Random(7)
     rules = [("description", f"w{rng.randrange(400)}", f"CAT{rng.randrange(1, 22):03d}", rng.choice([50, 90, 100]))
              for _ in range(300)]
     rows = [(" ".join(f"w{rng.randrange(400)}" for _ in range(3)), None, "debit") for _ in range(50)]
     df = staged(spark, rows)
     rf = spark.createDataFrame(rules, "pattern_type string, pattern_value string, category_key string, priority int")
-    auto = {r[0]: r[1] for r in categorise(df, rf).select("transaction_hash", "category_key").collect()}
-    join = {r[0]: r[1] for r in categorise(df, rf, "join").select("transaction_hash", "category_key").collect()}
-    assert auto == join
-    assert [auto[f"h{i}"] for i in range(len(rows))] == [k for k, _ in brute_force(rows, rules)]
+    want = [k for k, _ in brute_force(rows, rules)]
+    for method in ("auto", "case", "array", "join"):
+        got = {r[0]: r[1] for r in categorise(df, rf, method).select("transaction_hash", "category_key").collect()}
+        assert [got[f"h{i}"] for i in range(len(rows))] == want, method
+
+
+def test_two_hundred_thousand_rules(spark):
+    n = 200_000
+    rules = spark.range(n).selectExpr("if(id % 2 = 0, 'description', 'name') AS pattern_type",
+                                      "concat('<', id, '>') AS pattern_value",
+                                      "concat('K', id) AS category_key", "cast(id % 100 AS int) AS priority")
+    df = staged(spark, [("a <10> b <12> c", None, "debit"), ("<199998>", "<199999>", "debit"), ("<7>", "<8>", "debit"),
+                        (None, "x <99>", "credit")])
+    got = {r[0]: (r[1], r[2]) for r in categorise(df, rules).select(
+        "transaction_hash", "category_key", "categorization_status").collect()}
+    assert got == {"h0": ("K12", "Matched"), "h1": ("K199999", "Matched"), "h2": ("CAT999", "Uncategorized"),
+                   "h3": ("K99", "Matched")}
 
 
 def test_seed_has_56_rules():
