@@ -53,10 +53,13 @@ def posted(typed: DataFrame) -> DataFrame:
 def newest_file_wins(rows: DataFrame) -> DataFrame:
     """Per account and posting date only the highest-named export survives;
     all of its rows for that date are kept."""
-    newest = (rows.groupBy("account", "posting_date")
-              .agg(F.max("source_file").alias("_newest_file"))
-              .withColumnRenamed("account", "_acct")
-              .withColumnRenamed("posting_date", "_day"))
+    # A maximum over text is no hash aggregate; distinct keys are, and reduce
+    # the rows to one per export and day before the newest is ranked.
+    exports = rows.select("account", "posting_date", "source_file").distinct()
+    last = W.partitionBy("account", "posting_date").orderBy(F.desc("source_file"))
+    newest = (exports.withColumn("_rn", F.row_number().over(last)).filter(F.col("_rn") == 1)
+              .select(F.col("account").alias("_acct"), F.col("posting_date").alias("_day"),
+                      F.col("source_file").alias("_newest_file")))
     # All three columns are equi-keys, so both join sides come straight from
     # a shuffle: that is the shape AQE's skew-join rule can split when one
     # account-day holds a large share of all rows (a join reusing the
@@ -94,34 +97,50 @@ def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None
     return kept
 
 
-def load_audit(rows: DataFrame, files: DataFrame | None = None, typed: DataFrame | None = None) -> DataFrame:
+def load_audit(rows: DataFrame, files: DataFrame | None = None, typed: DataFrame | None = None,
+               inserted: DataFrame | None = None) -> DataFrame:
     """Per export file: parsed, pending, superseded (an export with a higher
-    name supplied the day), duplicate key, inserted and skipped; the row with
-    ``source_file`` NULL is the total.  ``files`` (one ``source_file`` per
-    file, e.g. ``exports.export_files``) adds files without data rows;
-    ``typed`` (a landing table) replaces parsing ``rows`` again."""
+    name supplied the day), duplicate (the key came before in the run, or is
+    stored already), inserted and skipped; the row with ``source_file`` NULL
+    is the total.
+
+    ``files`` (one ``source_file`` per file, ``exports.export_files``) adds
+    files without data rows; ``typed`` (a landing table) replaces parsing
+    ``rows`` again; ``inserted`` is what the run wrote (default: a full load
+    of ``rows``), so the audit counts rows of the table, not of a plan."""
     typed = typed if typed is not None else typed_rows(rows)
     kept = newest_file_wins(posted(typed))
     parsed = typed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("parsed"),
         F.count_if(F.col("pending")).alias("pending"))
     per_kept = kept.groupBy("source_file").agg(F.count(F.lit(1)).alias("kept"))
-    inserted = dedupe_by_key(kept).groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
+    written = inserted if inserted is not None else dedupe_by_key(kept)
+    written = written.groupBy("source_file").agg(F.count(F.lit(1)).alias("inserted"))
     if files is not None:
         parsed = (files.select("source_file").distinct().join(parsed, "source_file", "left")
                   .select("source_file", F.coalesce("parsed", F.lit(0)).alias("parsed"),
                           F.coalesce("pending", F.lit(0)).alias("pending")))
-    per_file = (parsed.join(per_kept, "source_file", "left").join(inserted, "source_file", "left")
+    per_file = (parsed.join(per_kept, "source_file", "left").join(written, "source_file", "left")
                 .select("source_file", "parsed", "pending",
                         (F.col("parsed") - F.col("pending") - F.coalesce("kept", F.lit(0))).alias("superseded"),
                         (F.coalesce("kept", F.lit(0)) - F.coalesce("inserted", F.lit(0))).alias("duplicate"),
                         F.coalesce("inserted", F.lit(0)).alias("inserted")))
     return (per_file.rollup("source_file")
-            .agg(*[F.sum(c).cast("long").alias(c) for c in ("parsed", "pending", "superseded", "duplicate", "inserted")])
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+                   for c in ("parsed", "pending", "superseded", "duplicate", "inserted")])
             .withColumn("skipped", F.col("pending") + F.col("superseded") + F.col("duplicate")))
 
 
+def with_month(rows: DataFrame, day: str) -> DataFrame:
+    """Add the partition column of stored tables: the first day of the month (NULL for no day)."""
+    return rows.withColumn("month_start", F.trunc(F.col(day), "month"))
+
+
 def append_new_only(new_raw: DataFrame, existing_raw: DataFrame) -> DataFrame:
     """Append load: keys already in the table stay as they are; only unseen
-    keys are added.  The per-date memory lives within one load run only."""
-    return new_raw.join(existing_raw.select("transaction_hash"), "transaction_hash", "left_anti")
+    keys are added.  The per-date memory lives within one load run only.
+
+    The key hashes the date text, so equal keys have equal dates and the join
+    is on both: a stored table can be pruned to the new rows' dates first."""
+    keys = ["transaction_hash", "posting_date"]
+    return new_raw.join(existing_raw.select(*keys), keys, "left_anti")

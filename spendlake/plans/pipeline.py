@@ -19,27 +19,14 @@ from spendlake.operators import ingest, marts, quality
 from spendlake.operators.categorise import categorise
 from spendlake.operators.staging import stage
 from spendlake.plans.star import HOT_ACCOUNT_ROWS, hot_accounts, report_frame, report_frame_same_run
-from spendlake.session import checkpoint_dir
-from spendlake.sources.exports import read_exports
+from spendlake.sources import files
+from spendlake.sources.exports import export_files, export_paths, read_exports
 from spendlake.sources.rules import rules_frame
 
 MART_NAMES = ["dim_account", "dim_category", "dim_date", "fct_transactions"]
 HOT_LIST = "hot_accounts"
 
 
-def _fs_exists(spark: SparkSession, path: str, glob: str | None = None) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return False
-    if glob is None:
-        return True
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + glob))
-    return found is not None and len(found) > 0
-
-
 @dataclass
 class PipelineResult:
     raw: DataFrame
@@ -48,37 +35,48 @@ class PipelineResult:
     frame: DataFrame
 
 
-def _fs_delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def load_exports(spark: SparkSession, csv_dir: str, raw_path: str, append: bool = False,
+def load_exports(spark: SparkSession, csv_dir, raw_path: str, append: bool = False,
                  export_rows: DataFrame | None = None, split_files: bool = False,
                  audit_path: str | None = None) -> DataFrame:
-    """Exports -> ``raw_transactions``.  Full refresh by default; ``append``
-    keeps the stored keys and adds unseen ones.  The parsed rows are landed
-    once in the shared checkpoint folder (``spark.checkpoint.dir``) and that
-    run-private table is removed when the raw table is written."""
+    """Exports -> ``raw_transactions``, partitioned by month.  Full refresh by
+    default; ``append`` keeps the stored keys and adds unseen ones.
+
+    The parsed rows, and the rows that an append adds, are landed beside the
+    raw table (a shared folder by definition); that run-private folder is
+    removed in the end.  The audit counts what was written."""
     rows = export_rows if export_rows is not None else read_exports(spark, csv_dir, split_files=split_files)
-    landing = f"{checkpoint_dir(spark).rstrip('/')}/spendlake-landing-{uuid.uuid4().hex}"
+    landing = f"{raw_path.rstrip('/')}-landing-{uuid.uuid4().hex}"
     try:
-        new_raw = ingest.load(rows, landing_path=landing)
-        if append and _fs_exists(spark, raw_path):
-            existing = spark.read.parquet(raw_path)
-            ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
+        new_raw = ingest.load(rows, landing_path=f"{landing}/rows")
+        if append and files.exists(spark, raw_path):
+            landed = ingest.posted(spark.read.parquet(f"{landing}/rows"))
+            months = landed.select(F.trunc("posting_date", "month").alias("m")).distinct().collect()
+            # only the months of the new rows are read; their list is as long as the calendar at most
+            stored = spark.read.parquet(raw_path).filter(F.col("month_start").isin([r["m"] for r in months]))
+            added = ingest.append_new_only(new_raw, stored)
+            ingest.with_month(added, "posting_date").write.parquet(f"{landing}/added")
+            written = spark.read.parquet(f"{landing}/added")
+            by_month(written).write.mode("append").partitionBy("month_start").parquet(raw_path)
         else:
-            new_raw.write.mode("overwrite").parquet(raw_path)
+            by_month(ingest.with_month(new_raw, "posting_date")).write.mode("overwrite").partitionBy(
+                "month_start").parquet(raw_path)
+            written = spark.read.parquet(raw_path)
         if audit_path:
-            # From the landing table: parsed once, one row per file (+ total).
-            typed = spark.read.parquet(landing)
-            ingest.load_audit(rows, typed=typed).write.mode("overwrite").parquet(audit_path)
+            names = export_files(spark, csv_dir) if export_rows is None else None
+            typed = spark.read.parquet(f"{landing}/rows")
+            (ingest.load_audit(rows, files=names, typed=typed, inserted=written)
+             .write.mode("overwrite").parquet(audit_path))
     finally:
-        _fs_delete(spark, landing)
+        files.delete(spark, landing)
     return spark.read.parquet(raw_path)
 
 
+def by_month(rows: DataFrame) -> DataFrame:
+    """Deal rows out by month before a write partitioned by month, so that a month has few
+    files; Spark splits months that are larger than a partition should be."""
+    return rows.hint("rebalance", F.col("month_start"))
+
+
 def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: DataFrame | None = None,
                 calendar=(FV.CALENDAR_START, FV.CALENDAR_END), run_checks: bool = True,
                 hot_account_rows: int = HOT_ACCOUNT_ROWS):
@@ -93,7 +91,10 @@ def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: Data
         "dim_date": marts.dim_date(spark, *calendar),
     }
     for name, df in built.items():
-        df.write.mode("overwrite").parquet(f"{marts_dir}/{name}")
+        out = df.write
+        if name == "fct_transactions":
+            out = by_month(ingest.with_month(df, "date_key")).write.partitionBy("month_start")
+        out.mode("overwrite").parquet(f"{marts_dir}/{name}")
     written = {name: spark.read.parquet(f"{marts_dir}/{name}") for name in built}
     # Accounts too large for one task of the account join (read by report_frame).
     hot_accounts(written["fct_transactions"], hot_account_rows).write.mode("overwrite").parquet(
@@ -116,23 +117,23 @@ def run_pipeline(spark: SparkSession, out_dir: str, csv_dir: str | None = None,
     ``keep_frame`` persists the frame for repeated reports (memory and disk;
     a lost block is recomputed from the written marts)."""
     raw_path, marts_dir = f"{out_dir}/raw_transactions", f"{out_dir}/marts"
-    has_input = export_rows is not None or (csv_dir is not None and _fs_exists(spark, csv_dir, "*.csv"))
+    has_input = export_rows is not None or (csv_dir is not None and bool(export_paths(spark, csv_dir)))
     if not skip_load and has_input:
         load_exports(spark, csv_dir, raw_path, append=append, export_rows=export_rows,
                      audit_path=f"{out_dir}/load_audit")
-    if not _fs_exists(spark, raw_path):
+    if not files.exists(spark, raw_path):
         raise FileNotFoundError(f"no raw table at {raw_path}; load exports first")
     raw = spark.read.parquet(raw_path)
     checks = None
     if skip_models:
-        if not all(_fs_exists(spark, f"{marts_dir}/{n}") for n in MART_NAMES):
+        if not all(files.exists(spark, f"{marts_dir}/{n}") for n in MART_NAMES):
             raise FileNotFoundError(f"marts missing under {marts_dir}; build them first")
         built = {n: spark.read.parquet(f"{marts_dir}/{n}") for n in MART_NAMES}
     else:
         built, checks = build_marts(spark, raw, marts_dir, rules, calendar)
     if skip_models:
         hot_path = f"{marts_dir}/{HOT_LIST}"
-        hot = spark.read.parquet(hot_path) if _fs_exists(spark, hot_path) else None
+        hot = spark.read.parquet(hot_path) if files.exists(spark, hot_path) else None
         frame = report_frame(built["fct_transactions"], built["dim_date"], built["dim_category"],
                              built["dim_account"], hot_list=hot)
     else:
@@ -166,7 +167,7 @@ def export_marts(spark: SparkSession, marts_dir: str, export_dir: str, single_fi
     """All four marts as CSV directories; returns row counts and the total."""
     counts = {}
     for name in MART_NAMES:
-        df = spark.read.parquet(f"{marts_dir}/{name}")
+        df = spark.read.parquet(f"{marts_dir}/{name}").drop("month_start")
         counts[name] = export_csv(df, f"{export_dir}/{name}", single_file)
     counts["total"] = sum(counts.values())
     return counts

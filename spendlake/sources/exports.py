@@ -1,163 +1,193 @@
 """Bank export CSVs -> export rows, headers bound by name per file.
 
-One read covers every ``*.csv`` directly inside the directory.  Each file is
-read as ``;``-separated, quoted, multi-line UTF-8 text (the BOM is dropped by
-the reader) into positional string cells.  The first record of each file is
-its header; it is found with one aggregation (a row per file) and joined back,
-so a file whose columns come in another order, or that lacks the currency
-column, binds correctly -- nothing is read on the driver.  Files are the unit
-of parallelism (multi-line CSV cannot be split inside a file).
-
-Errors follow the strict load: a missing required header, an empty amount,
-an empty currency under a present header or a malformed date fail the job
-naming the file.  ``on_error="reject"`` instead routes rows with an empty
-amount or currency to a rejects frame.
+The files are ``;``-separated, quoted, multi-line UTF-8 text (the reader drops
+the BOM).  The first record of each file is its header.  The workers read just
+that record, files with the same header form a layout, and each layout is one
+scan with the header's own width, so columns come in any order and number, and
+a layout without the currency column binds correctly.  Records are read once;
+nothing joins, sorts or shuffles them.  Files are the unit of parallelism
+(multi-line CSV cannot be split inside a file) unless ``split_files`` is set.
+
+Errors follow the strict load: a missing required header fails at once; an
+empty amount, an empty currency under a present header or a malformed date
+fail the job naming the file.  ``on_error="reject"`` instead routes rows with
+an empty amount or currency to a rejects frame.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake import fixed_values as FV
-from spendlake.functions.text import decode_file_name, empty_to_null, parse_locale_decimal
+from spendlake.functions.text import decode_file_name, parse_locale_decimal, pending_to_null
+from spendlake.schemas import EXPORT_ROWS
+from spendlake.sources import files
 
 FIELDS = ["posting_date", "amount", "sender", "recipient", "name", "description", "balance",
           "currency", "reconciled"]
 REQUIRED = [f for f in FIELDS if f != "currency"]
-MAX_COLUMNS = 64
-# Broadcast the per-file header table up to this many files (a row holds the
-# file name and nine small integers).
-BROADCAST_FILES = 100_000
-
-
-def _cells_schema(n: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
+COLUMNS = EXPORT_ROWS.fieldNames()
+_CHUNK = 64 << 10
 
 
-def read_cells(spark: SparkSession, path, max_columns: int = MAX_COLUMNS, split_files: bool = False) -> DataFrame:
-    """Positional cells of every record, with file name and file order.
-    ``path`` is a directory (its ``*.csv`` files), a file, or a list of files.
-
-    By default a file is read whole (quoted fields may hold line breaks), so
-    files are the unit of parallelism.  ``split_files=True`` reads line by
-    line and lets Spark split a large file into byte ranges -- for exports
-    known to hold no quoted line breaks, so that one huge file does not land
-    in one task.  The position in the file is (split start, record id): the
-    id grows with the file position inside a split, the split start orders
-    the splits, whatever partitions they are packed into."""
+def export_paths(spark: SparkSession, path) -> list[str]:
+    """The ``*.csv`` directly inside a folder, one file, or a list of files."""
     if isinstance(path, (list, tuple)):
-        glob = list(path)
-    else:
-        glob = path if path.endswith(".csv") else path.rstrip("/") + "/*.csv"
-    df = (spark.read.schema(_cells_schema(max_columns))
-          .options(header=False, sep=";", quote='"', escape='"', multiLine=not split_files,
+        return sorted(path)
+    return files.matching(spark, path if path.endswith(".csv") else path.rstrip("/") + "/*.csv")
+
+
+def _first_record(stream) -> list[str]:
+    """Cells of the first non-empty record; reads no further than its end."""
+    raw, quoted, at, start = b"", False, 0, 0
+    while True:
+        more = stream.read(_CHUNK)
+        raw += more
+        while at < len(raw):
+            c = raw[at:at + 1]
+            if c == b'"':
+                quoted = not quoted
+            elif c in b"\r\n" and not quoted:
+                if raw[start:at].removeprefix(b"\xef\xbb\xbf").strip():
+                    break
+                start = at + 1
+            at += 1
+        if at < len(raw) or not more:
+            text = raw[start:at].decode("utf-8-sig")
+            return next(csv.reader(io.StringIO(text, newline=""), delimiter=";"), [])
+
+
+def layouts(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """header -> files with that header; files without any record are left out.
+    The workers read the headers, the driver gets one header per listed file."""
+    paths = export_paths(spark, path)
+    if not paths:
+        return {}
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            headers = []
+            for name in names:
+                filesystem, place = files.open_filesystem(name)
+                with filesystem.open_input_stream(place, compression=None) as stream:
+                    headers.append(_first_record(stream))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(headers, pa.list_(pa.string()))],
+                                             ["path", "header"])
+
+    tasks = min(len(paths), 8 * spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks, "path")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in listed.mapInArrow(read, "path string, header array<string>").collect():
+        if r["header"]:
+            out.setdefault(tuple(r["header"]), []).append(r["path"])
+    return {h: sorted(ps) for h, ps in sorted(out.items())}
+
+
+def scan(spark: SparkSession, paths: list[str], width: int, split_files: bool = False) -> DataFrame:
+    """Positional cells ``_c0`` .. of every record below the header, with file name and order.
+
+    By default a file is read whole (quoted fields may hold line breaks).
+    ``split_files=True`` reads line by line and lets Spark split a large file
+    into byte ranges -- for exports known to hold no quoted line breaks.  The
+    position in the file is (split start, record id): the id grows with the
+    file position inside a split, the split start orders the splits."""
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    df = (spark.read.schema(schema)
+          .options(header=True, enforceSchema=True, sep=";", quote='"', escape='"', multiLine=not split_files,
                    encoding="UTF-8", mode="PERMISSIVE", nullValue="", emptyValue="")
-          .csv(glob))
-    return df.select(
-        F.array(*[F.col(f"_c{i}") for i in range(max_columns)]).alias("cells"),
-        decode_file_name(F.col("_metadata.file_name")).alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("split_start"),
-                 F.monotonically_increasing_id().alias("record")).alias("row_in_file"),
-    )
+          .csv(paths))
+    return df.select("*", decode_file_name(F.col("_metadata.file_name")).alias("source_file"),
+                     F.struct(F.col("_metadata.file_block_start").alias("split_start"),
+                              F.monotonically_increasing_id().alias("record")).alias("row_in_file"))
+
 
+def positions(header, mapping: dict[str, str] | None = None) -> dict[str, int]:
+    """Field -> position; of a repeated header name the last column counts."""
+    mapping = FV.HEADER_TO_FIELD if mapping is None else mapping
+    return {mapping.get(h, h): i for i, h in enumerate(header) if mapping.get(h, h) in FIELDS}
 
-def _english(header: Column, mapping: dict[str, str]) -> Column:
-    lookup = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    return F.transform(header, lambda h: F.coalesce(F.try_element_at(lookup, h), h))
 
+def bind(cells: DataFrame, header, mapping: dict[str, str] | None = None,
+         pending_marker: str = FV.PENDING_MARKER, default_currency: str = FV.DEFAULT_CURRENCY) -> DataFrame:
+    """Fields of the records of one layout: COLUMNS but for the amount, which stays text
+    (``amount_text``), and ``reason`` of rejected rows.  Records without a value are left out."""
+    at = positions(header, mapping)
+    for f in REQUIRED:
+        if f not in at:
+            raise ValueError(f"Missing column for field '{f}' in header {list(header)}")
+    filled = [F.col(f"_c{i}") != "" for i in range(len(header))]
+    is_data = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in filled]), F.lit(False))
 
-def _last_position(header: Column, name: str) -> Column:
-    """1-based position of the last cell equal to ``name`` (0 if none): a
-    repeated header name binds its last column."""
-    rpos = F.array_position(F.reverse(header), F.lit(name))
-    return F.when(rpos > 0, F.size(header) - rpos + 1).otherwise(F.lit(0)).cast("int")
+    def field(name: str) -> Column:
+        # NULL for other records, so that no check can be evaluated on them
+        return F.when(F.col("_is_data"), F.nullif(F.col(f"_c{at[name]}"), F.lit("")))
+
+    rows = cells.withColumn("_is_data", is_data).filter("_is_data")
+    currency = field("currency") if "currency" in at else F.lit(default_currency)
+    no_currency = F.col("_is_data") & currency.isNull()
+    return rows.select(
+        pending_to_null(field("posting_date"), pending_marker).alias("posting_date_text"),
+        field("amount").alias("amount_text"),
+        *[field(f).alias(f) for f in ("sender", "recipient", "name", "description")],
+        parse_locale_decimal(field("balance")).alias("balance"),
+        currency.alias("currency"), field("reconciled").alias("reconciled"), "source_file", "row_in_file",
+        F.when(field("amount").isNull(), F.lit("empty amount")).when(no_currency, F.lit("empty currency"))
+         .alias("reason"))
 
 
-def _has(header: Column, name: str) -> Column:
-    # The header array is padded with NULL cells; array_contains over NULLs
-    # answers NULL instead of false, so test the compacted array.
-    return F.array_contains(F.array_compact(header), F.lit(name))
+def _strict(bound: DataFrame) -> DataFrame:
+    message = F.concat(F.lit("Empty required value (amount or currency) in file '"), F.col("source_file"),
+                       F.lit("' at record "), F.to_json(F.struct("row_in_file")))
+    amount = F.when(F.col("reason").isNotNull(), F.raise_error(message)).otherwise(
+        parse_locale_decimal(F.col("amount_text")))
+    return bound.withColumn("amount", amount).select(*COLUMNS)
 
 
-def _checked_header(header: Column, source_file: Column) -> Column:
-    out = header
-    for f in reversed(REQUIRED):
-        msg = F.concat(F.lit(f"Missing column for field '{f}' in file '"), source_file, F.lit("'"))
-        out = F.when(~_has(header, f), F.raise_error(msg)).otherwise(out)
-    return out
+def split_rejects(bound: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): rejects have an empty amount, or an empty currency under a currency header."""
+    good = bound.filter("reason IS NULL").withColumn("amount", parse_locale_decimal(F.col("amount_text")))
+    rejects = bound.filter("reason IS NOT NULL").select(
+        "reason", "source_file", "row_in_file", "posting_date_text", "amount_text", "description", "name")
+    return good.select(*COLUMNS), rejects
 
 
 def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = None,
                  on_error: str = "fail", pending_marker: str = FV.PENDING_MARKER,
-                 default_currency: str = FV.DEFAULT_CURRENCY, max_columns: int = MAX_COLUMNS,
-                 split_files: bool = False):
+                 default_currency: str = FV.DEFAULT_CURRENCY, split_files: bool = False):
     """Export rows (``schemas.EXPORT_ROWS``) of every CSV in ``path``.
 
     Returns the rows, or ``(rows, rejects)`` when ``on_error="reject"``."""
     if on_error not in ("fail", "reject"):
         raise ValueError("on_error must be 'fail' or 'reject'")
-    mapping = dict(FV.HEADER_TO_FIELD if mapping is None else mapping)
-    cells = read_cells(spark, path, max_columns, split_files)
-    # One row per file: the first record is the header.  It is reduced to the
-    # 1-based cell position of each field (0 = column absent), so the table
-    # has a fixed width per file.  The file listing is already on the driver
-    # (it plans the scan), so the number of files bounds the table's size:
-    # within the bound it is broadcast and no record is shuffled to meet its
-    # header; above it, AQE picks the join at runtime.
-    headers = (cells.groupBy("source_file")
-               .agg(F.min_by("cells", "row_in_file").alias("_header"), F.min("row_in_file").alias("_header_row"))
-               .select(F.col("source_file").alias("_hfile"), "_header_row",
-                       _checked_header(_english(F.col("_header"), mapping), F.col("source_file")).alias("_h")))
-    headers = headers.select("_hfile", "_header_row",
-                             *[_last_position(F.col("_h"), f).alias(f"_pos_{f}") for f in FIELDS])
-    if len(cells.inputFiles()) <= BROADCAST_FILES:
-        headers = F.broadcast(headers)
-    # A data record is any non-header record with a non-empty cell.  Every
-    # value (and so every raising check) is NULL for other records, so no
-    # filter order chosen by the optimizer can evaluate a check on them.
-    is_data = ((F.col("row_in_file") != F.col("_header_row"))
-               & F.exists("cells", lambda c: c.isNotNull() & (c != F.lit(""))))
-    rows = (cells.join(headers, cells["source_file"] == headers["_hfile"])
-            .withColumn("_is_data", is_data).filter(F.col("_is_data")))
+    parts = []
+    for header, paths in layouts(spark, path).items():
+        try:
+            parts.append(bind(scan(spark, paths, len(header), split_files), header, mapping,
+                              pending_marker, default_currency))
+        except ValueError as e:
+            raise ValueError(f"{e} of file '{unquote(paths[0].rsplit('/', 1)[-1])}'") from None
+    if not parts:
+        # no file with a header: no rows (the position column has the scan's type)
+        position = "row_in_file struct<split_start:bigint,record:bigint>"
+        bound = spark.createDataFrame([], "posting_date_text string, amount_text string, sender string, recipient "
+                                          "string, name string, description string, balance decimal(18,2), currency "
+                                          f"string, reconciled string, source_file string, {position}, reason string")
+    else:
+        bound = reduce(DataFrame.unionByName, parts)
+    return _strict(bound) if on_error == "fail" else split_rejects(bound)
 
-    def field(name: str) -> Column:
-        pos = F.col(f"_pos_{name}")
-        return F.when(F.col("_is_data") & (pos > 0), empty_to_null(F.element_at(F.col("cells"), pos)))
-
-    has_currency = F.col("_pos_currency") > 0
-    bound = rows.select(
-        F.nullif(field("posting_date"), F.lit(pending_marker)).alias("posting_date_text"),
-        field("amount").alias("_amount_text"),
-        field("sender").alias("sender"),
-        field("recipient").alias("recipient"),
-        field("name").alias("name"),
-        field("description").alias("description"),
-        parse_locale_decimal(field("balance")).alias("balance"),
-        F.when(has_currency, field("currency")).otherwise(F.lit(default_currency)).alias("currency"),
-        has_currency.alias("_has_currency"), "_is_data",
-        field("reconciled").alias("reconciled"),
-        "source_file", "row_in_file",
-    )
-    bad_amount = F.col("_is_data") & F.col("_amount_text").isNull()
-    bad_currency = F.col("_is_data") & F.col("_has_currency") & F.col("currency").isNull()
-    columns = ["posting_date_text", "amount", "sender", "recipient", "name", "description", "balance",
-               "currency", "reconciled", "source_file", "row_in_file"]
-    if on_error == "fail":
-        msg = F.concat(F.lit("Empty required value (amount or currency) in file '"), F.col("source_file"),
-                       F.lit("' at record "), F.col("row_in_file.record").cast("string"))
-        amount = F.when(bad_amount | bad_currency, F.raise_error(msg)).otherwise(parse_locale_decimal(F.col("_amount_text")))
-        return bound.withColumn("amount", amount).select(*columns)
-    good = bound.filter(~(bad_amount | bad_currency)).withColumn("amount", parse_locale_decimal(F.col("_amount_text")))
-    rejects = bound.filter(bad_amount | bad_currency).select(
-        F.when(bad_amount, F.lit("empty amount")).otherwise(F.lit("empty currency")).alias("reason"),
-        "source_file", "row_in_file", "posting_date_text", F.col("_amount_text").alias("amount_text"),
-        "description", "name")
-    return good.select(*columns), rejects
-
-
-def export_files(spark: SparkSession, path, max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """One row per export file that has at least a header line (a file with
-    no line at all yields no row, as it yields no transactions)."""
-    return read_cells(spark, path, max_columns).select("source_file").distinct()
+
+def export_files(spark: SparkSession, path) -> DataFrame:
+    """One row (``source_file``) per listed export file, with or without records."""
+    names = [(p.rsplit("/", 1)[-1],) for p in export_paths(spark, path)]
+    return spark.createDataFrame(names, "source_file string")

@@ -1,12 +1,13 @@
 """Append newly landed export files to the raw table as they arrive.
 
-The loader itself is a batch rule (newest export wins within one run, keys
-already stored stay).  A Structured Streaming file source discovers new
-``*.csv`` files -- only their paths are selected, so the binary source does
-not read contents -- and ``foreachBatch`` runs the batch load over exactly
-those files with append semantics.  Each micro-batch is one load run; the
-stream's checkpoint records which files were handled, and the anti join on
-the key makes a re-run batch append nothing twice.
+The loader is a batch rule (newest export wins within one run, keys already
+stored stay).  A Structured Streaming file source discovers new ``*.csv``
+files -- only their paths are selected, so the binary source does not read
+contents -- and ``foreachBatch`` runs the batch load over exactly those files
+with append semantics.  A micro-batch is one load run over all files that are
+new, however many: a limit per trigger would split a backlog by arrival and let
+superseded rows in.  The stream's checkpoint records which files were handled,
+and the anti join on the key makes a re-run batch append nothing twice.
 """
 
 from __future__ import annotations
@@ -15,36 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spendlake.operators import ingest
-from spendlake.plans.pipeline import _fs_exists
-from spendlake.sources.exports import read_exports
+from spendlake.plans.pipeline import load_exports
 
 
 def _append_batch(raw_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # The new file names of this trigger (bounded by maxFilesPerTrigger).
+        # the file names of the new files; the driver has listed them already
         paths = [r.path for r in batch.select("path").distinct().collect()]
-        if not paths:
-            return
-        new_raw = ingest.load(read_exports(spark, paths))
-        if not _fs_exists(spark, raw_path):  # first batch: no table yet
-            new_raw.write.mode("append").parquet(raw_path)
-            return
-        existing = spark.read.parquet(raw_path)
-        ingest.append_new_only(new_raw, existing).write.mode("append").parquet(raw_path)
+        if paths:
+            load_exports(batch.sparkSession, paths, raw_path, append=True)
     return run
 
 
 def start_incremental_load(spark: SparkSession, export_dir: str, raw_path: str, checkpoint_location: str,
-                           available_now: bool = True, max_files_per_trigger: int = 1000) -> StreamingQuery:
+                           available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and
     stops (call ``awaitTermination``)."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = (spark.readStream.format("binaryFile").schema(schema)
              .option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", "false")
-             .option("maxFilesPerTrigger", max_files_per_trigger)
              .load(export_dir)
              .select(F.col("path")))
     writer = (files.writeStream.foreachBatch(_append_batch(raw_path))

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from conftest import HEADER, write_csv
 from spendlake.operators import ingest
-from spendlake.sources.exports import read_cells, read_exports
+from spendlake.sources.exports import layouts, read_exports, scan
 
 F1 = "Konto 0718 - 2024-02-01 08.00.00.csv"
 F0 = "Konto 0718 - 2024-01-16 08.00.00.csv"
@@ -69,8 +69,8 @@ def test_missing_currency_header_defaults(spark, tmp_path):
 def test_missing_required_header_fails(spark, tmp_path):
     header = [h for h in HEADER if h != "Saldo"]
     write_csv(tmp_path / F1, header, [["2024/01/05", "-10,00", "0718", "", "n", "x", "DKK", ""]])
-    with pytest.raises(PySparkException, match="Missing column for field 'balance'"):
-        read_exports(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="Missing column for field 'balance'.*Konto 0718"):
+        read_exports(spark, str(tmp_path))
 
 
 def test_empty_values_fail_or_reject(spark, tmp_path):
@@ -126,7 +126,8 @@ def test_split_large_file_keeps_header_and_order(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
     try:
-        cells = read_cells(spark, str(tmp_path), split_files=True)
+        (columns, paths), = layouts(spark, str(tmp_path)).items()
+        cells = scan(spark, paths, len(columns), split_files=True)
         assert cells.rdd.getNumPartitions() > 4
         got = read_exports(spark, str(tmp_path), split_files=True)
         assert got.count() == n + 1
@@ -138,3 +139,36 @@ def test_split_large_file_keeps_header_and_order(spark, tmp_path):
         assert sorted(r.transaction_hash for r in whole.collect()) == sorted(r.transaction_hash for r in raw.collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("extra", [56, 64, 190])
+def test_any_number_of_columns(spark, tmp_path, extra):
+    header = HEADER[:7] + [f"x{k}" for k in range(extra)] + HEADER[7:]
+    row = ["2024/01/05", "-10,00", "0718", "", "n", "wide", "1,00"] + ["y"] * extra + ["EUR", "ja"]
+    write_csv(tmp_path / F1, header, [row])
+    r = read_exports(spark, str(tmp_path)).first()
+    assert (r["currency"], r["reconciled"], r["description"]) == ("EUR", "ja", "wide")
+
+
+def test_layouts(spark, tmp_path):
+    write_csv(tmp_path / F1, HEADER, [])
+    write_csv(tmp_path / F0, HEADER, [], bom=False, trailing=False)
+    write_csv(tmp_path / "Konto 0719 - x;y.csv", ['two "quoted"\nlines', "b"], [])
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text("\n\n")
+    found = {h: len(p) for h, p in layouts(spark, str(tmp_path)).items()}
+    assert found == {tuple(HEADER) + ("",): 1, tuple(HEADER): 1, ('two "quoted"\nlines', "b", ""): 1}
+
+
+def test_folder_without_exports(spark, tmp_path):
+    assert read_exports(spark, str(tmp_path)).count() == 0
+    (tmp_path / "empty.csv").write_text("")
+    rows, rejects = read_exports(spark, str(tmp_path), on_error="reject")
+    assert rows.count() == rejects.count() == 0
+
+
+def test_records_are_scanned_once_without_a_shuffle(spark, tmp_path):
+    write_csv(tmp_path / F1, HEADER, [["2024/01/05", "-10,00", "0718", "", "n", "x", "1,00", "DKK", ""]])
+    plan = read_exports(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert not any(x in plan for x in ("Exchange", "Sort", "Aggregate", "Join"))

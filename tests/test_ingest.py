@@ -113,6 +113,8 @@ def test_audit_lists_files_without_rows(spark, tmp_path):
     from spendlake.sources.exports import export_files
     write_csv(tmp_path / NEW, HEADER, [row("2024/01/10", "-1,00", "a")])
     write_csv(tmp_path / OLD, HEADER, [])
+    (tmp_path / "nothing at all+.csv").write_text("")
     audit = {r["source_file"]: r for r in ingest.load_audit(read_exports(spark, str(tmp_path)),
                                                             export_files(spark, str(tmp_path))).collect()}
     assert audit[OLD]["parsed"] == 0 and audit[OLD]["inserted"] == 0 and audit[NEW]["inserted"] == 1
+    assert audit["nothing at all+.csv"]["parsed"] == 0

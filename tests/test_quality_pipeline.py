@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +121,56 @@ def test_rule_seed_csv_and_keep_frame(spark, tmp_path):
                                 keep_frame=True)
     assert res.frame.is_cached
     assert {r.category_key for r in res.frame.collect()} == {"CAT001", "CAT999"}
+
+
+def test_append_audit_counts_what_was_written(spark, tmp_path):
+    out, d = str(tmp_path / "out"), csv_dir(tmp_path)
+    (d / "empty.csv").write_text("")
+    first = pipeline.run_pipeline(spark, out, csv_dir=str(d), append=True)
+    assert first.raw.count() == 3
+    audit = {r.source_file: r for r in spark.read.parquet(f"{out}/load_audit").collect()}
+    assert (audit[None].inserted, audit[None].skipped, audit["empty.csv"].parsed) == (3, 2, 0)
+    again = pipeline.run_pipeline(spark, out, csv_dir=str(d), append=True)
+    assert again.raw.count() == 3
+    audit = {r.source_file: r for r in spark.read.parquet(f"{out}/load_audit").collect()}
+    assert (audit[None].inserted, audit[None].skipped, audit[None].parsed) == (0, 5, 5)
+    assert not [f for f in os.listdir(out) if "landing" in f]
+
+
+def test_date_filters_prune_the_stored_fact(spark, tmp_path):
+    from spendlake.operators import filters, reports
+    d = tmp_path / "exports"
+    d.mkdir()
+    write_csv(d / "Konto 0718 - 2024-12-31 08.00.00.csv", HEADER, [
+        [f"2024/{m:02d}/10", "-1,00", "0718", "", "", f"m{m}", "", "DKK", ""] for m in range(1, 13)])
+    out = str(tmp_path / "out")
+    pipeline.run_pipeline(spark, out, csv_dir=str(d))
+    frame = pipeline.run_pipeline(spark, out, skip_load=True, skip_models=True).frame
+    for view, n in ((filters.date_range(frame, "2024-05-01", "2024-06-30"), 2), (filters.date_range(frame), 3)):
+        report = reports.expenses_by_category(view)
+        assert view.count() == n
+        report.collect()
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        pruned = [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+        assert any("month_start" in x for x in pruned)
+    raw = spark.read.parquet(f"{out}/raw_transactions")
+    assert sorted(r.month_start.month for r in raw.select("month_start").distinct().collect()) == list(range(1, 13))
+
+
+STOCK_SESSION = """
+import sys
+from pyspark.sql import SparkSession
+from spendlake.plans import pipeline
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert not spark.conf.get("spark.checkpoint.dir", None)
+print("rows", pipeline.run_pipeline(spark, sys.argv[2], csv_dir=sys.argv[1]).frame.count())
+"""
+
+
+def test_pipeline_on_a_session_without_settings(tmp_path):
+    conf = tmp_path / "conf"
+    conf.mkdir()
+    env = os.environ | {"SPARK_CONF_DIR": str(conf), "PYTHONPATH": os.path.dirname(os.path.dirname(__file__))}
+    done = subprocess.run([sys.executable, "-c", STOCK_SESSION, str(csv_dir(tmp_path)), str(tmp_path / "out")],
+                          env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 3" in done.stdout, done.stderr[-2000:]
