@@ -13,7 +13,10 @@ def date_range(frame: DataFrame, start: dt.date | str | None = None, end: dt.dat
                default_days: int = 90) -> DataFrame:
     """Inclusive range on ``date_day``.  Without bounds the default is the
     last ``default_days`` days up to the latest date; the bound is a scalar
-    subquery planned by Catalyst, nothing is collected."""
+    subquery planned by Catalyst, nothing is collected.
+
+    A row's ``date_day`` is its ``date_key``, so the same bounds go on the key
+    and, for a stored fact, on its month partitions: files outside are not read."""
     day = F.col("date_day")
     if start is None and end is None:
         latest = frame.select(F.max("date_day")).scalar()
@@ -22,10 +25,17 @@ def date_range(frame: DataFrame, start: dt.date | str | None = None, end: dt.dat
         lo = None if start is None else F.lit(start).cast("date")
         hi = None if end is None else F.lit(end).cast("date")
     cond = day.isNotNull()
-    if lo is not None:
-        cond = cond & (day >= lo)
-    if hi is not None:
-        cond = cond & (day <= hi)
+    days = [day] + [F.col("date_key")] * ("date_key" in frame.columns)
+    for c in days:
+        if lo is not None:
+            cond = cond & (c >= lo)
+        if hi is not None:
+            cond = cond & (c <= hi)
+    if "month_start" in frame.columns:
+        if lo is not None:
+            cond = cond & (F.col("month_start") >= F.trunc(lo, "month"))
+        if hi is not None:
+            cond = cond & (F.col("month_start") <= F.trunc(hi, "month"))
     return frame.filter(cond)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake import fixed_values as FV
@@ -31,6 +31,19 @@ def fact_transactions(categorised: DataFrame) -> DataFrame:
     return categorised.select(*cols)
 
 
+def account_attributes(number: Column, bank_name: str = FV.BANK_NAME,
+                       checking_prefix: str = FV.CHECKING_PREFIX) -> dict[str, Column]:
+    """The account dimension's report attributes as functions of the account
+    number (NULL number -> NULL attributes, as an unmatched left join gives)."""
+    present = number.isNotNull()
+    return {
+        "account_number": number,
+        "bank_name": F.when(present, F.lit(bank_name)),
+        "account_type": F.when(present, F.when(number.startswith(checking_prefix), F.lit("Checking"))
+                               .otherwise(F.lit("Unknown"))),
+    }
+
+
 def dim_account(staged: DataFrame, bank_name: str = FV.BANK_NAME,
                 default_currency: str = FV.DEFAULT_CURRENCY,
                 checking_prefix: str = FV.CHECKING_PREFIX) -> DataFrame:
@@ -38,14 +51,10 @@ def dim_account(staged: DataFrame, bank_name: str = FV.BANK_NAME,
     columns, then a distinct that deduplicates map-side first)."""
     accounts = (staged.select(F.explode(F.array("sender_account", "recipient_account")).alias("account_number"))
                 .filter(F.col("account_number").isNotNull()).distinct())
-    return accounts.select(
-        F.col("account_number").alias("account_key"),
-        "account_number",
-        F.lit(bank_name).alias("bank_name"),
-        F.lit(default_currency).alias("default_currency"),
-        F.when(F.col("account_number").startswith(checking_prefix), F.lit("Checking"))
-         .otherwise(F.lit("Unknown")).alias("account_type"),
-    )
+    known = account_attributes(F.col("account_number"), bank_name, checking_prefix)
+    return accounts.select(F.col("account_number").alias("account_key"), "account_number",
+                           known["bank_name"].alias("bank_name"), F.lit(default_currency).alias("default_currency"),
+                           known["account_type"].alias("account_type"))
 
 
 def dim_category(spark: SparkSession, rows=None) -> DataFrame:

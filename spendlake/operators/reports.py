@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendlake import fixed_values as FV
@@ -25,6 +26,11 @@ def _sum0(c: Column) -> Column:
     return _money(F.coalesce(F.sum(c), F.lit(0)))
 
 
+def _average(c: Column) -> Column:
+    """Unrounded: the exact sum over the count, as a double."""
+    return F.sum(c).cast("double") / F.count(c)
+
+
 def _debits(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("transaction_type") == "debit")
 
@@ -176,12 +182,12 @@ def measures(fact: DataFrame) -> DataFrame:
         _sum0(credit).alias("total_income"),
         _sum0(debit).alias("total_expenses"),
         F.count(F.lit(1)).alias("transaction_count"),
-        _money(F.round(F.avg("absolute_amount"), 2)).alias("average_transaction"),
+        _average(F.col("absolute_amount")).alias("average_transaction"),
     ).withColumn("net_flow", _money(F.col("total_income") + F.col("total_expenses")))
 
 
 def average_transaction(fact: DataFrame) -> DataFrame:
-    return fact.agg(_money(F.round(F.avg("absolute_amount"), 2)).alias("average_transaction"))
+    return fact.agg(_average(F.col("absolute_amount")).alias("average_transaction"))
 
 
 def category_matrix(frame: DataFrame) -> DataFrame:
@@ -202,9 +208,11 @@ def spending_without_transfers(frame: DataFrame) -> DataFrame:
 def daily_balance(fact: DataFrame) -> DataFrame:
     """Balance per account and day: the balance of the row with the largest
     key that day (a deterministic choice; the rows carry no time)."""
+    last = W.partitionBy("account_key", "date_key").orderBy(F.desc("transaction_key"))
+    # a limit of one row per group goes before the shuffle; a maximum over text would sort all rows
     return (fact.filter(F.col("account_key").isNotNull() & F.col("date_key").isNotNull())
-            .groupBy("account_key", "date_key")
-            .agg(F.max_by("balance", "transaction_key").alias("balance")))
+            .withColumn("_rn", F.row_number().over(last)).filter(F.col("_rn") == 1)
+            .select("account_key", "date_key", "balance"))
 
 
 def amount_by_date(frame: DataFrame) -> DataFrame:

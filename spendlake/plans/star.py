@@ -1,11 +1,12 @@
 """Star join: the denormalised report frame.
 
-Date and category dimensions are bounded by construction (calendar range,
-literal rows) and are broadcast.  The account dimension grows with the data:
-it is broadcast within a counted bound; beyond it hot accounts are joined
-map-side against a broadcast of their few rows and the rest by a shuffle join
-without hot keys.  Every account side is unique on its key, so reports
-without account columns skip the account join entirely."""
+The date and category dimensions are joined as Catalyst sees fit; generated
+ones (calendar range, literal rows) are small enough to be broadcast by their
+size.  The account dimension grows with the data.  Its side is unique on its
+key, so reports without account columns skip that join entirely.  No key of it
+gathers an unbounded group: rows without an account get a key of their own that
+matches nothing, and accounts with more than a given number of fact rows are
+joined map-side against a broadcast of their few dimension rows."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake import fixed_values as FV
+from spendlake.operators.marts import account_attributes
 
 DATE_COLUMNS = ["date_day", "year", "quarter", "month", "month_name", "week_of_year", "day_of_week"]
 CATEGORY_COLUMNS = ["category_name", "category_group", "category_type", "category_classification"]
@@ -25,78 +27,61 @@ FACT_COLUMNS = [
 REPORT_COLUMNS = FACT_COLUMNS + DATE_COLUMNS + CATEGORY_COLUMNS + ACCOUNT_COLUMNS
 
 
-ACCOUNT_BROADCAST_ROWS = 1_000_000
 HOT_ACCOUNT_ROWS = 10_000_000
 
 
-def hot_accounts(fact: DataFrame, hot_rows: int = None) -> DataFrame:
+def hot_accounts(fact: DataFrame, hot_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
     """Accounts with more than ``hot_rows`` fact rows (at most rows/hot_rows
     of them): one aggregate over the key column, partial on the map side."""
-    hot_rows = HOT_ACCOUNT_ROWS if hot_rows is None else hot_rows
     return (fact.filter(F.col("account_key").isNotNull()).groupBy("account_key")
             .agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > hot_rows))
 
 
-def _with_accounts(f: DataFrame, dim_account: DataFrame, broadcast_rows: int | None, hot_rows: int,
-                   hot_list: DataFrame | None = None) -> DataFrame:
+def _with_accounts(f: DataFrame, dim_account: DataFrame, hot_list: DataFrame) -> DataFrame:
     """Left join of the account attributes, in a form Catalyst removes when
     no account column is used (every account side is unique on its key).
 
-    Within ``broadcast_rows`` (counted from file footers, at most bound+1
-    rows) the unique dimension is broadcast, so no account can skew the join.
-    Beyond it, accounts with more than ``hot_rows`` fact rows are found by one
-    aggregate (partial on the map side); there are at most rows/``hot_rows``
-    of them, so their dimension rows are broadcast and joined map-side.  For
-    the shuffle join their key is replaced by a unique value that matches
-    nothing, so no key in that join holds more than ``hot_rows`` rows."""
+    ``hot_list`` (``hot_accounts``) has at most rows/hot_rows accounts: their
+    dimension rows are broadcast.  In the other join their rows, and rows
+    without an account, carry a key of their own, so no key there holds more
+    than ``hot_rows`` rows."""
     a = dim_account.select(F.col("account_key").alias("_a_key"), *ACCOUNT_COLUMNS).dropDuplicates(["_a_key"])
-    small = (broadcast_rows is not None and broadcast_rows > 0
-             and dim_account.limit(broadcast_rows + 1).count() <= broadcast_rows)
-    if small:
-        return f.join(F.broadcast(a), f["account_key"] == F.col("_a_key"), "left")
-    hot_keys = (hot_list if hot_list is not None else hot_accounts(f, hot_rows)).select(
-        F.col("account_key").alias("_hk"))
+    hot_keys = hot_list.select(F.col("account_key").alias("_hk"))
     hot = (a.join(F.broadcast(hot_keys), F.col("_a_key") == F.col("_hk"), "left_semi")
            .select(F.col("_a_key").alias("_h_key"), *[F.col(c).alias("_h_" + c) for c in ACCOUNT_COLUMNS]))
     g = f.join(F.broadcast(hot), f["account_key"] == F.col("_h_key"), "left")
-    g = g.withColumn("_j_key", F.when(F.col("_h_key").isNotNull(),
-                                      F.concat(F.lit("\u0000"), F.col("transaction_key")))
+    alone = F.col("_h_key").isNotNull() | F.col("account_key").isNull()
+    g = g.withColumn("_j_key", F.when(alone, F.concat(F.lit("\u0000"), F.col("transaction_key")))
                       .otherwise(F.col("account_key")))
     g = g.join(a, g["_j_key"] == F.col("_a_key"), "left")
     return g.withColumns({c: F.coalesce(F.col("_h_" + c), F.col(c)) for c in ACCOUNT_COLUMNS})
 
 
-def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
-                 dim_account: DataFrame, account_broadcast_rows: int | None = ACCOUNT_BROADCAST_ROWS,
-                 hot_account_rows: int = HOT_ACCOUNT_ROWS, hot_list: DataFrame | None = None) -> DataFrame:
+def _with_dimensions(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame) -> DataFrame:
+    d = dim_date.select(F.col("date_key").alias("_d_key"), *DATE_COLUMNS)
+    c = dim_category.select(F.col("category_key").alias("_c_key"), *CATEGORY_COLUMNS)
+    f = fact.select(*FACT_COLUMNS, *_layout(fact))
+    return (f.join(d, f["date_key"] == d["_d_key"], "left")
+             .join(c, f["category_key"] == c["_c_key"], "left"))
+
+
+def _layout(fact: DataFrame) -> list[str]:
+    """A stored fact's partition column goes along, so that date filters prune files."""
+    return [c for c in ("month_start",) if c in fact.columns]
+
+
+def report_frame(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame, dim_account: DataFrame,
+                 hot_list: DataFrame | None = None, hot_account_rows: int = HOT_ACCOUNT_ROWS) -> DataFrame:
     """Fact LEFT JOIN date, category, account; one row per fact row.
 
     Every account side is unique on its join key, so the join is many-to-one
     by construction and Catalyst removes it from every report that uses no
     account column -- at scale this saves shuffling the fact by account.
-    Date and category keys are unique by construction (generated calendar,
-    literal rows) and their joins are used by nearly every report; the unique
-    checks cover stored copies.  ``hot_list`` is the stored result of
-    ``hot_accounts`` (written with the marts), so queries need not recount."""
-    d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
-    c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
-                    .withColumnRenamed("category_key", "_c_key"))
-    f = fact.select(*FACT_COLUMNS)
-    f = (f.join(d, f["date_key"] == d["_d_key"], "left")
-          .join(c, f["category_key"] == c["_c_key"], "left"))
-    return _with_accounts(f, dim_account, account_broadcast_rows, hot_account_rows, hot_list).select(*REPORT_COLUMNS)
-
-
-def account_columns(key, bank_name: str = FV.BANK_NAME, checking_prefix: str = FV.CHECKING_PREFIX) -> dict:
-    """The account dimension's attributes as functions of the key (NULL key
-    -> NULL attributes, as an unmatched left join gives)."""
-    present = key.isNotNull()
-    return {
-        "account_number": key,
-        "bank_name": F.when(present, F.lit(bank_name)),
-        "account_type": F.when(present, F.when(key.startswith(checking_prefix), F.lit("Checking"))
-                               .otherwise(F.lit("Unknown"))),
-    }
+    ``hot_list`` is the stored result of ``hot_accounts`` (written with the
+    marts), so queries need not recount."""
+    joined = _with_dimensions(fact, dim_date, dim_category)
+    hot = hot_list if hot_list is not None else hot_accounts(fact, hot_account_rows)
+    return _with_accounts(joined, dim_account, hot).select(*REPORT_COLUMNS, *_layout(fact))
 
 
 def report_frame_same_run(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
@@ -109,10 +94,6 @@ def report_frame_same_run(fact: DataFrame, dim_date: DataFrame, dim_category: Da
     key.  The left join to it therefore equals columns computed from the key:
     no join, no shuffle, and no hot-account skew.  Stored marts use
     ``report_frame``, whose relationships check guards the same fact."""
-    d = F.broadcast(dim_date.select("date_key", *DATE_COLUMNS).withColumnRenamed("date_key", "_d_key"))
-    c = F.broadcast(dim_category.select("category_key", *CATEGORY_COLUMNS)
-                    .withColumnRenamed("category_key", "_c_key"))
-    f = fact.select(*FACT_COLUMNS)
-    joined = (f.join(d, f["date_key"] == d["_d_key"], "left")
-               .join(c, f["category_key"] == c["_c_key"], "left"))
-    return joined.withColumns(account_columns(F.col("account_key"), bank_name, checking_prefix)).select(*REPORT_COLUMNS)
+    joined = _with_dimensions(fact, dim_date, dim_category)
+    known = account_attributes(F.col("account_key"), bank_name, checking_prefix)
+    return joined.withColumns(known).select(*REPORT_COLUMNS, *_layout(fact))

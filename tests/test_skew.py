@@ -65,34 +65,33 @@ def test_hot_duplicate_key_is_reduced_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_hot_account_is_joined_map_side(spark):
-    from spendlake.plans.star import _with_accounts
-    fact = spark.range(0, 20000, numPartitions=4).select(
+def accounts(spark, n=20000):
+    """Half of the rows without an account, a sixth with one account, the rest all different."""
+    fact = spark.range(0, n, numPartitions=4).select(
         F.col("id").cast("string").alias("transaction_key"),
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("account_key"))
-    dim = fact.select(F.col("account_key"), F.col("account_key").alias("account_number"),
-                      F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct()
-    joined = _with_accounts(fact, dim, 0, 1000)
-    hot = joined.filter(F.col("account_key") == "hot")
-    n_hot = fact.filter(F.col("account_key") == "hot").count()
-    assert hot.filter(F.col("account_number") == "hot").count() == hot.count() == n_hot
-    # in the shuffle join every hot row carries its own key: no key holds the hot account
-    assert hot.select("_j_key").distinct().count() == n_hot
-    biggest = joined.groupBy("_j_key").count().agg(F.max("count")).first()[0]
-    assert biggest <= 1000
-    cold = joined.filter(F.col("account_key") != "hot")
-    assert cold.filter(F.col("account_number") == F.col("account_key")).count() == cold.count()
+        F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise(F.col("id").cast("string")).alias("account_key"))
+    dim = (fact.filter("account_key IS NOT NULL")
+           .select(F.col("account_key"), F.col("account_key").alias("account_number"),
+                   F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct())
+    return fact, dim
 
 
-def test_stored_hot_list_is_used(spark):
+def test_no_join_key_gathers_the_hot_account_or_rows_without_one(spark):
     from spendlake.plans.star import _with_accounts, hot_accounts
-    fact = spark.range(0, 3000, numPartitions=4).select(
-        F.col("id").cast("string").alias("transaction_key"),
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("account_key"))
-    dim = fact.select(F.col("account_key"), F.col("account_key").alias("account_number"),
-                      F.lit("b").alias("bank_name"), F.lit("t").alias("account_type")).distinct()
-    stored = hot_accounts(fact, 100)
+    fact, dim = accounts(spark)
+    stored = hot_accounts(fact, 1000)
     assert [r.account_key for r in stored.collect()] == ["hot"]
-    joined = _with_accounts(fact, dim, 0, 100, hot_list=stored)
-    assert joined.filter(F.col("_h_key") == "hot").count() == 1000
-    assert joined.filter(F.col("account_number").isNull()).count() == 0
+    joined = _with_accounts(fact, dim, stored)
+    assert joined.count() == fact.count()
+    assert joined.groupBy("_j_key").count().agg(F.max("count")).first()[0] <= 1000
+    assert joined.filter("_j_key IS NULL").count() == 0
+    assert joined.filter("NOT (account_number <=> account_key)").count() == 0
+    assert joined.filter("account_key IS NULL AND bank_name IS NOT NULL").count() == 0
+
+
+def test_no_hot_account(spark):
+    from spendlake.plans.star import _with_accounts, hot_accounts
+    fact, dim = accounts(spark, 600)
+    joined = _with_accounts(fact, dim, hot_accounts(fact, 10_000))
+    assert joined.filter("NOT (account_number <=> account_key)").count() == 0 and joined.count() == 600
