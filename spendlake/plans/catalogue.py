@@ -7,6 +7,7 @@ events adapter (``sources.adapters``) with the fixture rules, unless noted.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from spendlake.functions.text import parse_locale_decimal
 from spendlake.operators import filters, ingest, marts, quality, reports
 from spendlake.operators.categorise import best_matches, rule_matches
 from spendlake.plans.model import Model
-from spendlake.plans.star import REPORT_COLUMNS
+from spendlake.plans.star import REPORT_COLUMNS, report_frame
+from spendlake.sources.exports import bind, positions, split_rejects
+from spendlake.sources.rules import MANY_RULES, ODD_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +31,16 @@ STAGED_COLUMNS = ["transaction_hash", "posting_date", "amount", "balance", "curr
                   "transaction_type", "absolute_amount", "source_file"]
 FIRST_RUN_STAMP = "2024-01-16"
 SEARCH_TERM = "ring|bolt"
+HOT_ROWS = 20
+_FIELD_TO_HEADER = {f: h for h, f in FV.HEADER_TO_FIELD.items()}
+LAYOUTS = [
+    [_FIELD_TO_HEADER[f] for f in ("posting_date", "amount", "sender", "recipient", "name", "description", "balance",
+                                   "currency", "reconciled")],
+    [_FIELD_TO_HEADER[f] for f in ("description", "amount", "currency", "posting_date")] + ["Note"]
+    + [_FIELD_TO_HEADER[f] for f in ("reconciled", "balance", "name", "recipient", "sender")],
+    [_FIELD_TO_HEADER[f] for f in ("posting_date", "amount", "sender", "recipient", "name", "description", "balance",
+                                   "reconciled")],
+]
 FILTER_CATEGORIES = ["Groceries", "Rent"]
 
 
@@ -64,6 +77,48 @@ def _q(spark, d):
     return ingest.append_new_only(m.raw, first.raw)
 
 
+@register("ingest_audit_append")
+def _q(spark, d):
+    """The audit of that second run: keys stored by the first are not inserted again."""
+    m = Model(spark, d)
+    first = Model(spark, source=m.export_rows.filter(F.col("source_file").contains(FIRST_RUN_STAMP)))
+    return ingest.load_audit(m.export_rows, inserted=ingest.append_new_only(m.raw, first.raw))
+
+
+def _exported_cells(spark, d):
+    """Positional cells as exports hold them, one layout for each third of the
+    accounts: usual order; other order with a further column; no currency."""
+    rows = Model(spark, d).export_rows
+    no = F.col("row_in_file")
+    texts = {
+        "posting_date": F.coalesce("posting_date_text", F.when(no % 4 == 0, F.lit(FV.PENDING_MARKER)).otherwise(F.lit(""))),
+        "amount": F.when(no % 97 == 5, F.lit("")).otherwise(_locale_text(F.col("amount"))),
+        "currency": F.when(no % 89 == 7, F.lit("")).otherwise(F.col("currency")),
+        "balance": F.when(no % 11 == 0, F.lit("")).otherwise(_locale_text(F.col("balance"))),
+        **{f: F.coalesce(f, F.lit("")) for f in ("sender", "recipient", "name", "description", "reconciled")},
+    }
+    third = F.substring("source_file", 7, 10).cast("long") % 3  # of the account number
+    for k, header in enumerate(LAYOUTS):
+        field_at = {i: f for f, i in positions(header).items()}
+        cells = [texts[field_at[i]] if i in field_at else F.lit("x") for i in range(len(header))]
+        yield header, (rows.filter(third == k).select(
+            *[F.nullif(c, F.lit("")).alias(f"_c{i}") for i, c in enumerate(cells)], "source_file", "row_in_file"))
+
+
+def _bound(spark, d):
+    return reduce(DataFrame.unionByName, [bind(cells, header) for header, cells in _exported_cells(spark, d)])
+
+
+@register("ingest_bind_headers")
+def _q(spark, d):
+    return split_rejects(_bound(spark, d))[0]
+
+
+@register("ingest_rejects")
+def _q(spark, d):
+    return split_rejects(_bound(spark, d))[1]
+
+
 def _locale_text(c):
     return F.translate(F.format_number(c, 2), ",.", ".,")
 
@@ -114,11 +169,28 @@ def _q(spark, d):
     return Model(spark, d).categorised.select(*CATEGORISED_COLUMNS)
 
 
-@register("categorise_window_form")
+@register("categorise_join_form")
 def _q(spark, d):
     return Model(spark, d, method="join").categorised.select(*CATEGORISED_COLUMNS)
 
 
+@register("categorise_automaton_form")
+def _q(spark, d):
+    return Model(spark, d, method="automaton").categorised.select(*CATEGORISED_COLUMNS)
+
+
+@register("categorise_odd_rules")
+def _q(spark, d):
+    """Wildcards, NULL keys and NULL priorities."""
+    return Model(spark, d, rules=ODD_RULES).categorised.select(*CATEGORISED_COLUMNS)
+
+
+@register("categorise_many_rules")
+def _q(spark, d):
+    """More rules than one CASE chain takes."""
+    return Model(spark, d, rules=MANY_RULES).categorised.select(*CATEGORISED_COLUMNS)
+
+
 @register("categorise_array_form")
 def _q(spark, d):
     return Model(spark, d, method="array").categorised.select(*CATEGORISED_COLUMNS)
@@ -158,6 +230,20 @@ def _q(spark, d):
     return Model(spark, d).frame
 
 
+@register("report_frame_joined")
+def _q(spark, d):
+    """The account dimension joined; no account is hot."""
+    m = Model(spark, d)
+    return report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account)
+
+
+@register("report_frame_large_dim")
+def _q(spark, d):
+    """The same with every account of more than HOT_ROWS rows joined map-side."""
+    m = Model(spark, d)
+    return report_frame(m.fact, m.dim_date, m.dim_category, m.dim_account, hot_account_rows=HOT_ROWS)
+
+
 # --- reports ------------------------------------------------------------------
 
 def _on_filtered(fn):

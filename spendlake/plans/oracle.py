@@ -3,13 +3,15 @@
 Written independently of the Spark plans: the newest export is chosen with
 ``rank()``, the key dedupe with ``row_number()``, categorisation by a rule
 join with ``row_number()`` per transaction, the reports as plain GROUP BYs.
-Tables ``events``, ``part`` and ``customer`` are the driver's views."""
+Tables ``events``, ``part`` and ``customer`` are the driver's views.  Rule
+tables and category rows are inputs and come from the package; what is done
+with them is written here anew."""
 
 from __future__ import annotations
 
 from spendlake import fixed_values as FV
 from spendlake.plans.catalogue import FILTER_CATEGORIES, FIRST_RUN_STAMP, SEARCH_TERM
-from spendlake.sources.rules import FIXTURE_RULES
+from spendlake.sources.rules import FIXTURE_RULES, MANY_RULES, ODD_RULES
 
 
 def _q(s: str | None) -> str:
@@ -34,12 +36,12 @@ ev2 AS (
   SELECT ev.*, p.p_name, c.c_name, c.c_acctbal,
          CASE WHEN event_type IN ('purchase', 'click') THEN -1 ELSE 1 END AS sgn,
          {ACCT} AS acct
-  FROM ev JOIN part p ON p.p_partkey = ev.event_id % 200
-          JOIN customer c ON c.c_custkey = ev.event_id % 150
+  FROM ev JOIN part p ON p.p_partkey = ev.event_id % (SELECT count(*) FROM part)
+          JOIN customer c ON c.c_custkey = ev.event_id % (SELECT count(*) FROM customer)
 ),
 export_rows AS (
   SELECT
-    CASE WHEN event_type = 'error' THEN NULL ELSE strftime(CAST(ts AS DATE), '%Y/%m/%d') END AS posting_date_text,
+    CASE WHEN event_type = 'error' THEN NULL ELSE strftime(CAST(ts AS DATE) - CAST(user_id % 50 * 35 AS INTEGER), '%Y/%m/%d') END AS posting_date_text,
     CAST(sgn * value AS DECIMAL(18,2)) AS amount,
     CASE WHEN sgn < 0 AND event_id % 101 <> 0 THEN acct END AS sender,
     CASE WHEN sgn > 0 AND event_id % 101 <> 0 THEN acct END AS recipient,
@@ -268,10 +270,8 @@ FROM (SELECT CAST(date_trunc('year', min(posting_date)) AS DATE) AS lo,
 
 FIRST_RUN = _load_chain(f"(SELECT * FROM export_rows WHERE source_file LIKE '%{FIRST_RUN_STAMP}%')", "first_")
 
-ORACLE: dict[str, str] = {
-    "ingest_newest_file_wins": BASE + f" SELECT {RAW_COLS}, row_in_file FROM kept",
-    "ingest_dedupe_by_hash": BASE + f" SELECT {RAW_COLS} FROM raw",
-    "ingest_audit_by_file": BASE + """,
+def _audit(inserted: str) -> str:
+    return f"""
 per_file AS (
   SELECT p.source_file, p.parsed, p.pending,
          p.parsed - p.pending - coalesce(k.kept, 0) AS superseded,
@@ -280,13 +280,40 @@ per_file AS (
   FROM (SELECT source_file, count(*) AS parsed, count(*) FILTER (WHERE posting_date IS NULL) AS pending
         FROM typed GROUP BY source_file) p
   LEFT JOIN (SELECT source_file, count(*) AS kept FROM kept GROUP BY source_file) k USING (source_file)
-  LEFT JOIN (SELECT source_file, count(*) AS inserted FROM raw GROUP BY source_file) i USING (source_file)
+  LEFT JOIN (SELECT source_file, count(*) AS inserted FROM {inserted} GROUP BY source_file) i USING (source_file)
 )
 SELECT source_file, CAST(sum(parsed) AS BIGINT) AS parsed, CAST(sum(pending) AS BIGINT) AS pending,
        CAST(sum(superseded) AS BIGINT) AS superseded, CAST(sum(duplicate) AS BIGINT) AS duplicate,
        CAST(sum(inserted) AS BIGINT) AS inserted,
        CAST(sum(pending) + sum(superseded) + sum(duplicate) AS BIGINT) AS skipped
-FROM per_file GROUP BY ROLLUP (source_file)""",
+FROM per_file GROUP BY ROLLUP (source_file)"""
+
+
+# Cells as exports hold them, bound to fields again.  A third of the accounts
+# has no currency column: its currency is the default, never empty.
+BOUND = """
+bound AS (
+  SELECT posting_date_text, amount, sender, recipient, name, description,
+         CASE WHEN row_in_file % 11 <> 0 THEN balance END AS balance, currency, reconciled, source_file, row_in_file,
+         translate(format('{:,.2f}', amount), ',.', '.,') AS amount_text,
+         CASE WHEN row_in_file % 97 = 5 THEN 'empty amount'
+              WHEN row_in_file % 89 = 7 AND CAST(substr(source_file, 7, 10) AS BIGINT) % 3 <> 2 THEN 'empty currency'
+         END AS reason
+  FROM export_rows
+)"""
+
+
+ORACLE: dict[str, str] = {
+    "ingest_newest_file_wins": BASE + f" SELECT {RAW_COLS}, row_in_file FROM kept",
+    "ingest_dedupe_by_hash": BASE + f" SELECT {RAW_COLS} FROM raw",
+    "ingest_audit_by_file": BASE + "," + _audit("raw"),
+    "ingest_audit_append": BASE + "," + FIRST_RUN + "," + _audit(
+        "(SELECT * FROM raw WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw))"),
+    "ingest_bind_headers": _with(EXPORT_ROWS, BOUND)
+        + " SELECT * EXCLUDE (reason, amount_text) FROM bound WHERE reason IS NULL",
+    "ingest_rejects": _with(EXPORT_ROWS, BOUND) + """ SELECT reason, source_file, row_in_file, posting_date_text,
+  CASE WHEN reason <> 'empty amount' THEN amount_text END AS amount_text, description, name
+FROM bound WHERE reason IS NOT NULL""",
     "ingest_append_new_only": BASE + "," + FIRST_RUN + f""" SELECT {RAW_COLS} FROM raw
 WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw)""",
     "ingest_parse_decimal": BASE + """,
@@ -302,7 +329,12 @@ FROM t""",
     "ingest_account_from_file": BASE + " SELECT source_file, account, count(*) AS rows FROM typed GROUP BY source_file, account",
     "stage_transactions": BASE + " SELECT * FROM stg",
     "categorise_transactions": BASE + f" SELECT {CAT_COLS} FROM cat",
-    "categorise_window_form": BASE + f" SELECT {CAT_COLS} FROM cat",
+    "categorise_join_form": BASE + f" SELECT {CAT_COLS} FROM cat",
+    "categorise_automaton_form": BASE + f" SELECT {CAT_COLS} FROM cat",
+    "categorise_odd_rules": _with(EXPORT_ROWS, _load_chain("export_rows", ""), _model(ODD_RULES))
+        + f" SELECT {CAT_COLS} FROM cat",
+    "categorise_many_rules": _with(EXPORT_ROWS, _load_chain("export_rows", ""), _model(MANY_RULES))
+        + f" SELECT {CAT_COLS} FROM cat",
     "categorise_array_form": BASE + f" SELECT {CAT_COLS} FROM cat",
     "categorise_seed_rules": SEED + f" SELECT {CAT_COLS} FROM cat",
     "category_counts": BASE + f""" SELECT category_key, categorization_status, count(*) AS transactions,
@@ -310,6 +342,8 @@ FROM t""",
     "fct_transactions": BASE + " SELECT * FROM fct",
     "dim_account": BASE + " SELECT * FROM dim_account",
     "dim_date": BASE + " " + _DIM_DATE_FULL,
+    "report_frame_joined": BASE + f" SELECT {REPORT_COLS} FROM frame",
+    "report_frame_large_dim": BASE + f" SELECT {REPORT_COLS} FROM frame",
     "report_frame": BASE + f" SELECT {REPORT_COLS} FROM frame",
     "data_summary": BASE + " SELECT count(*) AS total_transactions, min(date_day) AS min_date, max(date_day) AS max_date FROM frame",
     "key_metrics": BASE + " " + KEY_METRICS,
@@ -348,12 +382,12 @@ WHERE coalesce(regexp_matches(transaction_description, '{SEARCH_TERM}', 'i'), fa
     "categories_in_use": BASE + """ SELECT * FROM dim_category
 WHERE category_key IN (SELECT category_key FROM fct WHERE category_key IS NOT NULL) ORDER BY sort_order, category_key""",
     "measure_total_amount": BASE + f" SELECT {_money('coalesce(sum(amount), 0)')} AS total_amount FROM fct",
-    "measure_average": BASE + f" SELECT {_money('round(avg(absolute_amount), 2)')} AS average_transaction FROM fct",
+    "measure_average": BASE + f" SELECT CAST(sum(absolute_amount) AS DOUBLE) / count(absolute_amount) AS average_transaction FROM fct",
     "measures": BASE + f""" SELECT {_money('coalesce(sum(amount), 0)')} AS total_amount,
   {_money("coalesce(sum(CASE WHEN transaction_type = 'credit' THEN amount END), 0)")} AS total_income,
   {_money("coalesce(sum(CASE WHEN transaction_type = 'debit' THEN amount END), 0)")} AS total_expenses,
   count(*) AS transaction_count,
-  {_money('round(avg(absolute_amount), 2)')} AS average_transaction,
+  CAST(sum(absolute_amount) AS DOUBLE) / count(absolute_amount) AS average_transaction,
   {_money("coalesce(sum(CASE WHEN transaction_type = 'credit' THEN amount END), 0) + coalesce(sum(CASE WHEN transaction_type = 'debit' THEN amount END), 0)")} AS net_flow
 FROM fct""",
     "daily_balance": BASE + """ SELECT account_key, date_key, arg_max(balance, transaction_key) AS balance

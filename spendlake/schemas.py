@@ -23,21 +23,6 @@ EXPORT_ROWS = T.StructType([
     T.StructField("row_in_file", T.LongType()),
 ])
 
-RAW_TRANSACTIONS = T.StructType([
-    T.StructField("transaction_hash", T.StringType()),
-    T.StructField("posting_date", T.DateType()),
-    T.StructField("amount", MONEY),
-    T.StructField("sender", T.StringType()),
-    T.StructField("recipient", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("balance", MONEY),
-    T.StructField("currency", T.StringType()),
-    T.StructField("reconciled", T.StringType()),
-    T.StructField("source_file", T.StringType()),
-    T.StructField("loaded_at", T.TimestampType()),
-])
-
 RULES = T.StructType([
     T.StructField("pattern_type", T.StringType()),
     T.StructField("pattern_value", T.StringType()),

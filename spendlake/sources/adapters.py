@@ -2,9 +2,9 @@
 
 The driver ships TPC-H-like tables and an event stream, not bank exports.
 These adapters derive export rows (the shape produced by
-``sources.exports.read_exports``) from them, so that every registered query
-runs the real load path over whole tables.  Both are pure projections and
-equi-joins: Catalyst prunes the columns and pushes the key ranges down.
+``sources.exports.read_exports``) from whole tables, so that every registered
+query runs the real load path.  Both are projections and equi-joins.  The
+fact-like table is dealt out by its row key first: a driver file is one split.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spendlake import fixed_values as FV
 from spendlake.schemas import MONEY
-from spendlake.sources.tables import spread, table
+from spendlake.sources.tables import table
 
 
 def _account(key: Column) -> Column:
@@ -31,27 +31,40 @@ def _date_text(d: Column) -> Column:
     return F.date_format(d, "yyyy/MM/dd")
 
 
+def _rows_of(df: DataFrame) -> Column:
+    """The number of rows as a scalar subquery (NULL for none, so that a remainder by it is NULL)."""
+    return F.nullif(df.select(F.count(F.lit(1))).scalar(), F.lit(0).cast("long"))
+
+
+#: Event dates are moved back by up to 1,715 days, a whole account alike: years
+#: of postings, some before the calendar's first day.
+ERAS, ERA_DAYS = 50, 35
+
+
 def events_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows over ``events`` (correctness adapter).
 
     Every event is one row; every 50th event is exported a second time
     (``copy`` = 1, other balance) so the key dedupe has work.  Description and
-    name come from ``part`` / ``customer`` by modular keys."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"), "event_id")
+    name come from all rows of ``part`` / ``customer``, whose keys count from
+    0, by the event's number modulo theirs."""
+    ev = (table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+          .repartition("event_id"))
     copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    ev = ev.withColumn("copy", F.explode(copies))
-    part = (table(spark, sf_dir, "part").select("p_partkey", "p_name")
-            .filter(F.col("p_partkey").between(-199, 199)))
-    cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-            .filter(F.col("c_custkey").between(-149, 149)))
-    j = (ev.join(part, F.col("p_partkey") == F.col("event_id") % 200)
-           .join(cust, F.col("c_custkey") == F.col("event_id") % 150))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    ev = (ev.withColumn("copy", F.explode(copies))
+            .withColumn("part_no", F.col("event_id") % _rows_of(part))
+            .withColumn("cust_no", F.col("event_id") % _rows_of(cust)))
+    j = (ev.join(part, F.col("p_partkey") == F.col("part_no"))
+           .join(cust, F.col("c_custkey") == F.col("cust_no")))
+    day = F.date_sub(F.col("ts").cast("date"), (F.col("user_id") % ERAS * ERA_DAYS).cast("int"))
     sgn = F.when(F.col("event_type").isin("purchase", "click"), F.lit(-1)).otherwise(F.lit(1))
     acct = _account(F.col("user_id"))
     has_party = F.col("event_id") % 101 != 0
     return j.select(
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
-         .otherwise(_date_text(F.col("ts").cast("date"))).alias("posting_date_text"),
+         .otherwise(_date_text(day)).alias("posting_date_text"),
         (sgn * F.col("value")).cast(MONEY).alias("amount"),
         F.when((sgn < 0) & has_party, acct).alias("sender"),
         F.when((sgn > 0) & has_party, acct).alias("recipient"),
@@ -67,9 +80,9 @@ def events_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows over ``lineitem`` joined to its dimensions (bench adapter)."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey", "l_linenumber")
+        "l_returnflag", "l_linestatus", "l_shipdate").repartition("l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")

@@ -1,4 +1,4 @@
-"""Parquet tables: the driver's inputs and the written marts."""
+"""Parquet tables: the driver's inputs."""
 
 from __future__ import annotations
 
@@ -7,21 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
-
-
-def read_mart(spark: SparkSession, marts_dir: str, name: str) -> DataFrame:
-    """Read a written mart back, read-only."""
-    return spark.read.parquet(f"{marts_dir.rstrip('/')}/{name}")
-
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (e.g. one file holding a single row group), so the expression-heavy steps
-    before the first shuffle run in parallel.  With ``keys`` (a near-unique
-    row key) it hash-partitions, which is deterministic on retry without the
-    local sort a round-robin needs.  A large input already has many splits
-    and is returned unchanged (no extra shuffle)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
