@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
@@ -62,9 +62,12 @@ WITH RECURSIVE step(word, pos, id, live) AS (
 SELECT word, id FROM step WHERE NOT live ORDER BY word, pos
 """
 
+# One thread aggregates the rows as the subquery orders them; ordering them in
+# the aggregate instead sorts every document by itself, at over twice the time.
 DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS body
-FROM id_rows JOIN vocabulary USING (id) GROUP BY doc
+SELECT doc, string_agg(piece, '') AS body
+FROM (SELECT doc, piece FROM id_rows JOIN vocabulary USING (id) ORDER BY doc, pos)
+GROUP BY doc
 """
 
 
@@ -111,7 +114,8 @@ class Codec:
             ids.append(np.asarray(got["id"]).astype(np.uint32))
         return np.concatenate(ids), np.concatenate(counts)
 
-    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the number of each."""
         return self.memo.values_of(texts)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
@@ -135,7 +139,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
     """doc_id, ids array<int> of each whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
-            ids, counts = codec(ranks, pattern).encode(part.column("text").to_pylist())
+            ids, counts = codec(ranks, pattern).encode(part.column("text"))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
@@ -165,7 +169,7 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokeni
     Each block is encoded, and decoded again from its ids alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
-            ids, counts = codec(ranks, pattern).encode(part.column("text").to_pylist())
+            ids, counts = codec(ranks, pattern).encode(part.column("text"))
             bodies = codec(ranks, pattern).decode(ids, counts)
             ends = np.cumsum(counts)
             raw = memoryview(ids.astype("<u4").tobytes())

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from spendlake.llm.common import cut, slices
 from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
-from spendlake.llm.warc_zip import _filesystem
+from spendlake.sources.files import open_filesystem
 
 BLOCK_BYTES = 1 << 20
 
@@ -161,7 +161,7 @@ def pack(docs: DataFrame, length: int = 2048, ranks: str = RANKS, pattern: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(length, dtype, pad_id, TaskContext.get().partitionId())
         for part in slices(batches, "text", BLOCK_BYTES):
-            ids, counts = _memo(ranks, pattern).values_of(part.column("text").to_pylist())
+            ids, counts = _memo(ranks, pattern).values_of(part.column("text"))
             if id_bits == 16 and len(ids) and int(ids.max()) >= 1 << 16:
                 raise ValueError("ids do not fit 16 bits; use id_bits=32")
             ids = ids.astype(dtype)
@@ -211,7 +211,7 @@ def write_matrices(packed: DataFrame, path: str, rows_per_file: int = 4096, id_b
     dtype = np.dtype({16: "<u2", 32: "<u4"}[id_bits])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, folder = _filesystem(path)
+        filesystem, folder = open_filesystem(path)
         filesystem.create_dir(folder, recursive=True)
         held: list[dict] = []
 

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,8 +80,8 @@ class PrefixCounter:
             self.parts.setdefault(model["vocab"][left + right], (a, b, rank))
         self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.pairs: dict[int, bool] = {}
-        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, self.specials)))
         self.pattern = pretokenizer(public_tokenizers.PATTERN)
         self.white = regex.compile(r"\s{2,}")
         self.memo = ChunkMemo(self._encode, self.pattern, self._join, np.int32)
@@ -159,20 +160,19 @@ class PrefixCounter:
         base = upto - np.repeat(upto[np.cumsum(parts) - parts], parts)
         return (values + np.repeat(base, lengths)).astype(np.int32)
 
-    def tables(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def tables(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Counts after each character of texts without special strings, one after
         the other, and the number of characters of each."""
-        keys, per_text = self.memo.keys([text_chunks(t, self.pattern) for t in texts])
+        keys, per_text, odd = self.memo.keys(texts)
         values, lengths = self.memo.gather(keys)
-        kept = per_text[per_text > 0]
-        table = self._join(values, lengths, kept)
+        table = self._join(values, lengths, per_text[per_text > 0])
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        first = np.concatenate(([0], np.cumsum(per_text)))
-        starts = ends[first]
-        for text, at in zip(texts, starts[:-1].tolist(), strict=True):
-            for run in self.white.finditer(text):
+        starts = ends[np.concatenate(([0], np.cumsum(per_text)))]
+        for k in np.flatnonzero(odd).tolist():  # white space at the end of a prefix is one pre-token
+            at = starts[k]
+            for run in self.white.finditer(texts[k].as_py() or ""):
                 u, v = run.span()
-                table[at + u:at + v] = (table[at + u - 1] if u else 0) + self._encode([text[u:v]])[0]
+                table[at + u:at + v] = (table[at + u - 1] if u else 0) + self._encode([run[0]])[0]
         return table, np.diff(starts)
 
     def _special_table(self, text: str) -> np.ndarray:
@@ -180,25 +180,26 @@ class PrefixCounter:
         out, at, base = [], 0, 0
         for m in self.special.finditer(text):
             # up to the last character of the special string its start is ordinary text
-            part = self.tables([text[at:m.end() - 1]])[0]
+            part = self.tables(pa.array([text[at:m.end() - 1]]))[0]
             own = part[m.start() - at - 1] if m.start() > at else 0
             base_next = base + int(own) + 1
             out += [part + base, [base_next]]
             at, base = m.end(), base_next
         if at < len(text):
-            out.append(self.tables([text[at:]])[0] + base)
+            out.append(self.tables(pa.array([text[at:]]))[0] + base)
         return np.concatenate(out).astype(np.int32)
 
-    def prefix_tables(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def prefix_tables(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Counts after each character of any texts, and the number of characters of each."""
-        texts = [t or "" for t in texts]
-        odd = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
-        if not odd:
+        held = np.zeros(len(texts), bool)
+        for body in self.specials:
+            held |= pc.fill_null(pc.match_substring(texts, body), False).to_numpy(zero_copy_only=False)
+        if not held.any():
             return self.tables(texts)
-        table, lengths = self.tables(["" if k in set(odd) else t for k, t in enumerate(texts)])
+        table, lengths = self.tables(pc.if_else(pa.array(held), "", texts))
         parts = np.split(table, np.cumsum(lengths)[:-1])
-        for k in odd:
-            parts[k] = self._special_table(texts[k])
+        for k in np.flatnonzero(held).tolist():
+            parts[k] = self._special_table(texts[k].as_py())
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
@@ -211,13 +212,13 @@ def count_tokens(docs: DataFrame, limit: int = 512, tokenizer: str = TOKENIZER)
     """doc_id, n_bytes, n_tokens (the last entry of the prefix table), over_limit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
-            texts = part.column("text").to_pylist()
+            texts = part.column("text")
             table, lengths = counter(tokenizer).prefix_tables(texts)
             ends = np.cumsum(lengths)
             totals = np.where(lengths > 0, table[np.maximum(ends, 1) - 1] if len(table) else 0, 0).astype(np.int64)
-            sizes = np.fromiter((len((t or "").encode("utf-8")) for t in texts), np.int64, len(texts))
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes), pa.array(totals), pa.array(totals > limit)],
+                [part.column("doc_id"), sizes, pa.array(totals), pa.array(totals > limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select("doc_id", "text").mapInArrow(
@@ -228,7 +229,7 @@ def prefix_table(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, prefix array<int>: prefix[p] is the token count of the first p characters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
-            table, lengths = counter(tokenizer).prefix_tables(part.column("text").to_pylist())
+            table, lengths = counter(tokenizer).prefix_tables(part.column("text"))
             rows = [np.concatenate(([0], t)).astype(np.int32) for t in np.split(table, np.cumsum(lengths)[:-1])]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.list_(pa.int32()))],
                                              ["doc_id", "prefix"])

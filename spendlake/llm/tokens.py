@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -35,24 +36,40 @@ def pretokenizer(pattern: str = public_tokenizers.PATTERN) -> regex.Pattern:
     return regex.compile(pattern)
 
 
-_DOUBLE_SPACE = re.compile(r"\s\s")
+# The characters that Unicode or Python count as white space.
+_SPACE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+_IRREGULAR = rf"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}$|\x00|^$"
 
 
-def text_chunks(text: str, pattern: regex.Pattern) -> list[str]:
-    """Pieces of ``text`` that can be encoded one by one.
+def text_chunks(texts: pa.Array, pattern: regex.Pattern) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of texts that can be encoded one by one: the distinct pieces, the
+    number of each piece of all texts in order, the number of pieces of each
+    text, and which texts were cut by the pattern.
 
     A pre-token never reaches over a single white-space character from the
     left: one space belongs to the word behind it, any other single one stands
     alone.  So a text without two white-space characters in a row is cut
     before each space and around each line feed; any other text, and one that
     begins or ends in white space, is cut into its pre-tokens."""
-    if not text:
-        return []
-    if text[0].isspace() or text[-1].isspace() or _DOUBLE_SPACE.search(text):
-        return pattern.findall(text)
-    if "\x00" in text:
-        return pattern.findall(text)
-    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+    odd = pc.fill_null(pc.match_substring_regex(texts, _IRREGULAR), True)
+    marked = pc.replace_substring(texts.filter(pc.invert(odd)), "\n", "\x00\n\x00")
+    lists = pc.split_pattern(pc.replace_substring(marked, " ", "\x00 "), "\x00")
+    coded = lists.flatten().dictionary_encode()
+    pieces = coded.dictionary.to_pylist()
+    numbers = coded.indices.to_numpy().astype(np.int64)
+    odd = odd.to_numpy(zero_copy_only=False)
+    per_text = np.zeros(len(texts), np.int64)
+    per_text[~odd] = lists.value_lengths().to_numpy()
+    if odd.any():
+        cut = [pattern.findall(t or "") for t in texts.filter(pa.array(odd)).to_pylist()]
+        per_text[odd] = list(map(len, cut))
+        number = {c: k for k, c in enumerate(pieces)}
+        more = np.fromiter((number.setdefault(c, len(number)) for c in chain.from_iterable(cut)), np.int64)
+        from_pattern = np.repeat(odd, per_text)
+        both = np.zeros(len(from_pattern), np.int64)
+        both[from_pattern], both[~from_pattern] = more, numbers
+        pieces, numbers = list(number), both
+    return pieces, numbers, per_text, odd
 
 
 def is_one_word(chunk: str) -> bool:
@@ -127,21 +144,23 @@ class ChunkMemo:
             whole = np.add.reduceat(lengths, np.cumsum(parts) - parts)
             self._store([joined[i] for i in more], self.join(values, lengths, parts), whole)
 
-    def keys(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The memo's number of every chunk, and the number of chunks of each text."""
-        per_text = np.fromiter(map(len, cut), np.int64, len(cut))
-        chunks = list(chain.from_iterable(cut))
-        keys = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
-        gaps = np.flatnonzero(keys < 0).tolist()
+    def places(self, chunks: list[str]) -> np.ndarray:
+        """The memo's number of every one of some distinct chunks."""
+        found = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
+        gaps = np.flatnonzero(found < 0).tolist()
         if gaps:
-            missing = {chunks[i] for i in gaps}
-            if len(self.at) + len(missing) > self.limit:
+            if len(self.at) + len(gaps) > self.limit:
                 self._shrink()
-                gaps, missing = range(len(chunks)), {c for c in chunks if c not in self.at}
-            self._add(list(missing))
-            keys[gaps] = [self.at[chunks[i]] for i in gaps]
-        self.uses[keys] += 1
-        return keys, per_text
+                gaps = [i for i, c in enumerate(chunks) if c not in self.at]
+            self._add([chunks[i] for i in gaps])
+            found = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+        self.uses[found] += 1
+        return found
+
+    def keys(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The memo's number of every chunk, the number of chunks of each text, and which texts were irregular."""
+        pieces, numbers, per_text, odd = text_chunks(texts, self.pattern)
+        return self.places(pieces)[numbers], per_text, odd
 
     def gather(self, keys: np.ndarray) -> Ragged:
         """The values of all chunks one after the other, and the number of each."""
@@ -151,9 +170,9 @@ class ChunkMemo:
         total = int(ends[-1]) if len(ends) else 0
         return self.values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], lengths
 
-    def values_of(self, texts: Iterable[str | None]) -> Ragged:
+    def values_of(self, texts: pa.Array) -> Ragged:
         """All values of the texts, one after the other, and the number of each text."""
-        keys, per_text = self.keys([text_chunks(t or "", self.pattern) for t in texts])
+        keys, per_text, _ = self.keys(texts)
         values, lengths = self.gather(keys)
         ends = np.concatenate(([0], np.cumsum(lengths)))
         return values, np.diff(ends[np.concatenate(([0], np.cumsum(per_text)))])

@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import cut, scratch_path
+from spendlake.sources.files import open_filesystem
 
 WARC_MEMBER = "archive/data.warc.gz"
 INDEX_MEMBER = "indexes/index.cdxj"
@@ -232,10 +233,6 @@ def _wide(extra: bytes, *fields: int) -> list[int]:
 
 # --- Spark -------------------------------------------------------------------
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def payload_digest(html: Column) -> Column:
     @F.pandas_udf("string")
     def digests(pages: pd.Series) -> pd.Series:
@@ -267,7 +264,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0,
     rows = joined.select("p.page_id", "p.url", "p.html", "p.digest", "r.refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, folder = _filesystem(path)
+        filesystem, folder = open_filesystem(path)
         filesystem.create_dir(folder, recursive=True)
         writer, name, done = None, "", []
         for batch in batches:
@@ -305,7 +302,7 @@ def read_archives(archives: DataFrame, with_payload: bool = False, range_records
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in batch.to_pylist():
-                filesystem, path = _filesystem(piece["archive"])
+                filesystem, path = open_filesystem(piece["archive"])
                 out = []
                 with filesystem.open_input_file(path) as file:
                     reader = ArchiveReader(file, file.size())

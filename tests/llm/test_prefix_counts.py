@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -30,7 +31,7 @@ def test_query_equals_the_library(spark):
 def test_every_prefix_equals_the_library():
     rng = random.Random(4)
     texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 12))) for _ in range(500)] + ["", None, "a" * 120]
-    table_, lengths = prefix_counts.PrefixCounter().prefix_tables(texts)
+    table_, lengths = prefix_counts.PrefixCounter().prefix_tables(pa.array(texts, pa.string()))
     for text, own in zip(texts, np.split(table_, np.cumsum(lengths)[:-1]), strict=True):
         text = text or ""
         assert own.tolist() == counts([text[:p] for p in range(1, len(text) + 1)])
