@@ -10,7 +10,7 @@ so the queries see each distinct word about once per worker.
 Decoding.  Rows (document, position, id) join the vocabulary, and an
 aggregate ordered by position puts the bytes of each document together.
 
-No row leaves its partition, nothing is shuffled, and a block of about four
+No row leaves its partition, nothing is shuffled, and a block of about two
 megabytes of text is held at a time.  The recursive query costs the square of
 the length of one unbroken run of letters (not of a text).
 
@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame
 from spendlake.llm.common import slices
 from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
 
-BLOCK_BYTES = 4 << 20  # text held at once
-WORDS_PER_QUERY = 50_000
+BLOCK_BYTES = 2 << 20  # text held at once
+WORDS_PER_QUERY = 20_000
+MEMO_CHUNKS = 300_000
 
 ENCODE = """
 WITH RECURSIVE step(word, pos, id, live) AS (
@@ -62,12 +63,9 @@ WITH RECURSIVE step(word, pos, id, live) AS (
 SELECT word, id FROM step WHERE NOT live ORDER BY word, pos
 """
 
-# One thread aggregates the rows as the subquery orders them; ordering them in
-# the aggregate instead sorts every document by itself, at over twice the time.
 DECODE = """
-SELECT doc, string_agg(piece, '') AS body
-FROM (SELECT doc, piece FROM id_rows JOIN vocabulary USING (id) ORDER BY doc, pos)
-GROUP BY doc
+SELECT doc, string_agg(piece, '' ORDER BY pos) AS body
+FROM id_rows JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
@@ -95,7 +93,7 @@ class Codec:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.memo = ChunkMemo(self.encode_words, pretokenizer(pattern))
+        self.memo = ChunkMemo(self.encode_words, pretokenizer(pattern), limit=MEMO_CHUNKS)
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pre-tokens, and the number of each."""

@@ -21,6 +21,7 @@ repeatedly; with no labels every score is 0.5; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,7 @@ from spendlake.llm.common import slices
 SCALE = 16.0
 SHARDS = 4
 BLOCK_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2 ** 64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _REPEAT = 128  # shape bit: the same word as the one before
@@ -56,8 +58,9 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+@functools.lru_cache(maxsize=4)
+def _powers(base: int, bits: int) -> np.ndarray:
+    out = np.full(1 << bits, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
@@ -69,12 +72,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each raw[start:end], from one running sum over the bytes."""
-    n = len(raw) + 1
-    back, forth = _powers(_INVERSE, n), _powers(_MULTIPLIER, n)
-    total = np.zeros(n, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * back[:-1], out=total[1:])
-    return _mix((total[ends] - total[starts]) * forth[ends])
+    """A 64-bit polynomial hash of each raw[start:end], from running sums over the bytes.
+
+    The bytes are taken in segments that end with a word, so the tables of
+    powers stay small however long a text is."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        base = int(starts[at])
+        upto = max(int(np.searchsorted(ends, base + SEGMENT_BYTES, side="right")), at + 1)
+        part = raw[base:int(ends[upto - 1])]
+        bits = (len(part) + 1).bit_length()
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(_INVERSE, bits)[:len(part)], out=total[1:])
+        first, last = starts[at:upto] - base, ends[at:upto] - base
+        out[at:upto] = (total[last] - total[first]) * _powers(_MULTIPLIER, bits)[last]
+        at = upto
+    return _mix(out)
 
 
 def features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

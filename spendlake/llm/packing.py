@@ -44,7 +44,7 @@ from spendlake.llm.common import cut, slices
 from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
 from spendlake.sources.files import open_filesystem
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class CapacityTree:

@@ -43,7 +43,7 @@ from spendlake.llm.common import slices
 from spendlake.llm.tokens import ChunkMemo, pretokenizer, text_chunks, vocabulary_path
 
 TOKENIZER = "byte_bpe_50k.json"
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
 PAIRS_KEPT = 1_000_000
 _NEVER = 1 << 60
 _CONTRACTIONS = {"'re", "'ve", "'ll"}

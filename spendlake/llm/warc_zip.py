@@ -295,9 +295,11 @@ def read_archives(archives: DataFrame, with_payload: bool = False, range_records
     refers_to[, payload].  A response's payload is checked against its digest.
 
     Work is dealt out by ranges of ``range_records`` index entries."""
+    total = archives.agg(F.sum(F.ceil(F.col("records") / range_records))).first()[0] or 1
+    tasks = min(int(total), 8 * archives.sparkSession.sparkContext.defaultParallelism)
     pieces = (archives.select("archive", F.explode(F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("records") - 1, F.lit(0)), F.lit(range_records).cast("long")))
-        .alias("first")).repartition("archive", "first"))
+        .alias("first")).repartition(tasks, "archive", "first"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,11 +32,14 @@ def test_dots_equal_one_text_at_a_time():
         assert math.isclose(got, classifier.SCALE * sum(map(float, weights[slots])) / max(n[0], 1), abs_tol=1e-6)
 
 
-def test_word_hashes_depend_on_the_word_alone():
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     raw = np.frombuffer(b"alpha beta alpha gamma beta", np.uint8)
     starts, ends = np.array([0, 6, 11, 17, 23]), np.array([5, 10, 16, 22, 27])
     h = classifier.word_hashes(raw, starts, ends)
     assert h[0] == h[2] and h[1] == h[4] and len(set(h.tolist())) == 3
+    for size in (1, 7, 12):
+        monkeypatch.setattr(classifier, "SEGMENT_BYTES", size)
+        assert classifier.word_hashes(raw, starts, ends).tolist() == h.tolist()
 
 
 def test_ftrl_separates():
