@@ -134,7 +134,8 @@ def _rule_array(rules: list[tuple]) -> Column:
                  F.lit(r[2]).cast("string").alias("category_key"),
                  F.lit(r[3]).cast("int").alias("priority"))
         for r in ordered
-    ]) if ordered else F.array().cast("array<struct<pattern_type:string,pattern_lc:string,wild:boolean,category_key:string,priority:int>>")
+    ]) if ordered else F.array().cast(
+        "array<struct<pattern_type:string,pattern_lc:string,wild:boolean,category_key:string,priority:int>>")
 
 
 def _array_match(rule: Column, low: dict[str, Column]) -> Column:

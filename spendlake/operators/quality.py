@@ -45,9 +45,13 @@ def null_and_accepted_failures(df: DataFrame, not_null: list[str],
 
 
 def relationship_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Rows without a parent.  Rows are counted per key before the join, so a
+    key that a large share of the rows has is one row in it."""
     p = parent.select(F.col(parent_column).alias("_parent_key")).filter(F.col("_parent_key").isNotNull())
-    orphans = child.filter(F.col(column).isNotNull()).join(p, F.col(column) == F.col("_parent_key"), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures"))
+    keys = (child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_child_key"))
+            .agg(F.count(F.lit(1)).alias("_rows")))
+    orphans = keys.join(p, F.col("_child_key") == F.col("_parent_key"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
 
 
 def run_checks(spark: SparkSession, tables: dict[str, TableChecks]) -> DataFrame:
