@@ -34,7 +34,7 @@ ORACLE_SQL = None
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__score", classifier.score(F.col("text"), model, spark))
+    scored = classifier.with_score(docs, model, "__score")
     return scored.filter(F.col("__score") >= QUALITY_THRESHOLD).drop("__score")
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import duckdb
@@ -32,12 +33,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from spendlake.llm.common import slices
+from spendlake.llm.common import release_memory, slices
 from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
 
 BLOCK_BYTES = 2 << 20  # text held at once
 WORDS_PER_QUERY = 20_000
 MEMO_CHUNKS = 300_000
+IDS_PER_QUERY = 1 << 20
+DATABASE_MEMORY = "150MB"
 
 ENCODE = """
 WITH RECURSIVE step(word, pos, id, live) AS (
@@ -81,19 +84,40 @@ def _merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(joined, pa.int32())})
 
 
+@functools.cache
+def _vocabulary_tables(ranks_name: str) -> tuple[pa.Table, pa.Table]:
+    """The merge table, and the bytes of each id (as Latin-1 text)."""
+    ranks = load_ranks(ranks_name)
+    return _merge_table(ranks), pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
+                                          "piece": pa.array([t.decode("latin-1") for t in ranks], pa.string())})
+
+
 class Codec:
     """One worker's DuckDB tables and memo for a vocabulary."""
 
     def __init__(self, ranks_name: str = RANKS, pattern: str = public_tokenizers.PATTERN):
+        self.ranks_name = ranks_name
         ranks = load_ranks(ranks_name)
-        self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
-        merge_rows = _merge_table(ranks)  # noqa: F841  read by name
-        pieces = pa.table({"id": pa.array(list(ranks.values()), pa.int32()),  # noqa: F841
-                           "piece": pa.array([t.decode("latin-1") for t in ranks], pa.string())})
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.memo = ChunkMemo(self.encode_words, pretokenizer(pattern), limit=MEMO_CHUNKS)
+        self._db = None
+
+    @property
+    def db(self) -> duckdb.DuckDBPyConnection:
+        if self._db is None:
+            self._db = duckdb.connect(config={"threads": 1, "memory_limit": DATABASE_MEMORY,
+                                              "temp_directory": tempfile.gettempdir()})
+            merge_rows, pieces = _vocabulary_tables(self.ranks_name)  # noqa: F841  read by name
+            self._db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
+            self._db.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
+        return self._db
+
+    def close(self) -> None:
+        """At the end of a partition: only the memo stays."""
+        if self._db is not None:
+            self._db.close()
+            self._db = None
+        release_memory()
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pre-tokens, and the number of each."""
@@ -118,14 +142,16 @@ class Codec:
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each document, from the ids of all and the number of each."""
-        id_rows = pa.table({  # noqa: F841
-            "doc": pa.array(np.repeat(np.arange(len(counts), dtype=np.int32), counts)),
-            "pos": pa.array(np.arange(len(ids), dtype=np.int32)),
-            "id": pa.array(ids.astype(np.int32))})
-        out = [b""] * len(counts)
-        for doc, body in self.db.execute(DECODE).fetchall():
-            out[doc] = body.encode("latin-1")
-        return out
+        docs = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        out: list[list[bytes]] = [[] for _ in counts]
+        for at in range(0, len(ids), IDS_PER_QUERY):  # a long document is decoded in parts
+            part = slice(at, at + IDS_PER_QUERY)
+            id_rows = pa.table({  # noqa: F841
+                "doc": pa.array(docs[part]), "id": pa.array(ids[part].astype(np.int32)),
+                "pos": pa.array(np.arange(len(ids[part]), dtype=np.int32))})
+            for doc, body in self.db.execute(DECODE).fetchall():
+                out[doc].append(body.encode("latin-1"))
+        return [b"".join(parts) for parts in out]
 
 
 @functools.lru_cache(maxsize=1)
@@ -141,6 +167,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
+        codec(ranks, pattern).close()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -156,6 +183,7 @@ def decode(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tokeniz
                 bodies = codec(ranks, pattern).decode(lists.flatten().to_numpy(), counts)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(bodies, pa.binary())],
                                                  ["doc_id", "body"])
+        codec(ranks, pattern).close()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, body binary")
 
@@ -179,6 +207,7 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokeni
                 offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
                 columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(columns, names)
+        codec(ranks, pattern).close()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

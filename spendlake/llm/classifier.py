@@ -26,17 +26,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import slices
+from spendlake.llm.common import release_memory, slices, with_results
 
 SCALE = 16.0
 SHARDS = 4
 BLOCK_BYTES = 1 << 20
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd: it has an inverse modulo 2 ** 64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _REPEAT = 128  # shape bit: the same word as the one before
@@ -182,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
     sample = labels.filter(dice < F.lit(int((1 << 30) * min(1.0, max_rows / max(total, 1)))))
     chosen = docs.join(F.broadcast(sample), docs["doc_id"] == F.col("__id")).select("__id", "__label", "text")
 
-    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
             slots, counts, n_words = features(part.column("text").to_pylist(), bits)
             rows = []
@@ -193,6 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
                 [part.column("__id"), part.column("__label"),
                  pa.array([a for a, _ in rows], pa.list_(pa.int32())),
                  pa.array([v for _, v in rows], pa.list_(pa.float32()))], ["id", "label", "slots", "vals"])
+        release_memory()
 
     def learn(rows: pa.Table) -> pa.Table:
         order = np.argsort([hash((int(i) * _MULTIPLIER) % (1 << 61)) for i in rows["id"].to_pylist()], kind="stable")
@@ -215,23 +215,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
     return Model(bits, mean[:-1].astype(np.float32), float(mean[-1]))
 
 
-def score(text: Column, model: Model, spark) -> Column:
-    """Column expression: the score of each whole text, 0 to 1."""
-    shared = spark.sparkContext.broadcast((model.weights, model.bias, model.bits))  # 2 ** bits floats
-
-    @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
-        weights, bias, bits = shared.value
-        out, block, size = [], [], 0
-        for t in [*texts, None]:
-            block.append(t)
-            size += len(t or "") + 1
-            if size > BLOCK_BYTES:
-                out.append(dots(weights, block, bits))
-                block, size = [], 0
-        if block:
-            out.append(dots(weights, block, bits))
-        z = np.concatenate(out)[:len(texts)] + bias
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-    return scores(text)
+def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
+    """``docs`` with the score of each whole text, 0 to 1."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** bits floats
+
+    def scores(texts: pa.Array) -> list[pa.Array]:
+        held = shared.value
+        z = dots(held.weights, texts.to_pylist(), held.bits) + held.bias
+        return [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))]
+
+    return with_results(docs, f"{column} double", scores, BLOCK_BYTES)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spendlake.session import checkpoint_dir
 
@@ -32,6 +35,29 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give back what a worker's allocators hold but do not use, at the end of a partition."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def with_results(docs: DataFrame, fields: str, function: Callable[[pa.Array], list[pa.Array]],
+                 block_bytes: int = 1 << 20) -> DataFrame:
+    """``docs`` with further columns (``fields``: a DDL list) that ``function`` makes from the texts.
+
+    The workers see about ``block_bytes`` of text at a time."""
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL(fields).fields])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", block_bytes):
+            yield pa.RecordBatch.from_arrays([*part.columns, *function(part.column("text"))], names)
+        release_memory()
+
+    return docs.mapInArrow(run, schema)
+
+
 def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus`` equals ``remainder``; a null id is never held out."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

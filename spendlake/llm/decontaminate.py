@@ -41,11 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.classifier import _mix, word_hashes
-from spendlake.llm.common import cut, slices
+from spendlake.llm.common import cut, release_memory, slices
 
 BLOCK_BYTES = 1 << 20
 _SIGNS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
-_OTHER_SIGNS = re.compile(r"[\u00a0-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
+_OTHER_SIGNS = re.compile(r"[\u00a0-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7"
+                          r"\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
 
 
 @dataclass(frozen=True)
@@ -213,6 +214,7 @@ def _block_hits(docs: DataFrame, items: Items) -> DataFrame:
                  pa.array([np.array(r[3], np.uint64).view(np.int64) for r in rows], pa.list_(pa.int64())),
                  pa.array([r[4].view(np.int64) for r in rows], pa.list_(pa.int64()))],
                 ["doc_id", "item", "first_word", "grams", "words"])
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, HIT_SCHEMA)
 

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import slices
-from spendlake.llm.tokens import ChunkMemo, pretokenizer, text_chunks, vocabulary_path
+from spendlake.llm.tokens import ChunkMemo, pretokenizer, vocabulary_path
 
 TOKENIZER = "byte_bpe_50k.json"
 BLOCK_BYTES = 4 << 20

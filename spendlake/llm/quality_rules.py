@@ -24,12 +24,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from spendlake.llm.common import release_memory, slices, with_results
 
 SYMBOLS = "#*$%&|<>"  # counted as n_symbols
 WHITE = " \t\n\v\f\r"
@@ -148,34 +151,37 @@ FIELDS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_l
           "punctuation_lines": "long", "navigation_lines": "long", "boilerplate_lines": "long"}
 
 
-def verdicts(text, rules: Rules | None = None, with_text: bool = False):
-    """Column expression: a struct of FIELDS, and ``cleaned`` if ``with_text``."""
-    rules = rules or Rules()
-    names = [*FIELDS, *["cleaned"] * with_text]
-    schema = ", ".join(f"{k} {v}" for k, v in FIELDS.items()) + ", cleaned string" * with_text
-
-    @F.pandas_udf(schema)
-    def judged(texts: pd.Series) -> pd.DataFrame:
-        judge = Judge(rules)
-        return pd.DataFrame([judge(t, with_text) for t in texts], columns=names)
-
-    return judged(text)
+def _verdicts(texts: pa.Array, rules: Rules, with_text: bool) -> list[pa.Array]:
+    judge = Judge(rules)
+    rows = [judge(t, with_text) for t in texts.to_pylist()]
+    kinds = [pa.bool_() if v == "boolean" else pa.int64() for v in FIELDS.values()] + [pa.string()] * with_text
+    return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
 
 
 def judge(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """doc_id and the FIELDS of each document."""
-    return docs.select("doc_id", verdicts(F.col("text"), rules).alias("v")).select("doc_id", "v.*")
+    rules = rules or Rules()
+    fields = ", ".join(f"{k} {v}" for k, v in FIELDS.items())
+    return with_results(docs.select("doc_id", "text"), fields, lambda t: _verdicts(t, rules, False)).drop("text")
 
 
 def clean(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """The documents that pass, without their failing lines; all columns kept, n_chars (if there) recounted."""
-    marked = docs.withColumn("__verdict", verdicts(F.col("text"), rules, with_text=True)).filter("__verdict.kept")
-    out = []
-    for c in docs.columns:
-        if c == "text":
-            out.append(F.col("__verdict.cleaned").alias("text"))
-        elif c == "n_chars":
-            out.append(F.char_length(F.col("__verdict.cleaned")).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return marked.select(*out)
+    rules = rules or Rules()
+    place = docs.columns.index("text")
+    kept_at = list(FIELDS).index("kept")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            found = _verdicts(part.column("text"), rules, True)
+            columns = [*part.columns]
+            columns[place] = found[-1]
+            if "n_chars" in part.schema.names:
+                at = part.schema.get_field_index("n_chars")
+                columns[at] = pc.utf8_length(found[-1]).cast(part.schema.field(at).type)
+            out = pa.RecordBatch.from_arrays(columns, part.schema.names).filter(found[kept_at])
+            if out.num_rows:
+                yield out
+        release_memory()
+
+    return docs.mapInArrow(run, docs.schema)

@@ -34,9 +34,9 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> classifier.Model:
 def _quality(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents").select("doc_id", "text")
     model = quality_model(docs, read_table(spark, d, "labels"))
-    scored = docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"),
-                         classifier.score(F.col("text"), model, spark).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+    scored = classifier.with_score(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
 @register("op2_bpe_round_trip")

@@ -29,12 +29,12 @@ than doc_id and text are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import cut
+from spendlake.llm.common import cut, with_results
 
 SEED = 42
 SEGMENT_BITS = 4
@@ -63,15 +63,13 @@ def fingerprint_bytes(text: str | None, shingle: int = 3) -> bytes:
     return np.packbits(2 * ones > len(rows)).tobytes()
 
 
-def fingerprint(text: Column, shingle: int = 3) -> Column:
-    """Column expression: the fingerprint as a (signed) long."""
+def with_fingerprint(docs: DataFrame, shingle: int = 3, column: str = "fp") -> DataFrame:
+    """``docs`` with the fingerprint of each text as a (signed) long."""
+    def prints(texts: pa.Array) -> list[pa.Array]:
+        values = b"".join(fingerprint_bytes(t, shingle) for t in texts.to_pylist())
+        return [pa.array(np.frombuffer(values, ">i8").astype(np.int64))]
 
-    @F.pandas_udf("long")
-    def fingerprint_of(texts: pd.Series) -> pd.Series:
-        values = [fingerprint_bytes(t, shingle) for t in texts]
-        return pd.Series(np.frombuffer(b"".join(values), ">i8").astype(np.int64))
-
-    return fingerprint_of(text)
+    return with_results(docs, f"{column} long", prints)
 
 
 def segment_counts(fp: Column) -> Column:
@@ -139,7 +137,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     component_id is the smallest doc_id reachable over links; (component_id,
     rep_fp) names the one document of the component that stands for it.
     n_links counts the other fingerprints that the document's links to."""
-    prints = cut(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "prints")
+    prints = cut(with_fingerprint(docs.select("doc_id", "text"), shingle).drop("text"), "prints")
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("min_id")), "points")
     pairs = cut(links(points.select("fp"), max_bits), "links")
     degree = (pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
@@ -163,6 +161,6 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2) ->
     found = near_duplicates(docs, shingle, max_bits)
     standing = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("rep_fp")))
                 .select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct())
-    marked = docs.withColumn("__print", fingerprint(F.col("text"), shingle))
+    marked = with_fingerprint(docs, shingle, "__print")
     joined = marked.join(standing, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
     return joined.dropDuplicates(["__id", "__fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -87,8 +87,8 @@ class ChunkMemo:
     turns the arrays of pre-tokens into those of chunks: it gets the values,
     the length of each pre-token's array, and the number of pre-tokens of each
     chunk, and returns the values.  When the memo is full, the chunks seen in
-    fewest blocks go, down to half of the limit: memory stays bounded, and
-    only work is repeated."""
+    fewest blocks go, down to half of the limit: memory stays bounded (by the
+    limit and one block), and only work is repeated."""
 
     def __init__(self, encode: Callable[[list[str]], Ragged], pattern: regex.Pattern,
                  join: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = lambda values, *_: values,
@@ -115,6 +115,8 @@ class ChunkMemo:
     def _shrink(self) -> None:
         """Keep the chunks seen in most blocks, half of the limit at most."""
         n = len(self.at)
+        if n <= self.limit // 2:
+            return
         uses = self.uses[:n]
         least = int(np.sort(uses)[max(n - self.limit // 2, 0)]) + 1
         kept = np.flatnonzero(uses >= max(least, 2))

@@ -53,6 +53,18 @@ def test_a_full_memo_changes_nothing():
             assert own.tolist() == ENCODING.encode_ordinary(text)
 
 
+def test_a_text_with_more_words_than_the_memo_and_one_query_hold(monkeypatch):
+    monkeypatch.setattr(bpe, "IDS_PER_QUERY", 100)
+    monkeypatch.setattr(bpe, "WORDS_PER_QUERY", 30)
+    codec = bpe.Codec()
+    codec.memo.limit = 20
+    texts = [" ".join(f"word{k}" for k in range(200)), "short", None, " ".join(f"w{k}," for k in range(300))]
+    for _ in range(2):
+        ids, counts = codec.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in ENCODING.encode_ordinary(t or "")]
+        assert codec.decode(ids, counts) == [(t or "").encode() for t in texts]
+
+
 def test_encode_and_decode_frames(spark):
     docs = odd_docs(spark)
     encoded = bpe.encode(docs)

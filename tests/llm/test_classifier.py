@@ -2,7 +2,6 @@ import math
 import zlib
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from spendlake.llm import classifier
 from spendlake.llm.queries import QUERIES
@@ -56,7 +55,7 @@ def test_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (4, None), (None, 1), (77, 0), (5, 1), (7, 0)],
                                    "doc_id long, label int")
     model = classifier.fit(docs, labels)
-    rows = docs.select("doc_id", "text", classifier.score(F.col("text"), model, spark).alias("s")).collect()
+    rows = classifier.with_score(docs, model, "s").collect()
     assert len(rows) == docs.count()
     bias = 1 / (1 + math.exp(-model.bias))
     assert all(abs(r["s"] - bias) < 1e-9 for r in rows if not r["text"])
@@ -67,7 +66,7 @@ def test_odd_rows(spark):
 def test_no_labels_and_no_documents(spark):
     docs = odd_docs(spark)
     model = classifier.fit(docs, spark.createDataFrame([], "doc_id long, label int"))
-    assert {r["s"] for r in docs.select(classifier.score(F.col("text"), model, spark).alias("s")).collect()} == {0.5}
+    assert {r["s"] for r in classifier.with_score(docs, model, "s").collect()} == {0.5}
     empty = odd_docs(spark, [])
     model = classifier.fit(empty, spark.createDataFrame([(1, 1)], "doc_id long, label int"))
-    assert empty.select(classifier.score(F.col("text"), model, spark)).count() == 0
+    assert classifier.with_score(empty, model, "s").count() == 0
