@@ -12,10 +12,11 @@ its words if it has fewer) are a possible seed.
 2. Rarity.  The number of passages with each n-gram is counted over all
    documents.  An n-gram is a seed of an item unless it is in more than
    ``rare_factor`` times as many passages as the item's median n-gram (in one
-   at least), so an item that leaked everywhere keeps its seeds, and phrases
-   of the language drop out.
-3. Alignment.  A passage with a seed is aligned to the item word by word
-   (match +2, other word -1, gap -1; local).  score is the best local score
+   at least).  The rarest n-gram of a passage is always a seed, so however
+   often a copy is repeated, each of its passages has one.
+3. Alignment.  Every passage that holds enough of the item's words to reach
+   the score (an upper bound of it, so nothing is lost) is aligned to the item
+   word by word (match +2, other word -1, gap -1; local).  score is the best local score
    over that of the whole item, so 1.0 is the whole item word for word; a
    pair is reported at ``min_score`` or more.
 
@@ -197,14 +198,26 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (2 * len(item)), *best_at
 
 
+def _needed(item: np.ndarray, settings: Settings) -> float:
+    """The least score at which a pair with this item is reported."""
+    return 1.0 if len(item) < settings.min_item_words else settings.min_score
+
+
+def _may_reach(item: np.ndarray, passage: np.ndarray, needed: float) -> bool:
+    """False only if too few of the item's words are in the passage for that score."""
+    return np.isin(item, passage).sum() / len(item) >= needed
+
+
 HIT_SCHEMA = "doc_id long, item int, first_word long, grams array<long>, words array<long>"
 
 
-def _block_hits(docs: DataFrame, items: Items) -> DataFrame:
+def _block_hits(docs: DataFrame, items: Items, settings: Settings) -> DataFrame:
+    """Every passage of the documents; ``words`` is null where no alignment reaches the score."""
     shared = docs.sparkSession.sparkContext.broadcast(items)  # block_words words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
+        needed = [_needed(w, settings) for w in held.words]
         for part in slices(batches, "text", BLOCK_BYTES):
             rows = list(passages([normalise(t) for t in part.column("text").to_pylist()], held))
             ids = part.column("doc_id").to_pylist()
@@ -212,7 +225,8 @@ def _block_hits(docs: DataFrame, items: Items) -> DataFrame:
                 [pa.array([ids[d] for d, *_ in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                  pa.array([r[2] for r in rows], pa.int64()),
                  pa.array([np.array(r[3], np.uint64).view(np.int64) for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[4].view(np.int64) for r in rows], pa.list_(pa.int64()))],
+                 pa.array([r[4].view(np.int64) if _may_reach(held.words[r[1]], r[4], needed[r[1]]) else None
+                           for r in rows], pa.list_(pa.int64()))],
                 ["doc_id", "item", "first_word", "grams", "words"])
         release_memory()
 
@@ -242,12 +256,9 @@ def _aligned(hits: DataFrame, items: Items, settings: Settings) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 o = row["item"]
-                n_seeds = sum(g in rare[o] for g in row["grams"])
-                if not n_seeds:
-                    continue
+                n_seeds = max(1, sum(g in rare[o] for g in row["grams"]))  # the rarest always
                 share, a, b = align(words[o].view(np.int64), np.array(row["words"], np.int64))
-                needed = 1.0 if len(words[o]) < settings.min_item_words else settings.min_score
-                if share >= needed:
+                if share >= _needed(words[o], settings):
                     out.append((row["doc_id"], ids[o], share, row["first_word"] + a, row["first_word"] + b, n_seeds))
             columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
@@ -255,7 +266,8 @@ def _aligned(hits: DataFrame, items: Items, settings: Settings) -> DataFrame:
                 ["doc_id", "item_id", "score", "first_word", "end_word", "n_seeds"])
 
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-    return hits.mapInArrow(run, "doc_id long, item_id long, score double, first_word long, end_word long, n_seeds long")
+    return hits.filter("words IS NOT NULL").mapInArrow(
+        run, "doc_id long, item_id long, score double, first_word long, end_word long, n_seeds long")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -269,7 +281,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
         block = build_items([tuple(r) for r in rows], settings.seed_words)
-        part = _aligned(cut(_block_hits(docs, block), "passages"), block, settings)
+        part = _aligned(cut(_block_hits(docs, block, settings), "passages"), block, settings)
         found = part if found is None else found.union(part)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("at"), "end_word", "n_seeds"))
     return (found.groupBy("doc_id", "item_id").agg(best.alias("b"))

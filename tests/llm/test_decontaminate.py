@@ -89,6 +89,23 @@ def test_an_item_that_leaked_everywhere_keeps_its_seeds(spark):
     assert dc.find_leaks(docs, bench).count() == 300
 
 
+def test_an_edited_copy_is_found_however_often_it_is_repeated(spark):
+    rng = random.Random(3)
+    bench, docs, want = [], [], set()
+    for item, (every, copies, whole) in enumerate([(5, 9, 0), (6, 9, 0), (5, 1000, 0), (5, 9, 1)]):
+        words = rng.sample(WORDS, 30)
+        edited = [f"new{k}" if k % every == every - 1 else w for k, w in enumerate(words)]
+        bench.append((item, " ".join(words)))
+        for k in range(copies + whole):
+            body = edited if k < copies else words
+            want.add((len(docs), item))
+            docs.append((len(docs), " ".join([*rng.choices(WORDS, k=10), *body, *rng.choices(WORDS, k=10)])))
+    found = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert all(r["score"] >= 0.7 and r["n_seeds"] >= 1 for r in found)
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     bench = spark.createDataFrame([
