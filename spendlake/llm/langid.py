@@ -9,9 +9,9 @@ share by which the runner-up is larger; a text whose margin is under
 ``min_margin`` is marked as rejected.  score is 1 / (1 + exp(-margin / 0.02))
 (one half: a tie).  A null text, and one without a letter, is ``und``.
 
-Training takes about ``texts_per_language`` texts of each language (a hash of
-the text picks them; the bound is this parameter) and keeps ``excerpt_bytes``
-from the middle of each, at most ``dictionary_bytes`` in all: these are the
+Training takes ``texts_per_language`` distinct texts of each language, all if
+it has fewer (a hash of the text picks them, copies count once; the bound is
+this parameter) and keeps ``excerpt_bytes`` from the middle of each, at most ``dictionary_bytes`` in all: these are the
 contents of the dictionaries.  Prediction covers whole texts.
 
 Defined cases: rows with a null language or text teach nothing; without any
@@ -55,19 +55,28 @@ def fit(docs: DataFrame, texts_per_language: int = 400, dictionary_bytes: int =
     """Learn from ``text`` and ``lang``.  A language beyond the ``max_languages``
     with most rows is not learned (the dictionaries are held by every worker)."""
     rows = docs.select("text", "lang").dropna()
-    counts = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-              .limit(max_languages).collect())
+    dice = F.xxhash64("text", F.lit(5))
+    distinct = rows.groupBy("lang", dice.alias("dice")).agg(F.count(F.lit(1)).alias("n"))
+    counts = (distinct.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+              .orderBy(F.desc("n"), "lang").limit(max_languages).collect())
     if not counts:
         return Model(())
+    wanted = texts_per_language + 6 * texts_per_language ** 0.5 + 10  # never too few by chance; cut below
     share = F.create_map(*[x for r in counts for x in
-                           (F.lit(r["lang"]), F.lit(int((1 << 30) * min(1.0, texts_per_language / r["n"]))))])
-    dice = F.xxhash64("text", F.lit(5))
+                           (F.lit(r["lang"]), F.lit(int((1 << 30) * min(1.0, wanted / r["texts"]))))])
     middle = F.greatest(F.lit(1), (F.char_length("text") / 2).cast("int") - excerpt_bytes // 2)
     sample = (rows.filter(F.pmod(dice, F.lit(1 << 30)) < F.element_at(share, F.col("lang")))
-              .select("lang", dice.alias("dice"), F.substring(F.col("text"), middle, F.lit(excerpt_bytes)).alias("text"))
-              .collect())  # about texts_per_language excerpts for each language
+              .select("lang", dice.alias("dice"),
+                      F.substring(F.col("text"), middle, F.lit(excerpt_bytes)).alias("text"))
+              .distinct().collect())  # little over texts_per_language excerpts for each language
     bodies: dict[str, list[bytes]] = {r["lang"]: [] for r in counts}
-    for r in sorted(sample, key=lambda r: (r["dice"], r["text"])):
+    taken = dict.fromkeys(bodies, 0)
+    kept = []
+    for r in sorted(sample, key=lambda r: (r["dice"] % (1 << 30), r["dice"], r["text"])):
+        taken[r["lang"]] += 1
+        if taken[r["lang"]] <= texts_per_language:
+            kept.append(r)
+    for r in sorted(kept, key=lambda r: (r["dice"], r["text"])):
         body = normalise(r["text"])
         if body and body not in bodies[r["lang"]][-1:]:
             bodies[r["lang"]].append(body)

@@ -44,6 +44,22 @@ def test_odd_rows(spark):
         assert r["lang_pred"] in ("en", "de", "fr", "a", "und")
 
 
+def test_copies_do_not_push_distinct_texts_out(spark):
+    def word(k):
+        return "w" + "".join(chr(97 + int(c)) for c in f"{k:04d}")
+
+    rows = [(f"{word(k)} text", "a") for k in range(1000)] + [(f"{word(k)} other", "b") for k in range(300)]
+    copies = spark.range(200_000).select(F.lit("one text repeated").alias("text"),
+                                         F.when(F.col("id") < 150_000, "a").otherwise("b").alias("lang"))
+    docs = spark.createDataFrame(rows, "text string, lang string").union(copies).repartition(3)
+    model = dict(langid.fit(docs, dictionary_bytes=1 << 20).dictionaries)
+    assert list(model) == ["a", "b"]
+    known = model["a"].count(b"repeated")
+    assert known <= 1 and len({w for w in model["a"].split() if w.startswith(b"w")}) == 400 - known
+    assert model["b"].count(b"repeated") == 1
+    assert len({w for w in model["b"].split() if w.startswith(b"w")}) == 300
+
+
 def test_nothing_to_learn_from(spark):
     docs = odd_docs(spark)
     model = langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
