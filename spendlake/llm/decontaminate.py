@@ -1,14 +1,21 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Text is lower-cased, signs become spaces, words are what is left between
-spaces.  Every ``seed_words`` neighbouring words of a benchmark item (all of
-its words if it has fewer) are a possible seed.
+spaces.  The n-grams of a benchmark item are its pairs of words that are
+neighbours or have one word between them.  (An item that must occur word for
+word has each ``seed_words`` neighbouring words instead, or all if it has
+fewer.)
 
 1. Join.  All n-grams of every whole document are looked up among the items'
-   n-grams; neighbouring hits on one item form a passage, with as many words
-   on either side as the item may need.  Items are taken in blocks of about
-   ``block_words`` words (the bound of what is sent to the workers), each
-   block against all documents; a usual benchmark is one block.
+   n-grams.  Of the words that an alignment of L words at score s matches, at
+   least s * L - 1 pairs follow each other with at most one edit between, so
+   each such alignment has that many hits within its length: fewer hits are
+   passed over and nothing is lost.  (Pairs that more than ``rare_factor``
+   items share are left out, the commonest first, up to half of that number,
+   and as many fewer hits are asked for.)  Hits on one item form a passage,
+   with as many words on either side as the item may need.  Items are taken in
+   blocks of about ``block_words`` words (the bound of what is sent to the
+   workers), each block against all documents; a usual benchmark is one block.
 2. Rarity.  The number of passages with each n-gram is counted over all
    documents.  An n-gram is a seed of an item unless it is in more than
    ``rare_factor`` times as many passages as the item's median n-gram (in one
@@ -16,9 +23,9 @@ its words if it has fewer) are a possible seed.
    often a copy is repeated, each of its passages has one.
 3. Alignment.  Every passage that holds enough of the item's words to reach
    the score (an upper bound of it, so nothing is lost) is aligned to the item
-   word by word (match +2, other word -1, gap -1; local).  score is the best local score
-   over that of the whole item, so 1.0 is the whole item word for word; a
-   pair is reported at ``min_score`` or more.
+   word by word (match +2, other word -1, gap -1; local).  score is the best
+   local score over that of the whole item, so 1.0 is the whole item word for
+   word; a pair is reported at ``min_score`` or more.
 
 Items without a word match nothing.  Items of fewer than ``min_item_words``
 words only match whole and word for word, else each short phrase would count
@@ -32,6 +39,7 @@ are ignored by ``find_leaks`` and kept by ``drop_leaks``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,6 +53,7 @@ from spendlake.llm.classifier import _mix, word_hashes
 from spendlake.llm.common import cut, release_memory, slices
 
 BLOCK_BYTES = 1 << 20
+_PAIR = np.uint64(0xD1B54A32D192ED03)
 _SIGNS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _OTHER_SIGNS = re.compile(r"[\u00a0-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7"
                           r"\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
@@ -85,6 +94,12 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def pairs(words: np.ndarray, gap: int) -> np.ndarray:
+    """A hash for each word and the one ``gap`` further, the same for every gap."""
+    left, right = words[:max(len(words) - gap, 0)], words[gap:]
+    return _mix(_mix(left + _PAIR) * np.uint64(0x9E3779B97F4A7C15) + right)
+
+
 @dataclass
 class Items:
     """One block of benchmark items on a worker."""
@@ -94,27 +109,60 @@ class Items:
     grams: np.ndarray  # sorted distinct n-gram hashes
     first: np.ndarray  # rows of ``owner`` for gram k: first[k]:first[k + 1]
     owner: np.ndarray  # item
-    width: int
+    widths: list[int]  # of the n-grams looked up besides the pairs
+    needed: np.ndarray  # hits within ``reach`` words that an alignment of each item has at least
+    reach: np.ndarray  # words of a document that such an alignment spans at most
+
 
+def _rare_pairs(pairs: np.ndarray, shared: dict[int, int], slots: int) -> tuple[np.ndarray, int]:
+    """An item's pairs without the commonest, and how many hits are left of ``slots``."""
+    distinct, times = np.unique(pairs, return_counts=True)
+    spare, out = slots // 2, []
+    for k in sorted((k for k in range(len(distinct)) if int(distinct[k]) in shared),
+                    key=lambda k: (-shared[int(distinct[k])], int(distinct[k]))):
+        if times[k] <= spare:
+            spare -= int(times[k])
+            out.append(k)
+    return np.delete(distinct, out), slots - (slots // 2 - spare)
 
-def build_items(rows: list, n: int) -> Items:
+
+def build_items(rows: list, settings: Settings) -> Items:
     ids, words, keys, owners = [], [], [], []
+    widths, needed, reach, paired = set(), [], [], {}
     for item_id, text in rows:
         raw, starts, ends, _ = _words([normalise(text)])
         if not len(starts):
             continue
         own = word_hashes(raw, starts, ends)
-        found = np.unique(grams(own, min(n, len(own))))
+        share = _needed(own, settings)
+        slots = math.ceil(share * len(own) - 1 - 1e-9)
+        if share < 1 and slots > 0:
+            paired[len(ids)] = np.concatenate([pairs(own, 1), pairs(own, 2)]), slots
+            found = np.unique(paired[len(ids)][0])
+        else:  # word for word, or a single equal word may be enough
+            n = min(settings.seed_words, len(own)) if share == 1 else 1
+            widths.add(n)
+            found = np.unique(grams(own, n))
+        needed.append(1)
+        reach.append(math.ceil(max(2.0, 3 - 2 * share) * len(own)))
         keys.append(found)
         owners.append(np.full(len(found), len(ids)))
         ids.append(item_id)
         words.append(own)
     if not ids:
-        return Items([], [], np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int64), n)
+        none = np.zeros(0, np.int64)
+        return Items([], [], np.zeros(0, np.uint64), np.zeros(1, np.int64), none, [], none, none)
+    key, times = np.unique(np.concatenate(keys), return_counts=True)
+    common = times > settings.rare_factor
+    shared = dict(zip(key[common].tolist(), times[common].tolist(), strict=True))
+    for o, (own_pairs, slots) in paired.items():
+        keys[o], needed[o] = _rare_pairs(own_pairs, shared, slots)
+        owners[o] = np.full(len(keys[o]), o)
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key, kind="stable")
     distinct, first = np.unique(key[order], return_index=True)
-    return Items(ids, words, distinct, np.append(first, len(key)), owner[order], n)
+    return Items(ids, words, distinct, np.append(first, len(key)), owner[order], sorted(widths),
+                 np.array(needed), np.array(reach))
 
 
 def _lookup(found: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +172,19 @@ def _lookup(found: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hit, at[hit]
 
 
+def _crowded(owner: np.ndarray, at: np.ndarray, doc: np.ndarray, items: Items) -> np.ndarray:
+    """Which of the sorted hits are among as many within reach as an alignment has."""
+    k = np.arange(len(owner))
+    end = k + items.needed[owner]  # after the last of them
+    last = np.minimum(end, len(owner)) - 1
+    good = ((end <= len(owner)) & (owner[last] == owner) & (doc[last] == doc)
+            & (at[last] - at <= items.reach[owner]))
+    steps = np.zeros(len(owner) + 1, np.int64)
+    np.add.at(steps, k[good], 1)
+    np.add.at(steps, end[good], -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
 def passages(coded: list[bytes], items: Items) -> Iterator[tuple[int, int, int, list[int], np.ndarray]]:
     """(text, item, first word, n-gram hashes, word hashes of the passage) for each run of hits."""
     raw, starts, ends, text_of = _words(coded)
@@ -132,34 +193,27 @@ def passages(coded: list[bytes], items: Items) -> Iterator[tuple[int, int, int,
     word = word_hashes(raw, starts, ends)
     bounds = np.searchsorted(text_of, np.arange(len(coded) + 1))
     hits = []
-    shorter = {min(items.width, len(w)) for w in items.words}
-    for n in sorted(shorter):
-        found = grams(word, n)
+    for span, found in [(1, pairs(word, 1)), (2, pairs(word, 2)), *((n - 1, grams(word, n)) for n in items.widths)]:
         at, row = _lookup(found, items.grams)
-        inside = text_of[at] == text_of[at + n - 1] if len(at) else np.zeros(0, bool)
+        inside = text_of[at] == text_of[at + span] if len(at) else np.zeros(0, bool)
         at, row = at[inside], row[inside]
         many = items.first[row + 1] - items.first[row]
         pick = np.repeat(items.first[row], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        hits.append(np.stack([items.owner[pick], np.repeat(at, many), np.repeat(row, many),
-                              np.full(len(pick), n)], axis=1))
+        hits.append(np.stack([items.owner[pick], np.repeat(at, many), np.repeat(row, many)], axis=1))
     hit = np.concatenate(hits)
+    hit = hit[np.lexsort((hit[:, 1], hit[:, 0], text_of[hit[:, 1]]))]
+    hit = hit[_crowded(hit[:, 0], hit[:, 1], text_of[hit[:, 1]], items)]
     if not len(hit):
         return
-    owner = hit[:, 0]
-    length = np.fromiter(map(len, items.words), np.int64, len(items.words))
-    hit = hit[[min(items.width, length[o]) == n for o, n in zip(owner, hit[:, 3], strict=True)]]
-    if not len(hit):
-        return
-    hit = hit[np.lexsort((hit[:, 1], hit[:, 0], text_of[hit[:, 1]]))]
     owner, at, doc = hit[:, 0], hit[:, 1], text_of[hit[:, 1]]
-    reach = 2 * length[owner]  # a gap as long as two items ends a passage
+    reach = items.reach[owner]  # a longer gap ends a passage
     new = np.ones(len(hit), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] - at[:-1] > reach[1:])
     edges = np.append(np.flatnonzero(new), len(hit))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         o, d, side = int(owner[a]), int(doc[a]), int(reach[a])
         lo = max(int(at[a]) - side, int(bounds[d]))
-        hi = min(int(at[b - 1]) + items.width + side, int(bounds[d + 1]))
+        hi = min(int(at[b - 1]) + side + 1, int(bounds[d + 1]))
         yield d, o, lo - int(bounds[d]), items.grams[np.unique(hit[a:b, 2])].tolist(), word[lo:hi]
 
 
@@ -280,7 +334,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
     found = None
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
-        block = build_items([tuple(r) for r in rows], settings.seed_words)
+        block = build_items([tuple(r) for r in rows], settings)
         part = _aligned(cut(_block_hits(docs, block, settings), "passages"), block, settings)
         found = part if found is None else found.union(part)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("at"), "end_word", "n_seeds"))

@@ -106,6 +106,32 @@ def test_an_edited_copy_is_found_however_often_it_is_repeated(spark):
     assert all(r["score"] >= 0.7 and r["n_seeds"] >= 1 for r in found)
 
 
+def test_copies_without_four_equal_neighbours_are_found(spark):
+    rng = random.Random(4)
+    bench, docs, want = [], [], {}
+
+    def edits(words):
+        yield [f"new{k}" if k % 4 == 3 else w for k, w in enumerate(words)]  # every fourth word replaced
+        yield [x for w in words for x in (w, "added")][:-1]  # a word added after each
+        yield [w for k, w in enumerate(words) if k % 3]  # every third word left out
+        yield [f"new{k}" if k % 7 == 6 else w for k, w in enumerate(words) if k % 5 != 1]
+
+    known = {}
+    for item in range(60):  # half of them begin alike
+        words = (WORDS[:6] if item % 2 else []) + rng.sample(WORDS, rng.randint(8, 34))
+        bench.append((item, " ".join(words)))
+        for copy in edits(words):
+            docs.append((len(docs), " ".join([*rng.choices(WORDS, k=30), *copy, *rng.choices(WORDS, k=30)])))
+    for d, text in docs:
+        for item, body in bench:
+            share = dc.align(word_ids(body, known), word_ids(text, known))[0]
+            if share >= 0.5:
+                want[d, item] = share
+    found = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want and len(want) > 150
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     bench = spark.createDataFrame([
