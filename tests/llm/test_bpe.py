@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -65,6 +66,17 @@ def test_a_text_with_more_words_than_the_memo_and_one_query_hold(monkeypatch):
         assert codec.decode(ids, counts) == [(t or "").encode() for t in texts]
 
 
+def test_decoding_orders_the_pieces_whatever_the_threads():
+    n, docs = 1_000_000, 40
+    pos = np.random.default_rng(3).permutation(n).astype(np.int32)
+    db = duckdb.connect(config={"threads": 8})
+    id_rows = pa.table({"doc": pos % docs, "id": (pos // docs) % 26, "pos": pos})  # noqa: F841  read by name
+    vocabulary = pa.table({"id": np.arange(26, dtype=np.int32), "piece": list("abcdefghijklmnopqrstuvwxyz")})  # noqa: F841
+    got = dict(db.execute(bpe.DECODE).fetchall())
+    want = "".join(chr(97 + k % 26) for k in range(n // docs))
+    assert len(got) == docs and set(got.values()) == {want}
+
+
 def test_encode_and_decode_frames(spark):
     docs = odd_docs(spark)
     encoded = bpe.encode(docs)
