@@ -10,7 +10,8 @@ but the last return the columns of ``documents``.
   failing the base rules or losing too much text go.
 * near_dedup: of each group linked by fingerprints at 2 or fewer differing
   bits, the document with the smallest id stays.
-* decontaminate: documents holding a ``benchmark`` item go.
+* decontaminate: documents holding a ``benchmark`` item go, also those without
+  an id.
 * tokenize: token ids and digests of each remaining document.
 
 Defined cases: an empty table passes every stage with no rows; null and empty
@@ -47,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"), null_ids=True)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

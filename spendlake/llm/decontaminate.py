@@ -46,7 +46,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.classifier import _mix, word_hashes
@@ -342,7 +342,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None
             .select("doc_id", "item_id", "b.score", (-F.col("b.at")).alias("first_word"), "b.end_word", "b.n_seeds"))
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The documents without a leak, all columns kept; documents without an id are kept."""
-    leaked = cut(find_leaks(docs, benchmark, settings).select(F.col("doc_id").alias("__id")).distinct(), "leaks")
-    return docs.join(leaked, docs["doc_id"] == F.col("__id"), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None,
+               null_ids: bool = False) -> DataFrame:
+    """The documents without a leak, all columns kept.  Documents without an id are kept, or
+    with ``null_ids`` looked up by a hash of their text, so that those with a leak go too."""
+    def key() -> Column:
+        own = F.col("doc_id").cast("long")
+        return F.coalesce(own, F.xxhash64("text")) if null_ids else own
+
+    searched = docs.select(key().alias("doc_id"), "text")
+    leaked = cut(find_leaks(searched, benchmark, settings).select(F.col("doc_id").alias("__id")).distinct(), "leaks")
+    return docs.join(leaked, key() == F.col("__id"), "left_anti")

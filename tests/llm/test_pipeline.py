@@ -62,6 +62,17 @@ def test_each_stage_keeps_columns_and_takes_odd_rows(spark):
     assert corpus_pipeline.tokenize(spark, docs, SF).count() == len(texts)
 
 
+def test_leaks_without_an_id_go(spark):
+    item = table(spark, "benchmark").first()["text"]
+    words = " ".join(f"w{k}" for k in range(80))
+    docs = odd_docs(spark, [(1, words, "en", "a"), (2, f"{words} {item}", "en", "a"), (None, words, "en", "a"),
+                            (None, f"{item} {words}", "en", "a"), (None, None, "en", "a")])
+    kept = corpus_pipeline.decontamination(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == sorted(
+        str(x) for x in [(1, words), (None, words), (None, None)])
+
+
 def test_empty_table_passes_every_stage(spark):
     docs = table(spark, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
