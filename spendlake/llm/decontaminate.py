@@ -1,10 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Text is lower-cased, signs become spaces, words are what is left between
-spaces.  The n-grams of a benchmark item are its pairs of words that are
-neighbours or have one word between them.  (An item that must occur word for
-word has each ``seed_words`` neighbouring words instead, or all if it has
-fewer.)
+spaces; of a script written without spaces each character is a word.  The
+n-grams of a benchmark item are its pairs of words that are neighbours or have
+one word between them.  (An item that must occur word for word has each
+``seed_words`` neighbouring words instead, or all if it has fewer.)
 
 1. Join.  All n-grams of every whole document are looked up among the items'
    n-grams.  Of the words that an alignment of L words at score s matches, at
@@ -57,6 +57,12 @@ _PAIR = np.uint64(0xD1B54A32D192ED03)
 _SIGNS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _OTHER_SIGNS = re.compile(r"[\u00a0-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7"
                           r"\u2000-\u206f\u3000-\u303f\uff00-\uff0f]")
+#: Scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, Tai, Balinese, Javanese, Kana,
+#: Bopomofo, Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f"
+                       "\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035\u3038-\u303c\u3040-\u312f\u31a0-\u31bf"
+                       "\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+                       "\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 
 
 @dataclass(frozen=True)
@@ -69,10 +75,11 @@ class Settings:
 
 
 def normalise(text: str | None) -> bytes:
-    """Lower-cased UTF-8 with one byte of space for each ASCII sign or white space."""
+    """Lower-cased UTF-8 with one byte of space for each ASCII sign or white space,
+    and spaces around each character of an unspaced script."""
     text = (text or "").lower()
     if not text.isascii():
-        text = _OTHER_SIGNS.sub(" ", text)
+        text = _UNSPACED.sub(r" \g<0> ", _OTHER_SIGNS.sub(" ", text))
     return text.encode("utf-8").translate(_SIGNS)
 
 

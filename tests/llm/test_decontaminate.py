@@ -132,6 +132,20 @@ def test_copies_without_four_equal_neighbours_are_found(spark):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want and len(want) > 150
 
 
+def test_items_in_scripts_without_spaces_are_found_inside_longer_clauses(spark):
+    items = ["\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u4e00\u8d77\u53bb\u516c\u56ed\u6563\u6b65",
+             "\u79c1\u306f\u6bce\u671d\u30b3\u30fc\u30d2\u30fc\u3092\u98f2\u307f\u307e\u3059",
+             "\u0e09\u0e31\u0e19\u0e0a\u0e2d\u0e1a\u0e01\u0e34\u0e19\u0e02\u0e49\u0e32\u0e27\u0e1c\u0e31\u0e14"]
+    docs = [(k, x[-1] + x[::-1] + item + x[::-1], item) for k, (item, x) in
+            enumerate(zip(items, items[1:] + items[:1], strict=True))]
+    docs += [(k + 3, f"seen {x[:9]}, {x[9:]} here", x) for k, x in enumerate(items)]
+    docs += [(6, "\u4eca\u5929\u4e0d\u53bb", None), (7, "one two three four five six seven eight", None)]
+    found = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string, of string"),
+                          spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in found} == {
+        (d, items.index(of), 1.0) for d, _, of in docs if of}
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     bench = spark.createDataFrame([
