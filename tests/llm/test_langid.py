@@ -60,6 +60,16 @@ def test_copies_do_not_push_distinct_texts_out(spark):
     assert len({w for w in model["b"].split() if w.startswith(b"w")}) == 300
 
 
+def test_every_language_is_learned(spark):
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(600)]
+    rows = [(" ".join(f"{n}{x}{n}" for x in "qzjkvwxy"), n) for n in names]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.fit(docs)
+    assert sorted(n for n, _ in model.dictionaries) == names
+    got = docs.select("lang", langid.predict(F.col("text"), model, spark).alias("p")).collect()
+    assert len(got) == 600 and all(r["p"]["lang_pred"] == r["lang"] for r in got)
+
+
 def test_nothing_to_learn_from(spark):
     docs = odd_docs(spark)
     model = langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
