@@ -99,7 +99,37 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+_FIM = """
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hex
+    FROM documents),
+drawn AS (
+    SELECT doc_id, text, units, len(units)::BIGINT AS n,
+           list_transform([0, 1, 2, 3], lambda k: ('0x' || substr(hex, 8 * k + 1, 8))::BIGINT) AS h
+    FROM cut),
+placed AS (
+    SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+           units,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                  OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+parts AS (
+    SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix,
+           array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+    FROM placed)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_fill_in_middle": _FIM,
     "op3_quality_rules": _quality_rules(Rules()),
     "op9_warc_zip": _WARC,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (bpe, classifier, decontaminate, hilbert, langid, packing, prefix_counts,
+from spendlake.llm import (bpe, classifier, decontaminate, fim, hilbert, langid, packing, prefix_counts,
                            quality_rules, simhash, warc_zip)
 from spendlake.llm.common import held_out, read_table
 
@@ -87,3 +87,11 @@ def _warc(spark: SparkSession, d: str) -> DataFrame:
 def _simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, d, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+
+
+@register("op11_fill_in_middle")
+def _fim(spark: SparkSession, d: str) -> DataFrame:
+    made = fim.transform(read_table(spark, d, "documents"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in (
+        (F.col("output"), "output_sha256"), (fim.restore(F.col("output"), F.col("form")), "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
