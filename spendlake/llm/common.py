@@ -35,6 +35,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    name, k = f"__{base}", 0
+    while name.lower() in taken:
+        k += 1
+        name = f"__{base}{k}"
+    return name
+
+
 def release_memory() -> None:
     """Give back what a worker's allocators hold but do not use, at the end of a partition."""
     pa.default_memory_pool().release_unused()

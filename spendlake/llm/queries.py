@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (bpe, classifier, decontaminate, fim, hilbert, langid, packing, prefix_counts,
-                           quality_rules, simhash, warc_zip)
+from spendlake.llm import (align, bpe, classifier, decontaminate, fim, hilbert, langid, packing,
+                           prefix_counts, quality_rules, simhash, warc_zip)
 from spendlake.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,10 @@ def _fim(spark: SparkSession, d: str) -> DataFrame:
     digests = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in (
         (F.col("output"), "output_sha256"), (fim.restore(F.col("output"), F.col("form")), "restored_sha256"))]
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@register("op13_cross_tokenizer_alignment")
+def _align(spark: SparkSession, d: str) -> DataFrame:
+    groups = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    aligned = align.align(read_table(spark, d, "documents"))
+    return align.score(aligned.select("doc_id", "n_a", "n_b", "n_groups", groups.alias("groups_sha256"), "links"))

@@ -1,0 +1,137 @@
+import functools
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from spendlake.llm import align
+from spendlake.llm.queries import QUERIES
+
+from .fixtures import SF, TEXTS, odd_docs, table
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+PIECES = ["a", "the", " ", "  ", "\n", "\t", "'re", "é", "é", "中文", "12", "!", "<|endoftext|>", "<s>", "<0x41>", "help",
+          " and", " ", "\x1c", "\x85", " ", "　", "​", "\r\n", "don't", "\U0001f600", "\x00", "ﬁ", "ation"]
+
+
+@functools.cache
+def bytes_a(i):
+    """Side A's bytes through the library's own decoder table."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {chr(b): b for b in printable} | {
+        chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+    return bytes(signs[c] for c in A.id_to_token(i))
+
+
+@functools.cache
+def bytes_b(i):
+    piece = B.id_to_piece(i)
+    return bytes([int(piece[3:5], 16)]) if B.is_byte(i) else piece.replace("▁", " ").encode()
+
+
+def tokens(text):
+    """Whole-text ids of both sides with their end offsets; nothing where they don't spell the text."""
+    if not text:
+        return [], []
+    sides = []
+    for ids, table_ in ((A.encode(" " + text, add_special_tokens=False).ids, bytes_a), (B.encode(text), bytes_b)):
+        parts = [table_(i) for i in ids]
+        if b"".join(parts) != (" " + text).encode():
+            return [], []
+        sides.append(list(zip(ids, np.cumsum([len(p) for p in parts]).tolist())))
+    return sides
+
+
+def brute(texts):
+    rows, counts = [], Counter()
+    for text in texts:
+        a, b = tokens(text)
+        at = {f: j for j, f in b}
+        links = [(i, at[e]) for i, e in a if e in at]
+        cuts = sorted({e for _, e in a} & set(at))
+        groups, x, y = [], 0, 0
+        for high in cuts:
+            x0, y0 = x, y
+            while x < len(a) and a[x][1] <= high:
+                x += 1
+            while y < len(b) and b[y][1] <= high:
+                y += 1
+            groups.append(",".join(str(i) for i, _ in a[x0:x]) + "|" + ",".join(str(j) for j, _ in b[y0:y]))
+        counts.update(links)
+        rows.append((len(a), len(b), len(cuts), ";".join(groups), links))
+    top = Counter()
+    for (_, j), n in counts.items():
+        top[j] = max(top[j], n)
+    return [(na, nb, ng, g, len(links), sum(counts[p] == top[p[1]] for p in links), sum(counts[p] for p in links))
+            for na, nb, ng, g, links in rows]
+
+
+def test_query_equals_brute_force(spark):
+    docs = table(spark, "documents").collect()
+    want = [(r["doc_id"], na, nb, ng, hashlib.sha256(g.encode()).hexdigest() if g else "", nl, nbest, total)
+            for r, (na, nb, ng, g, nl, nbest, total) in zip(docs, brute([r["text"] for r in docs]), strict=True)]
+    got = QUERIES["op13_cross_tokenizer_alignment"](spark, SF)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "n_links", "n_best", "count_sum"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert any(r[6] < r[5] for r in want)
+
+
+@pytest.mark.parametrize("limit", [align.BROADCAST_PAIRS, 0])
+def test_odd_rows_with_and_without_broadcast(spark, limit):
+    rng = random.Random(3)
+    rows = TEXTS + [(200 + k, "".join(rng.choices(PIECES, k=rng.randint(1, 12))), "en", "a") for k in range(150)]
+    rows += [(900, "with ▁ sign", "en", "a"), (901, "a▁ b", "en", "a"), (902, " lead", "en", "a"),
+             (903, "trail ", "en", "a"), (904, "a b c d", "en", "a"), (905, "▁", "en", "a")]
+    got = align.score(align.align(odd_docs(spark, rows)), broadcast_pairs=limit)
+    want = [str((r[0], *w)) for r, w in zip(rows, brute([r[1] for r in rows]), strict=True)]
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(want)
+
+
+def test_empty_table_and_texts_without_tokens(spark):
+    assert align.score(align.align(odd_docs(spark, []))).count() == 0
+    rows = [(1, None, None, None), (2, "", None, None), (3, "▁", None, None)]
+    got = align.score(align.align(odd_docs(spark, rows))).collect()
+    assert sorted(map(tuple, got)) == [(k, 0, 0, 0, "", 0, 0, 0) for k in (1, 2, 3)]
+
+
+def test_steps_of_a_long_text_give_the_same_result(monkeypatch):
+    pair = align.token_pair(align.TOKENIZER_A, align.TOKENIZER_B)
+    texts = pa.array([TEXTS[4][1][:9000], None, "", "one two  three\n\nfour", "the end", "a▁ b", "the the the end"])
+    whole = [c.to_pylist() for c in align._align_batch(pair, texts)]
+    for words in (1, 3, 50):
+        monkeypatch.setattr(align, "WORDS_AT_ONCE", words)
+        assert [c.to_pylist() for c in align._align_batch(pair, texts)] == whole
+
+
+def test_overlaps_are_all_pairs_that_share_bytes():
+    import pandas as pd
+    rng = random.Random(8)
+    for _ in range(200):
+        sides = [[], []]
+        at = 0
+        for doc in range(rng.randint(1, 4)):
+            size = rng.randint(1, 15)
+            for side in sides:
+                side += [(doc, at + s) for s in [0, *sorted(rng.sample(range(1, size), rng.randint(0, size - 1)))]]
+            at += size
+        a, b = (pd.DataFrame(s, columns=["doc", "start"]) for s in sides)
+        ends = [[*(s for _, s in side[1:]), at] for side in sides]
+        want = {(i, j) for i in range(len(a)) for j in range(len(b))
+                if sides[0][i][1] < ends[1][j] and sides[1][j][1] < ends[0][i]}
+        found = list(zip(*(x.tolist() for x in align.overlaps(a, b)), strict=True))
+        assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_hot_pairs_stay_whole(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same words again").alias("text"))
+    rows = align.score(align.align(docs)).select("n_links", "n_best", "count_sum").distinct().collect()
+    assert len(rows) == 1 and rows[0]["count_sum"] == rows[0]["n_links"] * 3000
