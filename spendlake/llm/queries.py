@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import (align, bpe, classifier, decontaminate, fim, hilbert, langid, packing,
+from spendlake.llm import (align, bpe, classifier, decontaminate, fim, hilbert, langid, mih, packing,
                            prefix_counts, quality_rules, simhash, warc_zip)
 from spendlake.llm.common import held_out, read_table
 
@@ -102,3 +102,10 @@ def _align(spark: SparkSession, d: str) -> DataFrame:
     groups = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
     aligned = align.align(read_table(spark, d, "documents"))
     return align.score(aligned.select("doc_id", "n_a", "n_b", "n_groups", groups.alias("groups_sha256"), "links"))
+
+
+@register("op12_multi_index_hashing")
+def _nearest(spark: SparkSession, d: str) -> DataFrame:
+    vectors = read_table(spark, d, "embeddings").select("vec_id", "embedding")
+    queries = vectors.filter(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
+    return mih.search(mih.build(vectors), queries, k=20)
