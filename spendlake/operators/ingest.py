@@ -69,14 +69,22 @@ def newest_file_wins(rows: DataFrame) -> DataFrame:
     return rows.join(newest, cond, "left_semi")
 
 
-def dedupe_by_key(rows: DataFrame) -> DataFrame:
+def with_position(rows: DataFrame) -> DataFrame:
+    """Export rows whose position is (split start, record), as ``sources.exports`` gives it."""
+    if not dict(rows.dtypes)["row_in_file"].startswith("struct"):
+        position = F.struct(F.lit(0).cast("long").alias("split_start"), F.col("row_in_file").cast("long").alias("record"))
+        rows = rows.withColumn("row_in_file", position)
+    return rows
+
+
+def dedupe_by_key(rows: DataFrame, position: bool = False) -> DataFrame:
     """One row per key: the first loaded wins, i.e. highest file name, then
     earliest position in the file.  ``row_number() == 1`` is planned with a
     partial WindowGroupLimit before the shuffle, so each map task keeps one
     row per key and no key gathers its duplicates in one task."""
     first = W.partitionBy("transaction_hash").orderBy(F.desc("source_file"), F.asc("row_in_file"))
     return (rows.withColumn("_rn", F.row_number().over(first))
-            .filter(F.col("_rn") == 1).select(*RAW_COLUMNS))
+            .filter(F.col("_rn") == 1).select(*RAW_COLUMNS, *(["row_in_file"] if position else [])))
 
 
 def land(rows: DataFrame, landing_path: str) -> DataFrame:
@@ -88,10 +96,11 @@ def land(rows: DataFrame, landing_path: str) -> DataFrame:
     return rows.sparkSession.read.parquet(landing_path)
 
 
-def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None = None) -> DataFrame:
-    """Export rows -> raw transactions (one row per key)."""
+def load(rows: DataFrame, with_load_time: bool = True, landing_path: str | None = None,
+         position: bool = False) -> DataFrame:
+    """Export rows -> raw transactions (one row per key), with their ``row_in_file`` if asked."""
     ready = posted(land(rows, landing_path) if landing_path else typed_rows(rows))
-    kept = dedupe_by_key(newest_file_wins(ready))
+    kept = dedupe_by_key(newest_file_wins(ready), position)
     if with_load_time:
         kept = kept.withColumn("loaded_at", F.current_timestamp())
     return kept

@@ -26,8 +26,7 @@ def fact_transactions(categorised: DataFrame) -> DataFrame:
         "amount", "absolute_amount", "balance", "transaction_type", "counterparty_name",
         "transaction_description", "currency", "category_key", "categorization_status", "source_file",
     ]
-    if "loaded_at" in categorised.columns:
-        cols.append("loaded_at")
+    cols += [c for c in ("row_in_file", "loaded_at") if c in categorised.columns]
     return categorised.select(*cols)
 
 
@@ -58,8 +57,14 @@ def dim_account(staged: DataFrame, bank_name: str = FV.BANK_NAME,
 
 
 def dim_category(spark: SparkSession, rows=None) -> DataFrame:
-    """Literal category rows plus the classification of their type."""
-    base = spark.createDataFrame(list(FV.CATEGORY_ROWS if rows is None else rows), CATEGORY_ROWS)
+    """Literal category rows plus the classification of their type.
+
+    The rows are literals of the plan, so its size is known and joins to it broadcast it."""
+    rows = FV.CATEGORY_ROWS if rows is None else rows
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, CATEGORY_ROWS.fields, strict=True)])
+               for r in rows]
+    base = spark.range(1, numPartitions=1).select(F.inline(F.array(*structs))) if structs else \
+        spark.createDataFrame([], CATEGORY_ROWS)
     cls = None
     for ctype, label in FV.CLASSIFICATION_BY_TYPE.items():
         cond = F.col("category_type") == ctype

@@ -29,9 +29,14 @@ class TableChecks:
     relationships: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
+def repeated_keys(df: DataFrame, column: str) -> DataFrame:
+    """Values that occur more than once, with their ``count``.  A table bucketed by
+    the column is aggregated bucket by bucket, without a shuffle."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).count().filter(F.col("count") > 1)
+
+
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
-    return (df.filter(F.col(column).isNotNull()).groupBy(column).count()
-            .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
+    return repeated_keys(df, column).agg(F.count(F.lit(1)).alias("failures"))
 
 
 def null_and_accepted_failures(df: DataFrame, not_null: list[str],

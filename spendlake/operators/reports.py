@@ -31,13 +31,25 @@ def _average(c: Column) -> Column:
     return F.sum(c).cast("double") / F.count(c)
 
 
+def _rows(frame: DataFrame) -> Column:
+    """Each row's number of transactions: one, or the count that a summary holds."""
+    return F.col("transactions") if "transactions" in frame.columns else F.lit(1)
+
+
+def _count(frame: DataFrame, where: Column | None = None) -> Column:
+    """The number of transactions (that meet a condition)."""
+    rows = _rows(frame)
+    counted = F.sum(rows if where is None else F.when(where, rows))
+    return F.coalesce(counted, F.lit(0)).cast("long")
+
+
 def _debits(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("transaction_type") == "debit")
 
 
 def data_summary(frame: DataFrame) -> DataFrame:
     """Row count and date range of the unfiltered frame."""
-    return frame.agg(F.count(F.lit(1)).alias("total_transactions"),
+    return frame.agg(_count(frame).alias("total_transactions"),
                      F.min("date_day").alias("min_date"), F.max("date_day").alias("max_date"))
 
 
@@ -46,7 +58,7 @@ def key_metrics(frame: DataFrame) -> DataFrame:
     credit = F.when(F.col("transaction_type") == "credit", F.col("amount"))
     debit = F.when(F.col("transaction_type") == "debit", F.col("amount"))
     return frame.agg(_sum0(credit).alias("income"), _sum0(debit).alias("expenses_signed"),
-                     F.count(F.lit(1)).alias("transaction_count")).select(
+                     _count(frame).alias("transaction_count")).select(
         "income",
         _money(F.abs("expenses_signed")).alias("total_expenses"),
         _money(F.col("income") + F.col("expenses_signed")).alias("net_flow"),
@@ -137,8 +149,8 @@ def top_category_by_day(frame: DataFrame, k: int = 5) -> DataFrame:
 
 
 def uncategorised_share(frame: DataFrame) -> DataFrame:
-    return frame.agg(F.count_if(F.col("categorization_status") == "Uncategorized").alias("uncategorised"),
-                     F.count(F.lit(1)).alias("transactions")).select(
+    return frame.agg(_count(frame, F.col("categorization_status") == "Uncategorized").alias("uncategorised"),
+                     _count(frame).alias("transactions")).select(
         "uncategorised", "transactions",
         percent_share(F.col("uncategorised"), F.col("transactions")).alias("uncategorised_pct"))
 
@@ -154,6 +166,30 @@ def transaction_list(frame: DataFrame, columns: Sequence[str] = FV.TRANSACTION_L
     return out.limit(limit) if limit is not None else out
 
 
+def transaction_page(frame: DataFrame, size: int, after: tuple | None = None,
+                     columns: Sequence[str] = FV.TRANSACTION_LIST_DEFAULT) -> DataFrame:
+    """One page of the transaction list: the ``size`` rows behind the last row
+    (date or None, key) of the page before, with ``transaction_key`` to go on from.
+
+    Pages one after the other are the whole list.  Each is a top-k of the rows
+    behind the key, so no page sorts the fact (``Ledger.page`` reads the months
+    it needs only)."""
+    bad = [c for c in columns if c not in FV.TRANSACTION_LIST_COLUMNS]
+    if bad:
+        raise ValueError(f"columns not offered by the transaction list: {bad}")
+    day, key = F.col("date_day"), F.col("transaction_key")
+    if after is not None:
+        last_day, last_key = after
+        if last_day is None:  # undated rows come last
+            frame = frame.filter(day.isNull() & (key > F.lit(last_key)))
+        else:
+            behind = (day < F.lit(last_day)) | ((day == F.lit(last_day)) & (key > F.lit(last_key)))
+            frame = frame.filter(behind | day.isNull())
+    shown = [c for c in columns if c != "transaction_key"]
+    return (frame.orderBy(F.desc_nulls_last("date_day"), F.asc("transaction_key")).limit(size)
+            .select("transaction_key", *shown))
+
+
 def transaction_search(frame: DataFrame, term: str | None, literal: bool = False) -> DataFrame:
     """Rows whose description or counterparty matches ``term`` (regex,
     case-insensitive); all rows when the term is empty."""
@@ -196,7 +232,7 @@ def category_matrix(frame: DataFrame) -> DataFrame:
     return (frame.rollup("category_group", "category_name")
             .agg(_money(F.sum("amount")).alias("amount"),
                  _money(F.sum("absolute_amount")).alias("absolute_amount"),
-                 F.count(F.lit(1)).alias("transactions"),
+                 _count(frame).alias("transactions"),
                  F.grouping_id().cast("int").alias("level")))
 
 
@@ -206,9 +242,11 @@ def spending_without_transfers(frame: DataFrame) -> DataFrame:
 
 
 def daily_balance(fact: DataFrame) -> DataFrame:
-    """Balance per account and day: the balance of the row with the largest
-    key that day (a deterministic choice; the rows carry no time)."""
-    last = W.partitionBy("account_key", "date_key").orderBy(F.desc("transaction_key"))
+    """Balance per account and day: the balance of the day's last record in the
+    newest export (exports list transactions in order).  A fact without
+    ``row_in_file`` gives the row with the largest key, a deterministic choice."""
+    order = ["source_file", "row_in_file"] if "row_in_file" in fact.columns else []
+    last = W.partitionBy("account_key", "date_key").orderBy(*map(F.desc, [*order, "transaction_key"]))
     # a limit of one row per group goes before the shuffle; a maximum over text would sort all rows
     return (fact.filter(F.col("account_key").isNotNull() & F.col("date_key").isNotNull())
             .withColumn("_rn", F.row_number().over(last)).filter(F.col("_rn") == 1)

@@ -21,5 +21,5 @@ def stage(raw: DataFrame) -> DataFrame:
         F.when(F.col("amount") < 0, F.lit("debit")).otherwise(F.lit("credit")).alias("transaction_type"),
         F.abs("amount").alias("absolute_amount"),
         "source_file",
-        *(["loaded_at"] if "loaded_at" in raw.columns else []),
+        *[c for c in ("row_in_file", "loaded_at") if c in raw.columns],
     )

@@ -24,7 +24,7 @@ class Model:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, source="events",
                  rules=None, method: str = "auto", calendar=(FV.CALENDAR_START, FV.CALENDAR_END),
-                 with_load_time: bool = False):
+                 with_load_time: bool = False, with_position: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.source = source
@@ -32,6 +32,7 @@ class Model:
         self.method = method
         self.calendar = calendar
         self.with_load_time = with_load_time
+        self.with_position = with_position
 
     @cached_property
     def export_rows(self) -> DataFrame:
@@ -57,7 +58,7 @@ class Model:
 
     @cached_property
     def raw(self) -> DataFrame:
-        out = ingest.dedupe_by_key(self.kept)
+        out = ingest.dedupe_by_key(self.kept, self.with_position)
         if self.with_load_time:
             from pyspark.sql import functions as F
             out = out.withColumn("loaded_at", F.current_timestamp())

@@ -10,7 +10,8 @@ with them is written here anew."""
 from __future__ import annotations
 
 from spendlake import fixed_values as FV
-from spendlake.plans.catalogue import FILTER_CATEGORIES, FIRST_RUN_STAMP, SEARCH_TERM
+from spendlake.plans.catalogue import (FILTER_CATEGORIES, FIRST_RUN, FIRST_RUN_STAMP, PAGE_ROWS, SEARCH_TERM,
+                                       SECOND_RUN, SLICED_ACCOUNT, SUMMARY_FILTERED, SUMMARY_WHOLE, WIDE_CALENDAR)
 from spendlake.sources.rules import FIXTURE_RULES, MANY_RULES, ODD_RULES
 
 
@@ -268,7 +269,7 @@ FROM (SELECT CAST(date_trunc('year', min(posting_date)) AS DATE) AS lo,
              CAST(date_trunc('year', max(posting_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS hi FROM stg) b,
      generate_series(b.lo, b.hi, INTERVAL 1 DAY) s(g)"""
 
-FIRST_RUN = _load_chain(f"(SELECT * FROM export_rows WHERE source_file LIKE '%{FIRST_RUN_STAMP}%')", "first_")
+FIRST_CHAIN = _load_chain(f"(SELECT * FROM export_rows WHERE source_file LIKE '%{FIRST_RUN_STAMP}%')", "first_")
 
 def _audit(inserted: str) -> str:
     return f"""
@@ -307,14 +308,14 @@ ORACLE: dict[str, str] = {
     "ingest_newest_file_wins": BASE + f" SELECT {RAW_COLS}, row_in_file FROM kept",
     "ingest_dedupe_by_hash": BASE + f" SELECT {RAW_COLS} FROM raw",
     "ingest_audit_by_file": BASE + "," + _audit("raw"),
-    "ingest_audit_append": BASE + "," + FIRST_RUN + "," + _audit(
+    "ingest_audit_append": BASE + "," + FIRST_CHAIN + "," + _audit(
         "(SELECT * FROM raw WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw))"),
     "ingest_bind_headers": _with(EXPORT_ROWS, BOUND)
         + " SELECT * EXCLUDE (reason, amount_text) FROM bound WHERE reason IS NULL",
     "ingest_rejects": _with(EXPORT_ROWS, BOUND) + """ SELECT reason, source_file, row_in_file, posting_date_text,
   CASE WHEN reason <> 'empty amount' THEN amount_text END AS amount_text, description, name
 FROM bound WHERE reason IS NOT NULL""",
-    "ingest_append_new_only": BASE + "," + FIRST_RUN + f""" SELECT {RAW_COLS} FROM raw
+    "ingest_append_new_only": BASE + "," + FIRST_CHAIN + f""" SELECT {RAW_COLS} FROM raw
 WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw)""",
     "ingest_parse_decimal": BASE + """,
 t AS (SELECT row_in_file, translate(format('{:,.2f}', amount), ',.', '.,') AS amount_text,
@@ -390,8 +391,14 @@ WHERE category_key IN (SELECT category_key FROM fct WHERE category_key IS NOT NU
   CAST(sum(absolute_amount) AS DOUBLE) / count(absolute_amount) AS average_transaction,
   {_money("coalesce(sum(CASE WHEN transaction_type = 'credit' THEN amount END), 0) + coalesce(sum(CASE WHEN transaction_type = 'debit' THEN amount END), 0)")} AS net_flow
 FROM fct""",
-    "daily_balance": BASE + """ SELECT account_key, date_key, arg_max(balance, transaction_key) AS balance
-FROM fct WHERE account_key IS NOT NULL AND date_key IS NOT NULL GROUP BY account_key, date_key""",
+    "daily_balance": BASE + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY transaction_hash ORDER BY source_file DESC, row_in_file ASC) AS rn
+           FROM kept)
+SELECT account_key, date_key, balance FROM (
+  SELECT coalesce(sender, recipient) AS account_key, posting_date AS date_key, balance,
+         row_number() OVER (PARTITION BY coalesce(sender, recipient), posting_date
+                            ORDER BY source_file DESC, row_in_file DESC, transaction_hash DESC) AS last
+  FROM placed WHERE rn = 1) WHERE last = 1 AND account_key IS NOT NULL""",
     "category_matrix": BASE + f""" SELECT category_group, category_name, {_money('sum(amount)')} AS amount,
   {_money('sum(absolute_amount)')} AS absolute_amount, count(*) AS transactions,
   CAST(grouping(category_group, category_name) AS INTEGER) AS level
@@ -417,3 +424,72 @@ for _t in ("description", "name", "transaction_type"):
   SELECT *, row_number() OVER (PARTITION BY transaction_hash
                                ORDER BY priority DESC NULLS LAST, category_key ASC NULLS LAST) AS rn
   FROM matches WHERE pattern_type = '{_t}') WHERE rn = 1"""
+
+
+# --- stored ledger: the older exports loaded, then all exports appended ---------
+
+APPENDED = _with(EXPORT_ROWS, _load_chain("export_rows", "all_"), FIRST_CHAIN, f"""
+raw AS (
+  SELECT {RAW_COLS} FROM first_raw
+  UNION ALL
+  SELECT {RAW_COLS} FROM all_raw WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw)
+)""", _model())
+
+
+def _run_audit(prefix: str, inserted: str, run: str) -> str:
+    return f"""
+SELECT source_file, CAST(sum(parsed) AS BIGINT) AS parsed, CAST(sum(pending) AS BIGINT) AS pending,
+       CAST(sum(parsed - pending - held) AS BIGINT) AS superseded, CAST(sum(held - added) AS BIGINT) AS duplicate,
+       CAST(sum(added) AS BIGINT) AS inserted, CAST(sum(parsed - added) AS BIGINT) AS skipped, {_q(run)} AS run_id
+FROM (SELECT source_file, count(*) AS parsed, count(*) FILTER (posting_date IS NULL) AS pending
+      FROM {prefix}typed GROUP BY source_file)
+LEFT JOIN (SELECT source_file, count(*) AS kept_rows FROM {prefix}kept GROUP BY source_file) USING (source_file)
+LEFT JOIN (SELECT source_file, count(*) AS new_rows FROM {inserted} GROUP BY source_file) USING (source_file),
+LATERAL (SELECT coalesce(kept_rows, 0) AS held, coalesce(new_rows, 0) AS added)
+GROUP BY ROLLUP (source_file)"""
+
+
+_PASSING = _with(EXPORT_ROWS, _load_chain("(SELECT * FROM export_rows WHERE sender IS NOT NULL OR recipient IS NOT NULL)",
+                                          ""), _model().replace(FV.CALENDAR_START, WIDE_CALENDAR[0]))
+
+_EDITED = """
+edited AS (
+  SELECT * REPLACE (CASE WHEN row_in_file % 10 = 0 THEN d || ' "x;y"' ELSE d END AS description) FROM (
+    SELECT *, CASE WHEN row_in_file % 7 = 0 THEN replace(description, ' ', chr(10)) ELSE description END AS d
+    FROM export_rows)
+)"""
+_CSV = _with(EXPORT_ROWS, _EDITED, BOUND.replace("FROM export_rows", "FROM edited"))
+_CSV_ROWS = _CSV + " SELECT * EXCLUDE (reason, amount_text, row_in_file) FROM bound WHERE reason IS NULL"
+
+ORACLE |= {
+    "ingest_csv_files": _CSV_ROWS,
+    "ingest_csv_ranges": _CSV_ROWS,
+    "ingest_csv_rejects": _CSV + """ SELECT reason, source_file, posting_date_text,
+  CASE WHEN reason <> 'empty amount' THEN amount_text END AS amount_text, description, name
+FROM bound WHERE reason IS NOT NULL""",
+    "transaction_search_indexed": BASE + f""" SELECT {REPORT_COLS} FROM frame
+WHERE coalesce(regexp_matches(transaction_description, '{SEARCH_TERM}', 'i'), false)
+   OR coalesce(regexp_matches(counterparty_name, '{SEARCH_TERM}', 'i'), false)""",
+    "transaction_page": BASE + f""" SELECT transaction_key, date_day, amount, category_name, counterparty_name,
+  transaction_description
+FROM frame ORDER BY date_day DESC NULLS LAST, transaction_key LIMIT {PAGE_ROWS} OFFSET {PAGE_ROWS}""",
+    "filter_last_90_days_lazy": ORACLE["filter_last_90_days"],
+    "filter_quarter": BASE + f" SELECT {REPORT_COLS} FROM frame WHERE year = 2023 AND quarter = 2",
+    "filter_account": BASE + f" SELECT {REPORT_COLS} FROM frame WHERE year = 2023 AND account_number = {_q(SLICED_ACCOUNT)}",
+    "ledger_raw_after_append": APPENDED + f" SELECT {RAW_COLS} FROM raw",
+    "ledger_audit_history": APPENDED + _run_audit("first_", "first_raw", FIRST_RUN) + " UNION ALL " + _run_audit(
+        "all_", "(SELECT * FROM all_raw WHERE transaction_hash NOT IN (SELECT transaction_hash FROM first_raw))",
+        SECOND_RUN),
+    "ledger_repeated_keys": APPENDED + """ SELECT count(*) AS transactions,
+  count(*) - count(DISTINCT transaction_key) AS repeated FROM fct""",
+    "pipeline_checks": _PASSING + f" SELECT * FROM ({CHECKS})",
+    "pipeline_stored_marts": _PASSING + " " + KEY_METRICS.replace("FROM filtered", "FROM frame"),
+    "export_marts_round_trip": BASE + """,
+sizes AS (
+  SELECT 'dim_account' AS mart, count(*) AS n FROM dim_account UNION ALL SELECT 'dim_category', count(*) FROM dim_category
+  UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'fct_transactions', count(*) FROM fct)
+SELECT mart, n AS exported, n AS read_back FROM sizes
+UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT), CAST(sum(n) AS BIGINT) FROM sizes""",
+}
+for _n in [*SUMMARY_FILTERED, *SUMMARY_WHOLE]:
+    ORACLE[f"summary_{_n}"] = APPENDED + ORACLE[_n].removeprefix(BASE)

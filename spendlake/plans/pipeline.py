@@ -43,7 +43,9 @@ def load_exports(spark: SparkSession, csv_dir, raw_path: str, append: bool = Fal
 
     The parsed rows, and the rows that an append adds, are landed beside the
     raw table (a shared folder by definition); that run-private folder is
-    removed in the end.  The audit counts what was written."""
+    removed in the end.  A full refresh is written there too and then swapped
+    in, so a failed job leaves the old table.  The audit counts what was
+    written (``plans.ledger`` keeps the audits of all runs)."""
     rows = export_rows if export_rows is not None else read_exports(spark, csv_dir, split_files=split_files)
     landing = f"{raw_path.rstrip('/')}-landing-{uuid.uuid4().hex}"
     try:
@@ -58,8 +60,10 @@ def load_exports(spark: SparkSession, csv_dir, raw_path: str, append: bool = Fal
             written = spark.read.parquet(f"{landing}/added")
             by_month(written).write.mode("append").partitionBy("month_start").parquet(raw_path)
         else:
-            by_month(ingest.with_month(new_raw, "posting_date")).write.mode("overwrite").partitionBy(
-                "month_start").parquet(raw_path)
+            # written aside, so a failed job leaves the table that was there
+            by_month(ingest.with_month(new_raw, "posting_date")).write.partitionBy("month_start").parquet(
+                f"{landing}/table")
+            files.swap_in(spark, f"{landing}/table", raw_path)
             written = spark.read.parquet(raw_path)
         if audit_path:
             names = export_files(spark, csv_dir) if export_rows is None else None
@@ -94,7 +98,12 @@ def build_marts(spark: SparkSession, raw: DataFrame, marts_dir: str, rules: Data
         out = df.write
         if name == "fct_transactions":
             out = by_month(ingest.with_month(df, "date_key")).write.partitionBy("month_start")
-        out.mode("overwrite").parquet(f"{marts_dir}/{name}")
+        aside = f"{marts_dir}/{name}-new-{uuid.uuid4().hex}"
+        try:
+            out.parquet(aside)
+            files.swap_in(spark, aside, f"{marts_dir}/{name}")
+        finally:
+            files.delete(spark, aside)
     written = {name: spark.read.parquet(f"{marts_dir}/{name}") for name in built}
     # Accounts too large for one task of the account join (read by report_frame).
     hot_accounts(written["fct_transactions"], hot_account_rows).write.mode("overwrite").parquet(

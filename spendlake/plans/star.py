@@ -57,12 +57,21 @@ def _with_accounts(f: DataFrame, dim_account: DataFrame, hot_list: DataFrame) ->
     return g.withColumns({c: F.coalesce(F.col("_h_" + c), F.col(c)) for c in ACCOUNT_COLUMNS})
 
 
-def _with_dimensions(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame) -> DataFrame:
-    d = dim_date.select(F.col("date_key").alias("_d_key"), *DATE_COLUMNS)
+def _with_dimensions(fact: DataFrame, dim_date: DataFrame, dim_category: DataFrame,
+                     columns=FACT_COLUMNS) -> DataFrame:
+    """``columns`` of the fact with the date and category attributes.
+
+    The date join of a stored fact is on the month as well, which follows from
+    the date: a filter on any calendar attribute then prunes the fact's month
+    partitions at run time (dynamic partition pruning)."""
+    d = dim_date.select(F.col("date_key").alias("_d_key"), F.trunc("date_key", "month").alias("_d_month"),
+                        *DATE_COLUMNS)
     c = dim_category.select(F.col("category_key").alias("_c_key"), *CATEGORY_COLUMNS)
-    f = fact.select(*FACT_COLUMNS, *_layout(fact))
-    return (f.join(d, f["date_key"] == d["_d_key"], "left")
-             .join(c, f["category_key"] == c["_c_key"], "left"))
+    f = fact.select(*columns, *_layout(fact))
+    on_date = f["date_key"] == d["_d_key"]
+    if "month_start" in f.columns:
+        on_date = on_date & (f["month_start"] == d["_d_month"])
+    return f.join(d, on_date, "left").join(c, f["category_key"] == c["_c_key"], "left")
 
 
 def _layout(fact: DataFrame) -> list[str]:

@@ -6,7 +6,8 @@ that record, files with the same header form a layout, and each layout is one
 scan with the header's own width, so columns come in any order and number, and
 a layout without the currency column binds correctly.  Records are read once;
 nothing joins, sorts or shuffles them.  Files are the unit of parallelism
-(multi-line CSV cannot be split inside a file) unless ``split_files`` is set.
+(Spark does not split multi-line CSV inside a file) unless ``range_bytes`` or
+``split_files`` is set.
 
 Errors follow the strict load: a missing required header fails at once; an
 empty amount, an empty currency under a present header or a malformed date
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from spendlake import fixed_values as FV
 from spendlake.functions.text import decode_file_name, parse_locale_decimal, pending_to_null
 from spendlake.schemas import EXPORT_ROWS
-from spendlake.sources import files
+from spendlake.sources import files, ranges
 
 FIELDS = ["posting_date", "amount", "sender", "recipient", "name", "description", "balance",
           "currency", "reconciled"]
@@ -93,6 +94,26 @@ def layouts(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
     return {h: sorted(ps) for h, ps in sorted(out.items())}
 
 
+def _csv_options() -> dict[str, str]:
+    return dict(sep=";", quote='"', escape='"', mode="PERMISSIVE", nullValue="", emptyValue="")
+
+
+def _cells(width: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+
+
+def scan_ranges(spark: SparkSession, paths: list[str], width: int, range_bytes: int) -> DataFrame:
+    """The same cells as ``scan`` gives, from byte ranges of the files: quoted line breaks
+    are allowed, and one huge file is read by many tasks.  The position is the record's offset."""
+    found = ranges.records(spark, paths, range_bytes)
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.select(F.from_csv("record", _cells(width).simpleString().removeprefix("struct<").removesuffix(">")
+                                   .replace(":", " "), _csv_options()).alias("cells"),
+                        name.alias("source_file"),
+                        F.struct(F.lit(0).cast("long").alias("split_start"), F.col("offset").alias("record"))
+                        .alias("row_in_file")).select("cells.*", "source_file", "row_in_file")
+
+
 def scan(spark: SparkSession, paths: list[str], width: int, split_files: bool = False) -> DataFrame:
     """Positional cells ``_c0`` .. of every record below the header, with file name and order.
 
@@ -101,10 +122,8 @@ def scan(spark: SparkSession, paths: list[str], width: int, split_files: bool =
     into byte ranges -- for exports known to hold no quoted line breaks.  The
     position in the file is (split start, record id): the id grows with the
     file position inside a split, the split start orders the splits."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    df = (spark.read.schema(schema)
-          .options(header=True, enforceSchema=True, sep=";", quote='"', escape='"', multiLine=not split_files,
-                   encoding="UTF-8", mode="PERMISSIVE", nullValue="", emptyValue="")
+    df = (spark.read.schema(_cells(width))
+          .options(header=True, enforceSchema=True, multiLine=not split_files, encoding="UTF-8", **_csv_options())
           .csv(paths))
     return df.select("*", decode_file_name(F.col("_metadata.file_name")).alias("source_file"),
                      F.struct(F.col("_metadata.file_block_start").alias("split_start"),
@@ -163,17 +182,21 @@ def split_rejects(bound: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_exports(spark: SparkSession, path, mapping: dict[str, str] | None = None,
                  on_error: str = "fail", pending_marker: str = FV.PENDING_MARKER,
-                 default_currency: str = FV.DEFAULT_CURRENCY, split_files: bool = False):
+                 default_currency: str = FV.DEFAULT_CURRENCY, split_files: bool = False,
+                 range_bytes: int | None = None):
     """Export rows (``schemas.EXPORT_ROWS``) of every CSV in ``path``.
 
+    ``range_bytes`` reads files in byte ranges of that size, with line breaks in
+    quotes (``sources.ranges``); ``split_files`` is for files known to hold none.
     Returns the rows, or ``(rows, rejects)`` when ``on_error="reject"``."""
     if on_error not in ("fail", "reject"):
         raise ValueError("on_error must be 'fail' or 'reject'")
     parts = []
     for header, paths in layouts(spark, path).items():
         try:
-            parts.append(bind(scan(spark, paths, len(header), split_files), header, mapping,
-                              pending_marker, default_currency))
+            cells = (scan_ranges(spark, paths, len(header), range_bytes) if range_bytes
+                     else scan(spark, paths, len(header), split_files))
+            parts.append(bind(cells, header, mapping, pending_marker, default_currency))
         except ValueError as e:
             raise ValueError(f"{e} of file '{unquote(paths[0].rsplit('/', 1)[-1])}'") from None
     if not parts:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import urlsplit
 
 from pyarrow import fs
@@ -24,6 +25,45 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    files, p = _hadoop(spark, path)
+    if not files.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def swap_in(spark: SparkSession, aside: str, path: str) -> None:
+    """Put a folder written aside in the place of ``path``; what was there is removed last."""
+    old = f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
+    if exists(spark, path):
+        rename(spark, path, old)
+    rename(spark, aside, path)
+    delete(spark, old)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written from the driver."""
+    files, p = _hadoop(spark, path)
+    out = files.create(p, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, p = _hadoop(spark, path)
+    stream = files.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def sizes(spark: SparkSession, paths: list[str]) -> list[int]:
+    """The length of each file in bytes."""
+    return [files.getFileStatus(p).getLen() for files, p in (_hadoop(spark, path) for path in paths)]
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, by name; the driver lists them, as for any scan."""
     files, p = _hadoop(spark, pattern)
