@@ -28,7 +28,8 @@ _QUOTE, _BREAK = ord('"'), ord("\n")
 
 
 def byte_ranges(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, start, stop) of every range of every file."""
+    """(path, start, stop) of every range of every file; a byte order mark is not cut."""
+    range_bytes = max(range_bytes, len(BOM))
     sized = [(p, n) for p, n in zip(paths, files.sizes(spark, paths), strict=True) if n]
     listed = spark.createDataFrame(sized, "path string, size long")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))
@@ -62,7 +63,7 @@ def with_state(ranges: DataFrame) -> DataFrame:
                 with filesystem.open_input_file(place) as stream:
                     for piece in _pieces(stream, row["start"], row["stop"]):
                         n += piece.count(b'"')
-                        empty = empty and not piece.removeprefix(BOM).strip()
+                        empty = empty and not (piece.removeprefix(BOM) if not row["start"] else piece).strip()
                 quotes.append(n % 2)
                 blank.append(empty)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(quotes, pa.int64()), pa.array(blank, pa.bool_())],
