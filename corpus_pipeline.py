@@ -11,13 +11,14 @@ but the last return the columns of ``documents``.
 * near_dedup: of each group linked by fingerprints at 2 or fewer differing
   bits, the document with the smallest id stays.
 * decontaminate: documents holding a ``benchmark`` item go, also those without
-  an id.
+  an id; other documents under the same id stay.
 * tokenize: token ids and digests of each remaining document.
 
 Defined cases: an empty table passes every stage with no rows; null and empty
 texts have under 50 words and go in the second stage; a null doc_id is kept
 where its document stands for its group; repeated rows leave one row after
-the third stage.
+the third stage; further columns are kept, whatever their names; texts are
+worked on whole, however long.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.llm import bpe, classifier, decontaminate, quality_rules, simhash
-from spendlake.llm.common import cut, read_table
+from spendlake.llm.common import cut, read_table, unused
 from spendlake.llm.queries import QUALITY_THRESHOLD, quality_model
 
 #: SQL can express neither the classifier nor XXH64, Smith-Waterman and BPE.
@@ -35,8 +36,9 @@ ORACLE_SQL = None
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    scored = classifier.with_score(docs, model, "__score")
-    return scored.filter(F.col("__score") >= QUALITY_THRESHOLD).drop("__score")
+    score = unused(docs, "score")
+    scored = classifier.with_score(docs, model, score)
+    return scored.filter(F.col(score) >= QUALITY_THRESHOLD).drop(score)
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
