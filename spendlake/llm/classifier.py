@@ -8,15 +8,19 @@ its share of the text's words, times ``SCALE``; its score is the logistic
 function of the sparse dot product with the weights, plus a bias.  Only the
 text goes in.
 
-Training.  A sample of about ``max_rows`` labelled rows (hash of the id; the
-bound is this parameter) is featurised on the workers and dealt to ``SHARDS``
-learners.  Each runs ``epochs`` passes of follow-the-regularised-leader
-updates in the order of a hash of the id, and the weights are averaged.  The
-driver holds SHARDS weight vectors of fixed size and nothing else.
+Training.  A sample of about ``max_rows`` distinct labelled texts (id, text and
+label; by a hash; the bound is this parameter) is featurised on the workers and
+dealt to ``SHARDS`` learners.  Each runs ``epochs`` passes of
+follow-the-regularised-leader updates in the order of a hash of id and text,
+and the weights are averaged.  The driver holds SHARDS weight vectors of fixed
+size and nothing else.
 
 Defined cases: a null, empty or white-space text scores the bias alone; null
-labels and labels without a document are ignored; repeated label rows train
-repeatedly; with no labels every score is 0.5; an empty table gives no rows.
+labels and labels without a document are ignored; repeated rows of documents or
+labels train once, so copies of a row neither fill a learner nor change its
+order; with no labels every score is 0.5; an empty table gives no rows; columns
+other than doc_id and text, whatever their names, are ignored, and kept by
+``with_score``.  A very long text is held whole, with one hash a word and kind.
 """
 
 from __future__ import annotations
@@ -27,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import release_memory, slices, with_results
+from spendlake.llm.common import cut, release_memory, slices, with_results
 
 SCALE = 16.0
 SHARDS = 4
@@ -172,14 +176,19 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 18, epochs: int = 4) -> Model:
     """Learn from the rows of ``labels`` (doc_id, label 0/1) that have a document.
 
-    ``max_rows``: the expected number of label rows in the sample; fewer
-    labels are all used."""
-    spark = docs.sparkSession
-    labels = labels.select(F.col("doc_id").alias("__id"), F.col("label").cast("int").alias("__label")).dropna()
-    total = labels.count()
-    dice = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1 << 30))
-    sample = labels.filter(dice < F.lit(int((1 << 30) * min(1.0, max_rows / max(total, 1)))))
-    chosen = docs.join(F.broadcast(sample), docs["doc_id"] == F.col("__id")).select("__id", "__label", "text")
+    ``max_rows``: the expected number of labelled texts in the sample; fewer
+    are all used."""
+    def share(rows: int) -> Column:
+        return F.lit(int((1 << 30) * min(1.0, max_rows / max(rows, 1))))
+
+    labels = labels.select(F.col("doc_id").alias("id"), F.col("label").cast("int").alias("label")).dropna().distinct()
+    dice = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
+    sample = labels.filter(dice < share(labels.count()))  # about max_rows ids: small enough to broadcast
+    texts = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    chosen = cut(texts.join(F.broadcast(sample), "id").groupBy("id", "label", "key").agg(F.first("text").alias("text")),
+                 "labelled")
+    # an id with many texts may bring more rows than ids
+    chosen = chosen.filter(F.pmod(F.xxhash64("key", F.lit(13)), F.lit(1 << 30)) < share(chosen.count()))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BLOCK_BYTES):
@@ -189,13 +198,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
                 at, times = np.unique(own, return_counts=True)
                 rows.append((at.astype(np.int32), (times * (SCALE / max(n, 1))).astype(np.float32)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("__id"), part.column("__label"),
+                [part.column("key"), part.column("label"),
                  pa.array([a for a, _ in rows], pa.list_(pa.int32())),
-                 pa.array([v for _, v in rows], pa.list_(pa.float32()))], ["id", "label", "slots", "vals"])
+                 pa.array([v for _, v in rows], pa.list_(pa.float32()))], ["key", "label", "slots", "vals"])
         release_memory()
 
     def learn(rows: pa.Table) -> pa.Table:
-        order = np.argsort([hash((int(i) * _MULTIPLIER) % (1 << 61)) for i in rows["id"].to_pylist()], kind="stable")
+        order = np.lexsort((rows["label"].to_numpy(), rows["key"].to_numpy()))
         at = np.cumsum(rows["slots"].combine_chunks().value_lengths().to_numpy())[:-1]
         slots = [np.append(s, 1 << bits) for s in np.split(rows["slots"].combine_chunks().flatten().to_numpy(), at)]
         vals = [np.append(v, 1.0) for v in np.split(rows["vals"].combine_chunks().flatten().to_numpy(), at)]
@@ -206,8 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, bits: int = 1
                 learner.update(slots[k], vals[k], label[k])
         return pa.table({"weights": [learner.weights().astype("<f4").tobytes()]})
 
-    data = (chosen.mapInArrow(featurise, "id long, label int, slots array<int>, vals array<float>")
-            .withColumn("shard", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(SHARDS))))
+    data = (chosen.select("key", "label", "text")
+            .mapInArrow(featurise, "key long, label int, slots array<int>, vals array<float>")
+            .withColumn("shard", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(SHARDS))))
     learned = data.groupBy("shard").applyInArrow(learn, "weights binary").collect()  # SHARDS rows of fixed size
     if not learned:
         return Model(bits, np.zeros(1 << bits, np.float32), 0.0)

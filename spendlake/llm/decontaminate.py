@@ -6,35 +6,35 @@ n-grams of a benchmark item are its pairs of words that are neighbours or have
 one word between them.  (An item that must occur word for word has each
 ``seed_words`` neighbouring words instead, or all if it has fewer.)
 
-1. Join.  All n-grams of every whole document are looked up among the items'
-   n-grams.  Of the words that an alignment of L words at score s matches, at
-   least s * L - 1 pairs follow each other with at most one edit between, so
-   each such alignment has that many hits within its length: fewer hits are
-   passed over and nothing is lost.  (Pairs that more than ``rare_factor``
-   items share are left out, the commonest first, up to half of that number,
-   and as many fewer hits are asked for.)  Hits on one item form a passage,
-   with as many words on either side as the item may need.  Items are taken in
-   blocks of about ``block_words`` words (the bound of what is sent to the
-   workers), each block against all documents; a usual benchmark is one block.
-2. Rarity.  The number of passages with each n-gram is counted over all
-   documents.  An n-gram is a seed of an item unless it is in more than
-   ``rare_factor`` times as many passages as the item's median n-gram (in one
-   at least).  The rarest n-gram of a passage is always a seed, so however
-   often a copy is repeated, each of its passages has one.
+1. Rarity.  The occurrences of each item n-gram are counted over all documents.
+   The rare ones are the item's seeds: of the pairs of words, those in more
+   than ``rare_factor`` times as many places as the item's median pair are left
+   out, the commonest first, as long as an alignment must still hit others; of
+   an item that must occur word for word, the rarest n-gram alone is the seed.
+2. Join.  The n-grams of every whole document are looked up among the seeds.
+   Of the words that an alignment of L words at score s matches, at least
+   s * L - 1 pairs follow each other with at most one edit between, so each
+   such alignment has that many hits within its length, less those left out,
+   which are half of them at most: fewer hits are passed over and nothing is
+   lost.  Hits on one item form a passage, with as many words on either side as
+   the item may need.  Items are taken in blocks of about ``block_words`` words
+   (the bound of what is sent to the workers and of the counts that the driver
+   gets), each block against all documents; a usual benchmark is one block.
 3. Alignment.  Every passage that holds enough of the item's words to reach
    the score (an upper bound of it, so nothing is lost) is aligned to the item
    word by word (match +2, other word -1, gap -1; local).  score is the best
    local score over that of the whole item, so 1.0 is the whole item word for
-   word; a pair is reported at ``min_score`` or more.
+   word; a pair is reported at ``min_score`` or more if the alignment is worth
+   ``min_words`` words, whatever the item's length (shorter items: all of them).
 
-Items without a word match nothing.  Items of fewer than ``min_item_words``
-words only match whole and word for word, else each short phrase would count
-as a leak.
+Items without a word match nothing.  A document is read whole, however long; a
+task holds about ``BLOCK_BYTES`` of text, or one longer document.
 
 Defined cases: null and empty texts match nothing; null doc_ids are reported
 as such; repeated documents and repeated items give one row for each distinct
-pair of ids (the best passage); an empty table gives no rows; other columns
-are ignored by ``find_leaks`` and kept by ``drop_leaks``.
+pair of ids (the best passage); an empty table gives no rows; other columns,
+whatever their names, are ignored by ``find_leaks`` and kept by ``drop_leaks``,
+which goes by text: of rows that share an id only those with a leak go.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.classifier import _mix, word_hashes
-from spendlake.llm.common import cut, release_memory, slices
+from spendlake.llm.common import cut, release_memory, slices, unused
 
 BLOCK_BYTES = 1 << 20
 _PAIR = np.uint64(0xD1B54A32D192ED03)
@@ -70,7 +70,7 @@ class Settings:
     seed_words: int = 4
     rare_factor: int = 8
     min_score: float = 0.5
-    min_item_words: int = 8
+    min_words: int = 4
     block_words: int = 2_000_000
 
 
@@ -121,19 +121,22 @@ class Items:
     reach: np.ndarray  # words of a document that such an alignment spans at most
 
 
-def _rare_pairs(pairs: np.ndarray, shared: dict[int, int], slots: int) -> tuple[np.ndarray, int]:
+def _rare_pairs(pairs: np.ndarray, counts: dict[int, int], slots: int, factor: int) -> tuple[np.ndarray, int]:
     """An item's pairs without the commonest, and how many hits are left of ``slots``."""
     distinct, times = np.unique(pairs, return_counts=True)
+    found = np.array([counts.get(int(d), 0) for d in distinct])
     spare, out = slots // 2, []
-    for k in sorted((k for k in range(len(distinct)) if int(distinct[k]) in shared),
-                    key=lambda k: (-shared[int(distinct[k])], int(distinct[k]))):
+    for k in np.lexsort((distinct, -found)).tolist():
+        if found[k] <= factor * max(1, np.median(found)):
+            break
         if times[k] <= spare:
             spare -= int(times[k])
             out.append(k)
     return np.delete(distinct, out), slots - (slots // 2 - spare)
 
 
-def build_items(rows: list, settings: Settings) -> Items:
+def build_items(rows: list, settings: Settings, counts: dict[int, int] | None = None) -> Items:
+    """Items with all their n-grams, or with the rare ones, by the ``counts`` of all n-grams."""
     ids, words, keys, owners = [], [], [], []
     widths, needed, reach, paired = set(), [], [], {}
     for item_id, text in rows:
@@ -150,6 +153,8 @@ def build_items(rows: list, settings: Settings) -> Items:
             n = min(settings.seed_words, len(own)) if share == 1 else 1
             widths.add(n)
             found = np.unique(grams(own, n))
+            if share == 1 and counts is not None:
+                found = found[[np.lexsort((found, [counts.get(int(g), 0) for g in found]))[0]]]
         needed.append(1)
         reach.append(math.ceil(max(2.0, 3 - 2 * share) * len(own)))
         keys.append(found)
@@ -159,11 +164,8 @@ def build_items(rows: list, settings: Settings) -> Items:
     if not ids:
         none = np.zeros(0, np.int64)
         return Items([], [], np.zeros(0, np.uint64), np.zeros(1, np.int64), none, [], none, none)
-    key, times = np.unique(np.concatenate(keys), return_counts=True)
-    common = times > settings.rare_factor
-    shared = dict(zip(key[common].tolist(), times[common].tolist(), strict=True))
-    for o, (own_pairs, slots) in paired.items():
-        keys[o], needed[o] = _rare_pairs(own_pairs, shared, slots)
+    for o, (own_pairs, slots) in paired.items() if counts is not None else ():
+        keys[o], needed[o] = _rare_pairs(own_pairs, counts, slots, settings.rare_factor)
         owners[o] = np.full(len(keys[o]), o)
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key, kind="stable")
@@ -200,7 +202,7 @@ def passages(coded: list[bytes], items: Items) -> Iterator[tuple[int, int, int,
     word = word_hashes(raw, starts, ends)
     bounds = np.searchsorted(text_of, np.arange(len(coded) + 1))
     hits = []
-    for span, found in [(1, pairs(word, 1)), (2, pairs(word, 2)), *((n - 1, grams(word, n)) for n in items.widths)]:
+    for span, found in _document_grams(word, items.widths):
         at, row = _lookup(found, items.grams)
         inside = text_of[at] == text_of[at + span] if len(at) else np.zeros(0, bool)
         at, row = at[inside], row[inside]
@@ -261,7 +263,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 
 def _needed(item: np.ndarray, settings: Settings) -> float:
     """The least score at which a pair with this item is reported."""
-    return 1.0 if len(item) < settings.min_item_words else settings.min_score
+    return max(settings.min_score, min(1.0, settings.min_words / len(item)))
 
 
 def _may_reach(item: np.ndarray, passage: np.ndarray, needed: float) -> bool:
@@ -269,11 +271,40 @@ def _may_reach(item: np.ndarray, passage: np.ndarray, needed: float) -> bool:
     return np.isin(item, passage).sum() / len(item) >= needed
 
 
-HIT_SCHEMA = "doc_id long, item int, first_word long, grams array<long>, words array<long>"
+def _counts(docs: DataFrame, items: Items) -> dict[int, int]:
+    """How often each n-gram of a block of items occurs in all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast((items.grams, items.widths))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, widths = shared.value
+        times = np.zeros(len(table), np.int64)
+        for part in slices(batches, "text", BLOCK_BYTES) if len(table) else ():
+            raw, starts, ends, text_of = _words([normalise(t) for t in part.column("text").to_pylist()])
+            word = word_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+            for span, found in _document_grams(word, widths):
+                at, row = _lookup(found, table)
+                inside = text_of[at] == text_of[at + span] if len(at) else np.zeros(0, bool)
+                times += np.bincount(row[inside], minlength=len(table))
+        held = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(table[held].view(np.int64)), pa.array(times[held])], ["gram", "n"])
+        release_memory()
+
+    each = docs.select("text").mapInArrow(run, "gram long, n long")
+    total = each.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # the block's n-grams at most
+    grams_of = total.column("gram").to_numpy().astype(np.int64).view(np.uint64)
+    return dict(zip(grams_of.tolist(), total.column("n").to_pylist(), strict=True))
+
+
+def _document_grams(word: np.ndarray, widths: list[int]) -> list[tuple[int, np.ndarray]]:
+    """(words between first and last, hashes) of every kind of n-gram."""
+    return [(1, pairs(word, 1)), (2, pairs(word, 2)), *((n - 1, grams(word, n)) for n in widths)]
+
+
+HIT_FIELDS = "item int, first_word long, grams array<long>, words array<long>"
 
 
 def _block_hits(docs: DataFrame, items: Items, settings: Settings) -> DataFrame:
-    """Every passage of the documents; ``words`` is null where no alignment reaches the score."""
+    """Every passage of documents (key, text); ``words`` is null where no alignment reaches the score."""
     shared = docs.sparkSession.sparkContext.broadcast(items)  # block_words words at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,82 +312,80 @@ def _block_hits(docs: DataFrame, items: Items, settings: Settings) -> DataFrame:
         needed = [_needed(w, settings) for w in held.words]
         for part in slices(batches, "text", BLOCK_BYTES):
             rows = list(passages([normalise(t) for t in part.column("text").to_pylist()], held))
-            ids = part.column("doc_id").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[d] for d, *_ in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
+                [part.column("key").take(pa.array([d for d, *_ in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int32()),
                  pa.array([r[2] for r in rows], pa.int64()),
                  pa.array([np.array(r[3], np.uint64).view(np.int64) for r in rows], pa.list_(pa.int64())),
                  pa.array([r[4].view(np.int64) if _may_reach(held.words[r[1]], r[4], needed[r[1]]) else None
                            for r in rows], pa.list_(pa.int64()))],
-                ["doc_id", "item", "first_word", "grams", "words"])
+                ["key", "item", "first_word", "grams", "words"])
         release_memory()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, HIT_SCHEMA)
+    return docs.mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, {HIT_FIELDS}")
 
 
 def _aligned(hits: DataFrame, items: Items, settings: Settings) -> DataFrame:
-    spark = hits.sparkSession
-    counted = (hits.select("item", F.explode("grams").alias("gram")).groupBy("item", "gram")
-               .agg(F.count(F.lit(1)).alias("passages")).collect())  # one row for each n-gram of the block at most
-    times = {(r["item"], r["gram"]): r["passages"] for r in counted}
-    signed = items.grams.view(np.int64)
-    own: list[list[int]] = [[] for _ in items.ids]
-    for k in range(len(signed)):
-        for o in items.owner[items.first[k]:items.first[k + 1]].tolist():
-            own[o].append(int(signed[k]))
-    seeds = []
-    for o, keys in enumerate(own):
-        passages_of = [times.get((o, g), 0) for g in keys]
-        limit = settings.rare_factor * max(1, int(np.median(passages_of)) if keys else 1)
-        seeds.append({g for g, n in zip(keys, passages_of, strict=True) if n <= limit})
-    shared = spark.sparkContext.broadcast((items.ids, items.words, seeds))
+    """key, item_id, score, first_word, end_word, n_seeds of the passages that reach their score."""
+    shared = hits.sparkSession.sparkContext.broadcast((items.ids, items.words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, rare = shared.value
+        ids, words = shared.value
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
+            out, kept = [], []
+            for k, row in enumerate(batch.drop_columns(["key"]).to_pylist()):
                 o = row["item"]
-                n_seeds = max(1, sum(g in rare[o] for g in row["grams"]))  # the rarest always
                 share, a, b = align(words[o].view(np.int64), np.array(row["words"], np.int64))
                 if share >= _needed(words[o], settings):
-                    out.append((row["doc_id"], ids[o], share, row["first_word"] + a, row["first_word"] + b, n_seeds))
-            columns = list(zip(*out, strict=True)) or [()] * 6
+                    kept.append(k)
+                    out.append((ids[o], share, row["first_word"] + a, row["first_word"] + b, len(row["grams"])))
+            columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["doc_id", "item_id", "score", "first_word", "end_word", "n_seeds"])
+                [batch.column("key").take(pa.array(kept, pa.int64())),
+                 *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                ["key", "item_id", "score", "first_word", "end_word", "n_seeds"])
 
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
     return hits.filter("words IS NOT NULL").mapInArrow(
-        run, "doc_id long, item_id long, score double, first_word long, end_word long, n_seeds long")
+        run, f"key {hits.schema['key'].dataType.simpleString()}, item_id long, score double, first_word long, "
+             "end_word long, n_seeds long")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """One row per (doc_id, item_id) that leaked: score, the words first_word:end_word of the
-    document that align best, and the number of rare seeds in the passage."""
-    settings = settings or Settings()
+def _search(docs: DataFrame, benchmark: DataFrame, settings: Settings) -> DataFrame:
+    """The best passage of each pair of a document's key and an item; of documents (key, text)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = items.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")).cast("long"))).first()[0] or 0
     blocks = -(-size // settings.block_words) or 1
     found = None
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
-        block = build_items([tuple(r) for r in rows], settings)
+        rows = [tuple(r) for r in rows]
+        block = build_items(rows, settings, _counts(docs, build_items(rows, settings)))
         part = _aligned(cut(_block_hits(docs, block, settings), "passages"), block, settings)
         found = part if found is None else found.union(part)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("at"), "end_word", "n_seeds"))
-    return (found.groupBy("doc_id", "item_id").agg(best.alias("b"))
-            .select("doc_id", "item_id", "b.score", (-F.col("b.at")).alias("first_word"), "b.end_word", "b.n_seeds"))
+    return (found.groupBy("key", "item_id").agg(best.alias("b"))
+            .select("key", "item_id", "b.score", (-F.col("b.at")).alias("first_word"), "b.end_word", "b.n_seeds"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """One row per (doc_id, item_id) that leaked: score, the words first_word:end_word of the
+    document that align best, and the number of distinct seeds in the passage."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
+    return _search(keyed, benchmark, settings or Settings()).withColumnRenamed("key", "doc_id")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None,
                null_ids: bool = False) -> DataFrame:
-    """The documents without a leak, all columns kept.  Documents without an id are kept, or
-    with ``null_ids`` looked up by a hash of their text, so that those with a leak go too."""
-    def key() -> Column:
-        own = F.col("doc_id").cast("long")
-        return F.coalesce(own, F.xxhash64("text")) if null_ids else own
-
-    searched = docs.select(key().alias("doc_id"), "text")
-    leaked = cut(find_leaks(searched, benchmark, settings).select(F.col("doc_id").alias("__id")).distinct(), "leaks")
-    return docs.join(leaked, key() == F.col("__id"), "left_anti")
+    """The documents without a leak, all columns kept.
+
+    Whether a document leaks depends on its text alone, so texts are looked up
+    by their digest, and rows of one id stay or go each by its own text.
+    Documents without an id are kept; with ``null_ids`` they go like any other."""
+    def digest() -> Column:
+        return F.md5(F.col("text").cast("binary"))
+
+    found = _search(docs.select(digest().alias("key"), "text"), benchmark, settings or Settings())
+    name = unused(docs, "leaked")
+    leaked = cut(found.select(F.col("key").alias(name)).distinct(), "leaks")
+    goes = digest() == F.col(name)
+    return docs.join(leaked, goes if null_ids else goes & F.col("doc_id").isNotNull(), "left_anti")

@@ -23,7 +23,9 @@ with the documents reaches the driver.
 Defined cases: an empty table gives no rows; repeated rows and repeated
 doc_ids each keep their row; a null doc_id takes its fingerprint's component
 and is the smallest id only where its component has no other; columns other
-than doc_id and text are ignored.
+than doc_id and text, whatever their names, are ignored, and kept by
+``keep_one_per_group``.  Texts are fingerprinted whole: a very long one is held
+with its words and the hashes of its shingles.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import cut, with_results
+from spendlake.llm.common import cut, unused, with_results
 
 SEED = 42
 SEGMENT_BITS = 4
@@ -138,6 +140,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     rep_fp) names the one document of the component that stands for it.
     n_links counts the other fingerprints that the document's links to."""
     prints = cut(with_fingerprint(docs.select("doc_id", "text"), shingle).drop("text"), "prints")
+    return _grouped(prints, max_bits).select("doc_id", "fp", "component_id", "rep_fp", "n_links")
+
+
+def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``prints`` (doc_id, fp and others) with component_id, rep_fp and n_links."""
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("min_id")), "points")
     pairs = cut(links(points.select("fp"), max_bits), "links")
     degree = (pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
@@ -151,16 +158,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     named = cut(known.join(cut(best, "reps"), "label")
                 .select("fp", "n_links", F.col("rep.min_id").alias("component_id"), F.col("rep.fp").alias("rep_fp")),
                 "points")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id", "rep_fp", "n_links")
+    return prints.join(named, "fp")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The documents that stand for their component, all columns kept.
 
-    Of rows repeated with the standing document's id and fingerprint one stays."""
-    found = near_duplicates(docs, shingle, max_bits)
-    standing = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("rep_fp")))
-                .select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct())
-    marked = with_fingerprint(docs, shingle, "__print")
-    joined = marked.join(standing, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp")))
-    return joined.dropDuplicates(["__id", "__fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    Of rows with the standing document's id and fingerprint the one with the
+    smallest digest of its text stays, of equal texts the first one written.
+    Each text is fingerprinted once and written with its row's number; the row
+    of each component is chosen on narrow rows, and one semi join keeps them."""
+    row, fp = unused(docs, "row"), unused(docs, "fp")
+    marked = cut(with_fingerprint(docs, shingle, fp).withColumn(row, F.monotonically_increasing_id()), "marked")
+    narrow = marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"),
+                           F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"))
+    standing = _grouped(narrow, max_bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))
+                                                 & (F.col("fp") == F.col("rep_fp")))
+    first = (standing.groupBy("component_id", "rep_fp").agg(F.min(F.struct("digest", "row")).alias("one"))
+             .select(F.col("one.row").alias(row)))
+    return marked.join(cut(first, "kept"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,6 +2,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 
 from spendlake.llm import classifier
 from spendlake.llm.queries import QUERIES
@@ -70,3 +71,64 @@ def test_no_labels_and_no_documents(spark):
     empty = odd_docs(spark, [])
     model = classifier.fit(empty, spark.createDataFrame([(1, 1)], "doc_id long, label int"))
     assert classifier.with_score(empty, model, "s").count() == 0
+
+
+def plain_ftrl(rows, bits, epochs):
+    """The updates written out, one slot at a time, on dictionaries."""
+    z, n = {}, {}
+    alpha, beta, l1, l2 = 0.5, 0.1, 0.001, 0.01
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for features, label in rows:
+            p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in features.items())))
+            before = {i: weight(i) for i in features}
+            for i, v in features.items():
+                g = (p - label) * v
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha * before[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_equals_the_plain_updates():
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(60):
+        slots = rng.choice(30, size=rng.integers(1, 8), replace=False)
+        rows.append(({**{int(s): float(v) for s, v in zip(slots, rng.uniform(0, 3, len(slots)))}, 32: 1.0},
+                     int(slots.min() % 2)))
+    learner = classifier.Ftrl(5)
+    for _ in range(3):
+        for features, label in rows:
+            learner.update(np.array(list(features)), np.array(list(features.values())), label)
+    want = plain_ftrl(rows, 5, 3)
+    got = learner.weights()
+    assert all(math.isclose(got[i], w, abs_tol=1e-9) for i, w in want.items()) and max(map(abs, want.values())) > 0.1
+
+
+def test_copies_of_a_labelled_row_change_nothing(spark):
+    docs = [(k, f"text number {k} " + ("good words here" if k % 2 else "bad stuff there !!"), "x") for k in range(40)]
+    labels = [(k, k % 2) for k in range(40)]
+    names = "doc_id long, text string, __id string"
+    once = classifier.fit(spark.createDataFrame(docs, names), spark.createDataFrame(labels, "doc_id long, label int"))
+    many = classifier.fit(spark.createDataFrame(docs + [docs[3]] * 3000, names).repartition(7),
+                          spark.createDataFrame([labels[3]] * 500 + labels[::-1], "doc_id long, label int"))
+    assert np.array_equal(once.weights, many.weights) and once.bias == many.bias and np.abs(once.weights).max() > 0
+
+
+def test_an_id_with_many_texts_is_sampled(spark):
+    docs = spark.range(4000).selectExpr("7L as doc_id", "concat('text ', id) as text")
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, label int")
+    model = classifier.fit(docs, labels, max_rows=100)
+    assert model.bias > 0 and np.count_nonzero(model.weights) < 1200  # some 100 texts, not 4,000
+
+
+@pytest.mark.parametrize("name", ["__id", "__label", "__score", "id", "label", "key", "text1", "shard"])
+def test_clashing_names(spark, name):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c d", "y")], f"doc_id long, text string, {name} string")
+    model = classifier.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int"))
+    assert classifier.with_score(docs, model, "s").columns == ["doc_id", "text", name, "s"]

@@ -164,3 +164,77 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dc.find_leaks(docs, bench).count() == 0 and dc.drop_leaks(docs, bench).count() == docs.count()
     assert dc.find_leaks(none, table(spark, "benchmark")).count() == 0
+
+
+def test_rows_of_one_id_stay_or_go_by_their_own_text(spark):
+    item = table(spark, "benchmark").first()["text"]
+    rows = [(1, item, "a"), (1, "clean words of one document", "b"), (2, "clean words of another", "c"),
+            (None, item + " more", "d"), (None, "clean", "e"), (1, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __leaked string")
+    for null_ids, gone in ((False, "a"), (True, "ad")):
+        kept = dc.drop_leaks(docs, table(spark, "benchmark"), null_ids=null_ids)
+        assert sorted(r["__leaked"] for r in kept.collect()) == [c for c in "abcdef" if c not in gone]
+
+
+def test_items_of_any_length_by_one_rule(spark):
+    """Edited copies of items of 3 to 30 words: found exactly where the alignment reaches the score."""
+    rng = random.Random(6)
+    bench, docs, known, want = [], [], {}, {}
+    for size in range(3, 31):
+        words = rng.sample(WORDS, size)
+        bench.append((size, " ".join(words)))
+        for edits in range(0, 1 + size // 3):
+            copy = list(words)
+            for at in rng.sample(range(size), edits):
+                copy[at] = f"new{at}"
+            docs.append((len(docs), " ".join([*rng.choices(WORDS, k=12), *copy, *rng.choices(WORDS, k=12)])))
+    for d, text in docs:
+        for item, body in bench:
+            own = word_ids(body, known)
+            share = dc.align(own, word_ids(text, known))[0]
+            if share >= max(0.5, min(1, 4 / len(own))):
+                want[d, item] = share
+    found = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want
+    assert {len(b.split()) for _, b in bench} == set(range(3, 31)) and any(i < 8 and s < 1 for (_, i), s in want.items())
+
+
+def test_seeds_are_the_rare_pairs_of_the_documents(spark):
+    """Pairs of a phrase that many documents hold are no seeds, up to half of the hits an
+    alignment has (five of eleven here), and every copy is still found."""
+    rng = random.Random(7)
+    phrase = ["as", "we", "all", "know", "very", "well"]
+    items = [(k, " ".join([*rng.sample(WORDS, 9), *phrase, *rng.sample(WORDS, 9)])) for k in range(5)]
+    docs = [(d, " ".join([*rng.choices(WORDS, k=9), *phrase, *rng.choices(WORDS, k=9)])) for d in range(300)]
+    docs += [(1000 + k, "so " + text) for k, text in items]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    everything = dc.build_items(items, dc.Settings())
+    counts = dc._counts(frame, everything)
+    rare = dc.build_items(items, dc.Settings(), counts)
+    common = {g for g, n in counts.items() if n > 300}
+    assert len(common) == 9 and common <= set(everything.grams.tolist())
+    assert len(common & set(rare.grams.tolist())) == 4 and rare.needed.tolist() == [6] * 5
+    assert set(everything.grams.tolist()) - set(rare.grams.tolist()) <= common
+    found = dc.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1000 + k, k) for k, _ in items}
+
+
+def test_counts_equal_brute_force(spark):
+    rng = random.Random(8)
+    items = [(0, "a b c d e f g h"), (1, "c d x"), (2, "y")]
+    docs = [(k, " ".join(rng.choices("abcdefghxyz", k=rng.randint(0, 30)))) for k in range(80)]
+    built = dc.build_items(items, dc.Settings())
+    counts = dc._counts(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), built)
+
+    def hashes(text, width, gap=None):
+        raw, starts, ends, _ = dc._words([dc.normalise(text)])
+        word = dc.word_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        return (dc.grams(word, width) if gap is None else dc.pairs(word, gap)).tolist()
+
+    want = {}
+    for _, text in docs:
+        for g in [*hashes(text, 0, 1), *hashes(text, 0, 2), *(h for n in built.widths for h in hashes(text, n))]:
+            if g in set(built.grams.tolist()):
+                want[g] = want.get(g, 0) + 1
+    assert counts == want != {}

@@ -77,3 +77,19 @@ def test_empty_table_passes_every_stage(spark):
     docs = table(spark, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_internal_names_as_extra_columns(spark):
+    """Every name that a stage uses for itself, as a column of the documents: kept with its values."""
+    names = ["__id", "__label", "__score", "__print", "__fp", "__row", "__leaked", "key", "id", "label", "fp", "row",
+             "score", "digest", "words", "grams", "item"]
+    good = " ".join(f"w{k}" for k in range(80)) + "."
+    docs = spark.createDataFrame([(1, good, "en", "a", len(good)), (1, good + " more", "en", "a", 5)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert all(r[n] == n for r in out.collect() for n in names)
+    assert corpus_pipeline.tokenize(spark, docs, SF).count() == 2

@@ -2,6 +2,8 @@ import random
 
 import xxhash
 
+from pyspark.sql import functions as F
+
 from spendlake.llm import simhash
 from spendlake.llm.queries import QUERIES
 
@@ -107,3 +109,22 @@ def test_empty_table(spark):
     docs = odd_docs(spark, [])
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.keep_one_per_group(docs).count() == 0
+
+
+def test_ties_of_id_and_fingerprint_have_one_result(spark):
+    """Two texts under one id, alike but for case, with equal fingerprints: the same one stays in any order."""
+    rows = [(1, "one two three four five", "a"), (1, "ONE two three four five", "b"), (2, "one two three four FIVE", "c")]
+    kept = {tuple(simhash.keep_one_per_group(spark.createDataFrame(r, "doc_id long, text string, tag string")
+                                             .repartition(3)).collect()[0])
+            for r in (rows, rows[::-1], [rows[1], rows[2], rows[0]])}
+    assert len(kept) == 1 and kept.pop()[0] == 1
+
+
+def test_clashing_names_stay(spark):
+    names = ["__id", "__fp", "__print", "__row", "__row1", "fp", "row", "digest", "component_id", "cell"]
+    docs = odd_docs(spark)
+    for n in names:
+        docs = docs if n in docs.columns else docs.withColumn(n, F.lit(n))
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns and {r["__fp"] for r in kept.collect()} == {"__fp"}
+    assert simhash.near_duplicates(docs).count() == docs.count()
