@@ -176,4 +176,6 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2) ->
                                                  & (F.col("fp") == F.col("rep_fp")))
     first = (standing.groupBy("component_id", "rep_fp").agg(F.min(F.struct("digest", "row")).alias("one"))
              .select(F.col("one.row").alias(row)))
-    return marked.join(cut(first, "kept"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the rows to keep grow with the documents, so they are never broadcast, at no size
+    kept = marked.join(cut(first, "kept").hint("merge"), row, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
