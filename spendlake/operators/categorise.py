@@ -19,8 +19,9 @@ Every plan is map-only and takes any number of rules:
   finds many patterns in one pass.
 * ``array``: the rules travel as one literal ``array<struct>``; the first
   element of ``filter(rules, matches)`` wins.
-* ``join``: all matches of each transaction (``rule_matches``, from the
-  automaton) and the best one by an aggregate, joined back on the key.
+* ``join``: all matches of each transaction (``rule_matches``: the array form's
+  filter, beyond ``CASE_LIMIT`` rules the automaton) and the best one by an
+  aggregate, joined back on the key.
 
 The rule table is a seed that the driver holds anyway; beyond ``BLOCK_RULES``
 rules the automaton is built in blocks, so a worker holds a bounded one.
@@ -46,7 +47,6 @@ BLOCK_RULES = 100_000
 
 TEXT_COLUMN = {"description": "transaction_description", "name": "counterparty_name"}
 PATTERN_TYPES = ("description", "name", "transaction_type")
-_ESCAPE = "\u0001"
 
 
 def _collect_rules(rules: DataFrame) -> list[tuple]:
@@ -69,12 +69,16 @@ def _like_pattern(value: str) -> str:
     return "%" + value + "%"
 
 
+def _escape(values: list[str]) -> Column:
+    """A control character that no pattern holds: LIKE's escape, never used, so every character stands for itself."""
+    held = set().union(*values) if values else set()
+    return F.lit(next(chr(c) for c in range(1, 1 << 16) if chr(c) not in held and not chr(c).isprintable()))
+
+
 def _text_match(text_lc: Column, value: str) -> Column:
     needle = F.lower(F.lit(value))
     if "%" in value or "_" in value:
-        if _ESCAPE in value:
-            raise ValueError("rule pattern holds the reserved escape character")
-        return F.like(text_lc, F.lower(F.lit(_like_pattern(value))), F.lit(_ESCAPE))
+        return F.like(text_lc, F.lower(F.lit(_like_pattern(value))), _escape([value]))
     return F.contains(text_lc, needle)
 
 
@@ -138,9 +142,9 @@ def _rule_array(rules: list[tuple]) -> Column:
         "array<struct<pattern_type:string,pattern_lc:string,wild:boolean,category_key:string,priority:int>>")
 
 
-def _array_match(rule: Column, low: dict[str, Column]) -> Column:
+def _array_match(rule: Column, low: dict[str, Column], escape: Column) -> Column:
     def text(lc: Column) -> Column:
-        return F.when(rule["wild"], F.like(lc, F.concat(F.lit("%"), rule["pattern_lc"], F.lit("%")), F.lit(_ESCAPE))) \
+        return F.when(rule["wild"], F.like(lc, F.concat(F.lit("%"), rule["pattern_lc"], F.lit("%")), escape)) \
                 .otherwise(F.contains(lc, rule["pattern_lc"]))
     return (F.when(rule["pattern_type"] == "description", text(low["description"]))
              .when(rule["pattern_type"] == "name", text(low["name"]))
@@ -149,7 +153,8 @@ def _array_match(rule: Column, low: dict[str, Column]) -> Column:
 
 def matching_rules(df: DataFrame, rules: list[tuple], low: dict[str, Column]) -> Column:
     """All matching rules of a row, best first (``array<struct>``)."""
-    return F.filter(_rule_array(rules), lambda r: F.coalesce(_array_match(r, low), F.lit(False)))
+    escape = _escape([r[1] for r in rules if _usable(r)])
+    return F.filter(_rule_array(rules), lambda r: F.coalesce(_array_match(r, low, escape), F.lit(False)))
 
 
 def categorise_array(staged: DataFrame, rules: list[tuple]) -> DataFrame:
@@ -258,6 +263,11 @@ def rule_matches(staged: DataFrame, rules: DataFrame, pattern_type: str | None =
     """Every (transaction, rule) match: transaction_hash, pattern_type, category_key, priority."""
     if pattern_type is not None:
         rules = rules.filter(F.col("pattern_type") == pattern_type)
+    few = _collect_rules(rules.limit(CASE_LIMIT + 1))
+    if len(few) <= CASE_LIMIT:
+        df, low = _with_lowered(staged)
+        hits = df.select("transaction_hash", F.explode(matching_rules(df, few, low)).alias("_r"))
+        return hits.select("transaction_hash", "_r.pattern_type", "_r.category_key", "_r.priority")
     schema = T.StructType([T.StructField("transaction_hash", T.StringType()), *RULES.fields[:1], *RULES.fields[2:]])
     out = staged.sparkSession.createDataFrame([], schema)
     texts = _lowered(staged)

@@ -120,3 +120,24 @@ def test_two_hundred_thousand_rules(spark):
 def test_seed_has_56_rules():
     assert len(FV.DEFAULT_RULES) == 56
     assert sum(1 for r in FV.DEFAULT_RULES if r[0] == "description") == 49
+
+
+@pytest.mark.parametrize("method", ["case", "array", "automaton", "join"])
+def test_control_characters_in_wildcard_rules(spark, method):
+    rules = rules_frame(spark, [("description", "a\u0001%b", "CAT001", 90), ("name", "\u0002_\u0001", "CAT002", 80)])
+    df = staged(spark, [("xa\u0001 zby", None, "debit"), ("a b", None, "debit"), (None, "\u0002q\u0001", "debit"),
+                        (None, "\u0002\u0001", "debit")])
+    got = {r["transaction_hash"]: r["category_key"] for r in categorise(df, rules, method).collect()}
+    assert got == {"h0": "CAT001", "h1": "CAT999", "h2": "CAT002", "h3": "CAT999"}
+
+
+def test_rule_matches_of_few_rules_stay_in_the_jvm(spark, monkeypatch):
+    rules = rules_frame(spark, [("description", "a_c", "CAT001", 90), ("description", "b%", "CAT002", None),
+                                ("name", "x", None, 5), ("transaction_type", "DEBIT", "CAT003", 1),
+                                ("other", "a", "CAT004", 1), ("name", None, "CAT005", 1)])
+    df = staged(spark, [("abc b", "x", "debit"), ("ABC", None, "credit"), (None, "X", "Debit"), (None, None, None)])
+    few = C.rule_matches(df, rules)
+    assert "Python" not in few._jdf.queryExecution().toString() and "ArrowEval" not in few._jdf.queryExecution().toString()
+    monkeypatch.setattr(C, "CASE_LIMIT", 1)
+    many = C.rule_matches(df, rules)
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) and few.count() == 8
