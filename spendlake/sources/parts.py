@@ -97,8 +97,9 @@ class PartTable:
         """Write ``rows`` as ``part`` (visible to nobody yet) and read them back."""
         own = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields if f.name != MONTH],
                           F.lit(part).alias("part"), MONTH)
-        # one task a bucket, so a bucket has one file in each month
-        own.repartition(self.buckets, self.key).write.insertInto(self._table([]))
+        # dealt out by the bucket's own number: one task a bucket, so a bucket has one file in each month
+        bucket = F.pmod(F.hash(self.key), F.lit(self.buckets))
+        own.repartitionById(self.buckets, bucket).write.insertInto(self._table([]))
         return self.read([part])
 
     def read(self, parts: list[str]) -> DataFrame:
