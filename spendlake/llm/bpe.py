@@ -7,12 +7,24 @@ table, contracts each word's leftmost pair of minimum rank, and ends a word
 when no pair is left.  Ids of chunks already seen are kept in a bounded memo,
 so the queries see each distinct word about once per worker.
 
+Long words.  The query costs the square of a word's length, so a word of over
+LONG_WORD bytes is cut into overlapping windows, which are words of the same
+query.  A sequence of tokens is the encoding of its bytes exactly if each two
+neighbours are the encoding of theirs: merges inside a token ignore what lies
+beyond its neighbours, so the first merge across a boundary would also come
+first in the encoding of the two tokens beside it.  Two windows are therefore
+joined at a boundary that both have and beside which they agree on a token (the
+pair then stands in one of the two encodings).  Without such a boundary a new
+window starts at one of the last boundaries found, and its first token must form
+such a pair with the token before it, by a query of the two; else from further
+back, at last from the word's start.  The cost grows with the word's length.
+
 Decoding.  Rows (document, position, id) join the vocabulary, and an
 aggregate ordered by position puts the bytes of each document together.
 
 No row leaves its partition, nothing is shuffled, and a block of about two
-megabytes of text is held at a time.  The recursive query costs the square of
-the length of one unbroken run of letters (not of a text).
+megabytes of text (or one longer text) is held at a time.  A query's rows, those of all
+rounds, are bounded, and nothing is spilled to a local folder.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; an
 empty table gives no rows; repeated rows give repeated rows; columns other
@@ -23,8 +35,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import tempfile
 from collections.abc import Iterator
+from itertools import accumulate
 
 import duckdb
 import numpy as np
@@ -38,8 +50,13 @@ from spendlake.llm.tokens import RANKS, ChunkMemo, load_ranks, pretokenizer
 
 BLOCK_BYTES = 2 << 20  # text held at once
 WORDS_PER_QUERY = 20_000
+ROWS_PER_QUERY = 2 << 20  # of all rounds, at most; one word's rows if they are more
+LONG_WORD = 192  # bytes; longer words are cut into windows
+WINDOW, STRIDE = 96, 64  # bytes of a window, and from one window's start to the next's
+WINDOWS_AHEAD = 4096  # windows of one word encoded together
 MEMO_CHUNKS = 500_000
-IDS_PER_QUERY = 1 << 20
+MEMO_PIECES = 50_000
+IDS_PER_QUERY = 1 << 18
 DATABASE_MEMORY = "150MB"
 
 ENCODE = """
@@ -92,6 +109,12 @@ def _vocabulary_tables(ranks_name: str) -> tuple[pa.Table, pa.Table]:
                                           "piece": pa.array([t.decode("latin-1") for t in ranks], pa.string())})
 
 
+def _windows(word: bytes, first: int, count: int) -> list[bytes]:
+    """At most ``count`` windows of a long word, from number ``first`` on."""
+    stop = min(len(word) - (WINDOW - STRIDE), (first + count) * STRIDE)
+    return [word[s:s + WINDOW] for s in range(first * STRIDE, stop, STRIDE)]
+
+
 class Codec:
     """One worker's DuckDB tables and memo for a vocabulary."""
 
@@ -99,6 +122,8 @@ class Codec:
         self.ranks_name = ranks_name
         ranks = load_ranks(ranks_name)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.pieces: dict[bytes, list[int]] = {}
+        self.token_bytes = {i: t for t, i in ranks.items()}
         self.memo = ChunkMemo(self.encode_words, pretokenizer(pattern), limit=MEMO_CHUNKS)
         self._db = None
 
@@ -106,7 +131,7 @@ class Codec:
     def db(self) -> duckdb.DuckDBPyConnection:
         if self._db is None:
             self._db = duckdb.connect(config={"threads": 1, "memory_limit": DATABASE_MEMORY,
-                                              "temp_directory": tempfile.gettempdir()})
+                                              "temp_directory": ""})
             merge_rows, pieces = _vocabulary_tables(self.ranks_name)  # noqa: F841  read by name
             self._db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
             self._db.execute("CREATE TABLE vocabulary AS SELECT * FROM pieces")
@@ -119,23 +144,106 @@ class Codec:
             self._db = None
         release_memory()
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pre-tokens, and the number of each."""
-        ids, counts = [], []
-        for at in range(0, len(words), WORDS_PER_QUERY):
-            coded = [w.encode("utf-8") for w in words[at:at + WORDS_PER_QUERY]]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            raw = np.frombuffer(b"".join(coded), np.uint8)
-            first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words by the recursive query, and the number of each."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        rows = np.cumsum(lengths * (lengths + 1) // 2)  # a round leaves one row less of each word
+        ids, counts, at = [], [], 0
+        while at < len(words):
+            done = rows[at - 1] if at else 0
+            end = min(max(int(np.searchsorted(rows, done + ROWS_PER_QUERY, "right")), at + 1), at + WORDS_PER_QUERY)
+            part = lengths[at:end]
+            raw = np.frombuffer(b"".join(words[at:end]), np.uint8)
+            first = np.repeat(np.cumsum(part) - part, part)
             start_rows = pa.table({  # noqa: F841
-                "word": pa.array(np.repeat(np.arange(len(coded), dtype=np.int32), lengths)),
+                "word": pa.array(np.repeat(np.arange(len(part), dtype=np.int32), part)),
                 "pos": pa.array((np.arange(len(raw)) - first).astype(np.int32)),
                 "id": pa.array(self.byte_ids[raw])})
             got = self.db.execute(ENCODE).fetchnumpy()
-            counts.append(np.bincount(np.asarray(got["word"]), minlength=len(coded)))
+            counts.append(np.bincount(np.asarray(got["word"]), minlength=len(part)))
             ids.append(np.asarray(got["id"]).astype(np.uint32))
+            at += len(part)
         return np.concatenate(ids), np.concatenate(counts)
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens, and the number of each."""
+        coded = [w.encode("utf-8") for w in words]
+        short = [w for w in coded if len(w) <= LONG_WORD]
+        if len(short) == len(coded):
+            return self._contract(coded)
+        ids, counts = self._contract(short) if short else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        short_ids = iter(np.split(ids, np.cumsum(counts)[:-1]))
+        self._tokens_of([v for w in coded if len(w) > LONG_WORD for v in _windows(w, 0, MEMO_PIECES // len(words))])
+        out = [next(short_ids) if len(w) <= LONG_WORD else np.array(self._encode_long(w), np.uint32) for w in coded]
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+
+    def _tokens_of(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece; pieces seen lately are not contracted again."""
+        new = list({p for p in pieces if p not in self.pieces})
+        if len(self.pieces) + len(new) > MEMO_PIECES:
+            self.pieces.clear()
+            new = list(set(pieces))
+        if new:
+            ids, counts = self._contract(new)
+            ends = np.cumsum(counts).tolist()
+            ids = ids.tolist()
+            self.pieces.update((p, ids[end - n:end]) for p, n, end in zip(new, counts.tolist(), ends, strict=True))
+        return [self.pieces[p] for p in pieces]
+
+    def _ends(self, ids: list[int], start: int) -> list[int]:
+        return list(accumulate((len(self.token_bytes[i]) for i in ids), initial=start))[1:]
+
+    def _encode_long(self, word: bytes) -> list[int]:
+        """The ids of one long word, window by window."""
+        ids = list(self._tokens_of([word[:WINDOW]])[0])  # the encoding of the word's first ends[-1] bytes
+        ends = self._ends(ids, 0)
+        while ends[-1] < len(word):
+            at = (ends[-1] - (WINDOW - STRIDE)) // STRIDE
+            window = word[at * STRIDE:at * STRIDE + WINDOW]
+            if window not in self.pieces:
+                self._tokens_of(_windows(word, at, WINDOWS_AHEAD))
+            more = self.pieces[window]
+            more_ends = self._ends(more, at * STRIDE)
+            kept, skipped = self._join(ids, ends, more, more_ends, at * STRIDE) or (0, 0)
+            if not kept:
+                kept, more, more_ends = self._restart(word, ids, ends)
+                skipped = 0
+            ids[kept:], ends[kept:] = more[skipped:], more_ends[skipped:]
+        return ids
+
+    @staticmethod
+    def _join(ids: list[int], ends: list[int], more: list[int], more_ends: list[int],
+              start: int) -> tuple[int, int] | None:
+        """How many tokens stay and how many of the window go, at a boundary of both beside which they agree."""
+        places = {end: k + 1 for k, end in enumerate(more_ends)} | {start: 0}
+        for kept in range(len(ids), 0, -1):
+            if ends[kept - 1] < start:
+                return None
+            skipped = places.get(ends[kept - 1])
+            if skipped is not None and skipped < len(more):
+                if (skipped and ids[kept - 1] == more[skipped - 1]) or (kept < len(ids) and ids[kept] == more[skipped]):
+                    return kept, skipped
+        return None
+
+    def _restart(self, word: bytes, ids: list[int], ends: list[int]) -> tuple[int, list[int], list[int]]:
+        """How many tokens stay, and the ids and ends of what follows them, beyond the last end."""
+        size, last = WINDOW, ends[-1]
+        while True:
+            kept = len(ids)
+            starts = []
+            while kept >= 0 and (start := ends[kept - 1] if kept else 0) >= last - size:
+                starts.append((kept, start))
+                kept -= 1
+            found = self._tokens_of([word[start:last + size] for _, start in starts])
+            beside = [self.token_bytes[ids[k - 1]] + self.token_bytes[f[0]] if k else b""
+                      for (k, _), f in zip(starts, found, strict=True)]
+            alone = self._tokens_of([b for b in beside if b])
+            checked = dict(zip([b for b in beside if b], alone, strict=True))
+            for (k, start), f, b in zip(starts, found, beside, strict=True):
+                if not k or checked[b] == [ids[k - 1], f[0]]:
+                    return k, f, self._ends(f, start)
+            size *= 2
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and the number of each."""
         return self.memo.values_of(texts)

@@ -89,3 +89,35 @@ def test_encode_and_decode_frames(spark):
 def test_empty_table(spark):
     docs = odd_docs(spark, [])
     assert bpe.round_trip(docs).count() == 0 and bpe.decode(bpe.encode(docs)).count() == 0
+
+
+def test_long_runs_equal_the_library():
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    runs = ["".join(rng.choices(letters, k=100_000)), "".join(rng.choices(letters + letters.upper(), k=20_000)),
+            "a" * 30_000, "abc" * 9000, "lol" * 3000 + "x" + "ha" * 5000, "-" * 5000 + "=" * 777,
+            "ÃÂ" * 5001, "哈" * 9000, "".join(rng.choices("的一是不了人", k=9000)),
+            "".join(rng.choices(["the", "quality", "of", "learning"], k=9000)), " " * 5003 + "x", "\n" * 3001]
+    codec = bpe.Codec()
+    ids, counts = codec.encode(pa.array(runs))
+    for text, own in zip(runs, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert own.tolist() == ENCODING.encode_ordinary(text)
+    assert codec.decode(ids, counts) == [t.encode() for t in runs]
+
+
+def test_any_windows_give_the_same(monkeypatch):
+    """Windows shorter than many tokens: most boundaries are found by starting anew."""
+    rng = random.Random(5)
+    parts = ["lol", "ha", "a", "inter", "national", "ÃÂ", "哈", "zq", "ization", "aaaaaaa"]
+    for long_word, window, stride in [(12, 8, 6), (20, 12, 8), (40, 24, 23), (64, 40, 16)]:
+        monkeypatch.setattr(bpe, "LONG_WORD", long_word)
+        monkeypatch.setattr(bpe, "WINDOW", window)
+        monkeypatch.setattr(bpe, "STRIDE", stride)
+        monkeypatch.setattr(bpe, "WINDOWS_AHEAD", 3)
+        monkeypatch.setattr(bpe, "MEMO_PIECES", 100)
+        words = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(15)]
+        words += [p * 20 for p in parts]
+        codec = bpe.Codec()
+        ids, counts = codec.encode(pa.array(words))
+        for text, own in zip(words, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert own.tolist() == ENCODING.encode_ordinary(text)
