@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import cut
+from spendlake.llm.common import cut, unused
 
 BITS = 6
 
@@ -90,10 +90,11 @@ def axes(docs: DataFrame, bits: int = BITS) -> list[Column]:
 
 def assign(docs: DataFrame, shards: int = 8, bits: int = BITS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, hilbert of every row."""
-    narrow = cut(docs.select("doc_id", text_size(F.col("text")).alias("size"),
+    # rows equal in all else are told apart by their place, so that no range must hold them all
+    narrow = cut(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_size(F.col("text")).alias("size"),
                              F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
                              curve(axes(docs, bits), bits).alias("hilbert")), "curve")
-    keys = ["hilbert", "size", "text_crc32", "doc_id"]
+    keys = ["hilbert", "size", "text_crc32", "doc_id", "row"]
     placed = cut(narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
                  .withColumn("place", F.monotonically_increasing_id()), "order")
     part, inside = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
@@ -114,10 +115,11 @@ def assign(docs: DataFrame, shards: int = 8, bits: int = BITS) -> DataFrame:
 
 def write_runs(docs: DataFrame, path: str, runs: int, bits: int = BITS) -> None:
     """Write whole documents in curve order as about ``runs`` files."""
-    keys = [curve(axes(docs, bits), bits).alias("__hilbert"), text_size(F.col("text")).alias("__size")]
-    keyed = docs.select("*", *keys)
-    order = ["__hilbert", "__size", "doc_id"]
-    (keyed.repartitionByRange(runs, *order).sortWithinPartitions(*order).drop("__hilbert", "__size")
+    index, size, row = (unused(docs, name) for name in ("hilbert", "size", "row"))
+    keyed = docs.select("*", curve(axes(docs, bits), bits).alias(index), text_size(F.col("text")).alias(size),
+                        F.monotonically_increasing_id().alias(row))
+    order = [index, size, "doc_id", row]
+    (keyed.repartitionByRange(runs, *order).sortWithinPartitions(*order).drop(index, size, row)
      .write.mode("overwrite").parquet(path))
 
 

@@ -8,7 +8,8 @@ at line feeds.  A line with a word fails on
   than ``fragment_words`` words and no closing punctuation;
 * navigation: ``nav_separators`` or more separators with at most
   ``nav_words`` words to each gap;
-* boilerplate: at most ``boilerplate_words`` words, and a stock phrase.
+* boilerplate: at most ``boilerplate_words`` words, and a stock phrase (English, German,
+  French and Spanish ones by default; ``phrases`` takes others).
 
 Failing lines are removed.  A document is rejected when the removed lines held
 more than ``max_lost_percent`` of its word characters, or when a base rule
@@ -39,11 +40,23 @@ WHITE = " \t\n\v\f\r"
 LINE_SYMBOLS = r"[#*$%&|<>{}\[\]~^=\\]"
 SEPARATORS = r"[|»›•·→]"
 CLOSING = ".!?…:;,\"'”’»)]。！？"
+# fixed values: stock phrases of web pages in English, German, French and Spanish
 PHRASES = (
     "all rights reserved", "privacy policy", "cookie policy", "uses cookies", "accept cookies", "terms of use",
     "terms of service", "terms and conditions", "enable javascript", "lorem ipsum", "click here", "read more",
     "sign up for", "subscribe to our", "share this article", "follow us on", "skip to content", "back to top",
     "licensed under", "released under the", "copyright ©", "copyright (c)", "powered by",
+    "alle rechte vorbehalten", "datenschutzerklärung", "verwendet cookies", "cookies akzeptieren",
+    "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "javascript aktivieren", "hier klicken",
+    "klicken sie hier", "newsletter abonnieren", "diesen artikel teilen", "folgen sie uns auf",
+    "zum inhalt springen", "zum seitenanfang", "lizenziert unter",
+    "tous droits réservés", "politique de confidentialité", "utilise des cookies", "accepter les cookies",
+    "conditions d'utilisation", "conditions générales", "activer javascript", "cliquez ici", "lire la suite",
+    "abonnez-vous à", "partager cet article", "suivez-nous sur", "aller au contenu", "haut de page",
+    "mentions légales",
+    "todos los derechos reservados", "política de privacidad", "utiliza cookies", "aceptar cookies",
+    "términos de uso", "términos y condiciones", "habilite javascript", "haga clic aquí", "haz clic aquí",
+    "leer más", "suscríbete a", "compartir este artículo", "síguenos en", "saltar al contenido", "aviso legal",
 )
 
 

@@ -54,6 +54,22 @@ def test_one_crowded_cell_is_cut_into_even_shards(spark):
     check_law(hilbert.assign(same, 7).collect(), [(k, "same text") for k in range(5000)], 7)
 
 
+def test_rows_equal_in_all_are_cut_into_even_shards(spark):
+    same = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    check_law(hilbert.assign(same, 7).collect(), [(7, "same text")] * 5000, 7)
+
+
+def test_runs_cut_equal_rows_and_keep_clashing_columns(spark, tmp_path):
+    same = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same text").alias("text"),
+                                    F.lit("en").alias("lang"), F.lit("s").alias("source"),
+                                    F.lit(1).alias("__hilbert"), F.lit(2).alias("__size"), F.lit(3).alias("__row"))
+    hilbert.write_runs(same, str(tmp_path / "runs"), 8)
+    written = spark.read.parquet(str(tmp_path / "runs"))
+    assert written.columns == same.columns and written.exceptAll(same).count() == 0 == same.exceptAll(written).count()
+    sizes = [r["rows"] for r in hilbert.run_bounds(spark, str(tmp_path / "runs")).collect()]
+    assert sum(sizes) == 4000 and len(sizes) > 4 and max(sizes) < 1500
+
+
 def test_files_are_pruned_and_nothing_is_lost(spark, tmp_path):
     docs = table(spark, "documents")
     hilbert.write_runs(docs, str(tmp_path / "runs"), 16)

@@ -1,9 +1,13 @@
+import math
+import re
 import zlib
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from spendlake.llm import langid
+from spendlake.llm.common import held_out
 from spendlake.llm.queries import QUERIES
 
 from .fixtures import SF001, odd_docs, table
@@ -32,6 +36,39 @@ def test_sizes_decide():
     assert tie == ("a", 0.5, 0.0, True)
 
 
+def plain_sizes(text, dictionaries, level, block):
+    """Compressed sizes by the library's plain calls, a new dictionary for every block."""
+    kept = "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower())
+    body = " ".join(re.split(r"[ ]+", kept)).strip(" ").encode("utf-8")
+    blocks = [body[k:k + block] for k in range(0, len(body), block)] or [b""]
+    sizes = {}
+    for lang, content in dictionaries:
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        sizes[lang] = sum(len(zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False,
+                                                       write_dict_id=False).compress(b)) for b in blocks)
+    return sizes
+
+
+def test_query_equals_plain_zstandard(spark):
+    docs = table(spark, "documents", SF001)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = langid.fit(docs.filter(~held_out("doc_id", 4, 2)))
+    rows = QUERIES["op8_language_id"](spark, SF001).collect()
+    chosen = [r for r in rows if r["doc_id"] % 3 == 0]
+    assert len(chosen) > 20
+    for r in chosen:
+        text = texts[r["doc_id"]]
+        if not any(map(str.isalpha, text or "")):
+            assert r["lang_pred"] == "und"
+            continue
+        sizes = plain_sizes(text, model.dictionaries, model.level, model.block_bytes)
+        two = sorted(sizes.values())[:2]
+        assert sizes[r["lang_pred"]] == two[0]
+        margin = (two[1] - two[0]) / two[1]
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin / 0.02))) < 1e-12
+        assert r["rejected"] == (margin < model.min_margin)
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     model = langid.fit(docs)

@@ -45,6 +45,12 @@ def test_lines():
     assert rule("Home | News | Sport | About us") == "navigation"
     assert rule("Our site uses cookies to give you the best experience.") == "boilerplate"
     assert rule("Licensed under CC BY-NC 4.0.") == "boilerplate"
+    assert rule("Alle Rechte vorbehalten. Lesen Sie unsere Datenschutzerklärung.") == "boilerplate"
+    assert rule("Ce site utilise des cookies pour améliorer votre visite.") == "boilerplate"
+    assert rule("TODOS LOS DERECHOS RESERVADOS, empresa de ejemplo.") == "boilerplate"
+    assert rule("Er ging am Abend nach oben und las weiter in dem Buch.") is None
+    assert rule("Elle a lu la suite du livre avant de dormir.") is None
+    assert rule("Quiere leer otros libros y más cuentos este verano.") is None
 
 
 def test_removed_lines_and_verdict(spark):
