@@ -20,8 +20,9 @@ bounds of every dimension for each file, and ``files_to_read`` prunes.
 
 Defined cases: a null text has size 1 and the checksum of the empty text; null
 lang and source have their own cell; repeated rows each get a slot; an empty
-table gives no rows; other columns are ignored by ``assign`` and kept by
-``write_runs``.
+table gives no rows; other columns, whatever their names, are ignored by
+``assign`` and kept by ``write_runs``.  A very long text counts with its whole
+size, like any other; ``assign`` does not move it.
 """
 
 from __future__ import annotations

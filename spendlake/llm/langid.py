@@ -16,7 +16,9 @@ contents of the dictionaries.  Prediction covers whole texts.
 
 Defined cases: rows with a null language or text teach nothing; without any
 training row every text is ``und``; an empty table gives no rows; repeated
-rows give repeated rows.
+rows give repeated rows.  A very long text is held whole and compressed block
+by block; columns other than the text, whatever their names, play no part in
+``predict``.
 """
 
 from __future__ import annotations

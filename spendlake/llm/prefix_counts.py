@@ -20,8 +20,10 @@ Arrays of pre-tokens already seen are kept in a bounded memo on each worker;
 nothing is shuffled.
 
 Defined cases: a null or empty text has the table [0]; an empty table gives no
-rows; repeated rows give repeated rows; columns other than doc_id and text are
-ignored.
+rows; repeated rows give repeated rows; columns other than doc_id and text,
+whatever their names, are ignored.  A very long text is held whole, with one
+number for each character; a very long pre-token costs its length times that of
+the longest token.
 """
 
 from __future__ import annotations

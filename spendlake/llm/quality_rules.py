@@ -17,8 +17,10 @@ fails (fewer than ``min_words`` words, or repeated three-word windows cover
 more than ``max_repeat_percent`` of the words).
 
 Defined cases: a null or empty text has zero counts and fails the base rule;
-an empty table gives no rows; repeated rows give repeated rows; other columns
-are kept by ``clean`` and ignored by ``judge``.
+an empty table gives no rows; repeated rows give repeated rows; other columns,
+whatever their names, are kept by ``clean`` and ignored by ``judge``.  Texts
+are read whole: a worker holds about a megabyte of text, or one longer text,
+with its words and different lines.
 """
 
 from __future__ import annotations
