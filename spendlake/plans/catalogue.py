@@ -24,7 +24,9 @@ from spendlake.plans.star import REPORT_COLUMNS, report_frame
 from spendlake.session import checkpoint_dir
 from spendlake.sources.adapters import write_export_files
 from spendlake.sources.exports import bind, positions, read_exports, split_rejects
+from spendlake.sources.parts import buckets_for
 from spendlake.sources.rules import FIXTURE_RULES, MANY_RULES, ODD_RULES, rules_frame
+from spendlake.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,8 +64,8 @@ def _ledger(spark, d, appended=False) -> Ledger:
     key = (spark.sparkContext.applicationId, d.rstrip("/"), appended)
     if key not in _LEDGERS:
         rows = Model(spark, d).export_rows
-        made = Ledger(spark, f"{checkpoint_dir(spark).rstrip('/')}/spendlake-ledger-{uuid.uuid4().hex}", buckets=2,
-                      rules=rules_frame(spark, FIXTURE_RULES))
+        made = Ledger(spark, f"{checkpoint_dir(spark).rstrip('/')}/spendlake-ledger-{uuid.uuid4().hex}",
+                      buckets=buckets_for(table(spark, d, "events").count()), rules=rules_frame(spark, FIXTURE_RULES))
         if appended:
             made.refresh(rows.filter(F.col("source_file").contains(FIRST_RUN_STAMP)), FIRST_RUN)
             made.append(rows, SECOND_RUN)

@@ -7,7 +7,8 @@ own parts and its own audit, so it never counts twice.
 
 * The raw table and the fact are bucketed by the row key.  An append looks its
   keys up bucket by bucket, and the uniqueness check aggregates within buckets:
-  the stored side is never shuffled.
+  the stored side is never shuffled.  The summary has no buckets: it is written by
+  month, in tasks of even size.
 * Only new rows are categorised; the summary is merged with their totals, and
   the dashboard's reports are answered from it.
 * The default date window takes the last month from the catalogue and reads
@@ -50,7 +51,7 @@ class Ledger:
         self.pointer = Pointer(spark, self.path)
         self.raw_table = PartTable(spark, f"{self.path}/raw", RAW, "transaction_hash", buckets)
         self.fact_table = PartTable(spark, f"{self.path}/fact", FACT, "transaction_key", buckets)
-        self.summary_table = PartTable(spark, f"{self.path}/summary", SUMMARY, "account_key", max(1, buckets // 16))
+        self.summary_table = PartTable(spark, f"{self.path}/summary", SUMMARY, "account_key", 0)
 
     # --- runs ---------------------------------------------------------------
 

@@ -8,7 +8,9 @@ numbered files; readers follow the highest.  One writer at a time is assumed.
 ``PartTable`` is bucketed and sorted by its key: joins and aggregations on the
 key read the stored side bucket by bucket, without a shuffle.  Bucketing is
 part of a table's catalogue entry, so reads go through an external table of the
-session's catalogue, named after the path and the live parts."""
+session's catalogue, named after the path and the live parts.  A bucket is what
+one task writes, joins and aggregates, so their number has to follow the rows
+(``buckets_for``).  A table without buckets is written in tasks of even size."""
 
 from __future__ import annotations
 
@@ -24,6 +26,7 @@ from pyspark.sql.types import StructType
 from spendlake.sources import files
 
 MONTH = "month_start"
+BUCKET_ROWS = 500_000
 
 
 class Pointer:
@@ -69,9 +72,14 @@ def without_run(parts: list[str], run_id: str) -> list[str]:
     return [p for p in parts if p.rsplit("-", 1)[0] != own]
 
 
+def buckets_for(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets for a table of about this many rows: a task that writes or joins one keeps its size."""
+    return max(2, -(-rows // bucket_rows))
+
+
 @dataclass(frozen=True)
 class PartTable:
-    """One stored table; ``buckets`` should let a bucket of one month fill a file."""
+    """One stored table; 0 ``buckets``: neither bucketed nor sorted."""
 
     spark: SparkSession
     path: str
@@ -86,9 +94,10 @@ class PartTable:
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
             place = self.path.replace("'", "\\'")
+            bucketed = f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.buckets} BUCKETS "
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}, `part` string) USING parquet PARTITIONED BY (`part`, `{MONTH}`) "
-                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+                f"{bucketed if self.buckets else ''}LOCATION '{place}'")
             if parts:
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
         return name
@@ -97,9 +106,13 @@ class PartTable:
         """Write ``rows`` as ``part`` (visible to nobody yet) and read them back."""
         own = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields if f.name != MONTH],
                           F.lit(part).alias("part"), MONTH)
-        # dealt out by the bucket's own number: one task a bucket, so a bucket has one file in each month
-        bucket = F.pmod(F.hash(self.key), F.lit(self.buckets))
-        own.repartitionById(self.buckets, bucket).write.insertInto(self._table([]))
+        if self.buckets:
+            # dealt out by the bucket's own number: one task a bucket, so a bucket has one file in each month
+            own = own.repartitionById(self.buckets, F.pmod(F.hash(self.key), F.lit(self.buckets)))
+        else:
+            # by month; AQE joins small months into one task and splits large ones
+            own = own.hint("rebalance", MONTH)
+        own.write.insertInto(self._table([]))
         return self.read([part])
 
     def read(self, parts: list[str]) -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from conftest import HEADER, SF0001, write_csv
 from spendlake.operators import filters, reports
+from spendlake.plans import catalogue
 from spendlake.plans.catalogue import FIRST_RUN_STAMP
 from spendlake.plans.ledger import Ledger
 from spendlake.plans.model import Model
 from spendlake.plans.star import REPORT_COLUMNS
+from spendlake.schemas import SUMMARY
 from spendlake.sources import trigrams
-from spendlake.sources.parts import new_part, without_run
+from spendlake.sources.parts import BUCKET_ROWS, new_part, without_run
 from spendlake.sources.rules import FIXTURE_RULES, rules_frame
 from spendlake.streaming import start_ledger_load
 
@@ -70,6 +72,48 @@ def test_part_names_know_their_run():
     assert a != b and without_run([a, b, c], "run 1") == [c]
 
 
+def test_buckets_of_the_queries_follow_the_rows(spark, tmp_path, monkeypatch):
+    """A bucket is one task's work: two of them for any input made every task grow with it."""
+    class Seen:
+        def __init__(self, *_, buckets, **__):
+            self.buckets = buckets
+
+        def refresh(self, *_):
+            pass
+    monkeypatch.setattr(catalogue, "Ledger", Seen)
+    spark.range(1).selectExpr("id AS p_partkey", "'bolt' AS p_name").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(1).selectExpr("id AS c_custkey", "'x' AS c_name", "1D AS c_acctbal").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    for n, buckets in ((10, 2), (2 * BUCKET_ROWS + 1, 3)):
+        spark.range(n).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts", "id AS user_id", "'view' AS event_type",
+                                  "1D AS value").write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        catalogue._LEDGERS.pop((spark.sparkContext.applicationId, str(tmp_path), False), None)
+        assert catalogue._ledger(spark, str(tmp_path)).buckets == buckets
+    catalogue._LEDGERS.pop((spark.sparkContext.applicationId, str(tmp_path), False))
+
+
+def test_the_summary_is_written_by_as_many_tasks_as_its_size_needs(spark, tmp_path):
+    days = spark.range(40_000).selectExpr("date_add(DATE'2024-01-01', int(id % 90)) AS date_key",
+                                          "md5(string(id)) AS account_key")
+    other = {f.name: F.lit(1 if f.name == "transactions" else None).cast(f.dataType) for f in SUMMARY.fields}
+    rows = days.withColumns({c: v for c, v in other.items() if c not in days.columns})
+    rows = rows.withColumn("month_start", F.trunc("date_key", "month"))
+    ledger = a_ledger(spark, tmp_path, buckets=2)
+    table = ledger.summary_table
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        assert table.write(rows, "a-1").count() == 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    tasks = {f.rsplit("/part-", 1)[1][:5] for f in spark.read.parquet(table.path).inputFiles()}
+    assert len(tasks) > 3  # a task for each 100 KB, not one for all
+    assert rows_of(table.read(["a-1"])) == rows_of(rows.select(SUMMARY.fieldNames()))
+
+
 def test_refresh_equals_the_lazy_model(spark, whole):
     m = model(spark)
     assert rows_of(whole.raw().select(m.raw.columns)) == rows_of(m.raw)
