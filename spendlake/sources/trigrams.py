@@ -8,6 +8,12 @@ takes for one (long s, Kelvin sign, dotted capital and dotless small i)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,24 +27,38 @@ _UNREAD = "()[]\\"  # groups, classes and escapes: not looked into
 _REPEATS = "*?{"
 
 
-def _trigrams(text: Column) -> Column:
-    folded = F.lower(F.translate(F.coalesce(text, F.lit("")), FOLDED, FOLDED_TO))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(folded) - 2, F.lit(1)))
-    return F.transform(starts, lambda i: F.substring(folded, i, 3))
+def _folded() -> Column:
+    """The searched texts of a row, folded; each ends with a NUL, so no trigram spans two."""
+    return F.lower(F.translate(F.concat_ws("\0", *SEARCHED, F.lit("")), FOLDED, FOLDED_TO)).cast("binary")
+
+
+def _of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, trigram) of each batch of (file, text): windows of three printable ASCII bytes, each once a file.
+
+    A byte of a longer character is never ASCII, so windows of bytes are windows of characters."""
+    for batch in batches:
+        found = zip(batch.column("file").to_pylist(), batch.column("text").to_pylist(), strict=True)
+        for file, rows in groupby(found, itemgetter(0)):
+            raw = np.frombuffer(b"".join(text for _, text in rows), np.uint8)
+            plain = (raw >= 0x20) & (raw <= 0x7E)
+            at = np.flatnonzero(plain[:-2] & plain[1:-1] & plain[2:])
+            codes = np.unique(raw[at].astype(np.int32) << 16 | raw[at + 1].astype(np.int32) << 8 | raw[at + 2])
+            chars = np.column_stack([codes >> 16, codes >> 8 & 255, codes & 255]).astype(np.uint8).tobytes().decode()
+            each = [chars[k:k + 3] for k in range(0, len(chars), 3)]
+            yield pa.RecordBatch.from_arrays([pa.array([file] * len(each), pa.string()), pa.array(each, pa.string())],
+                                             ["file", "trigram"])
 
 
 def write(spark: SparkSession, data_path: str, index_path: str) -> None:
     """Index the files of ``data_path``: one row for each (trigram, file), ordered by trigram.
 
-    The aggregation drops repeats before its shuffle, and a file has as many
-    trigrams as its alphabet allows, however many rows it has."""
+    A task cuts the texts of its files a batch at a time and drops repeats before the
+    shuffle; a file has as many trigrams as its alphabet allows, however many rows it has."""
     if not files.exists(spark, data_path):  # a part without rows
         spark.createDataFrame([], SCHEMA).write.parquet(index_path)
         return
-    rows = spark.read.parquet(data_path).select(F.col("_metadata.file_path").alias("file"), *SEARCHED)
-    ascii_only = F.col("trigram").rlike(r"^[\x20-\x7e]{3}$")
-    each = rows.select("file", F.explode(F.concat(*map(_trigrams, SEARCHED))).alias("trigram")).filter(ascii_only)
-    each.distinct().sort("trigram").write.parquet(index_path)
+    rows = spark.read.parquet(data_path).select(F.col("_metadata.file_path").alias("file"), _folded().alias("text"))
+    rows.mapInArrow(_of_batches, SCHEMA).distinct().sort("trigram").write.parquet(index_path)
 
 
 def required(term: str | None) -> list[set[str]] | None:

@@ -266,6 +266,25 @@ def test_required_trigrams():
         assert trigrams.required(term) is None, term
 
 
+def test_trigrams_of_a_file_are_cut_in_batches(spark, tmp_path):
+    """Each (file, trigram) once, against brute force; nothing is exploded row by row."""
+    texts = ["ring", "RING bolt", "a", "", None, "Kelvin Kk", "ab\0cd", "x\ny z", "日本abc語", "straße ~~~", "\x7fabc"]
+    rows = [(a, b) for a in texts for b in texts]
+    want = set()
+    for k in range(2):
+        spark.createDataFrame(rows[k::2], "transaction_description string, counterparty_name string").coalesce(
+            1).write.parquet(f"{tmp_path}/data/k={k}")
+        for text in (t for row in rows[k::2] for t in row if t):
+            t = text.replace("K", "k").lower()
+            want |= {(k, t[i:i + 3]) for i in range(len(t) - 2) if all(" " <= c <= "~" for c in t[i:i + 3])}
+    trigrams.write(spark, f"{tmp_path}/data", f"{tmp_path}/index")
+    found = [(int("/k=1/" in r["file"]), r["trigram"]) for r in spark.read.parquet(f"{tmp_path}/index").collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    batches = trigrams._of_batches(iter(
+        spark.createDataFrame([("f", b"ring\0ring\0")], "file string, text binary").toArrow().to_batches()))
+    assert [b.to_pylist() for b in batches] == [[{"file": "f", "trigram": t} for t in ("ing", "rin")]]
+
+
 def test_search_folds_like_the_matcher(spark, tmp_path):
     texts = ["ſkin", "SKIN", "Kiss", "kıss", "STRASSE", "straße", "istanbul", "İSTANBUL", "οδος", None]
     write_csv(tmp_path / "Konto 07 - 2024-05-01 08.00.00.csv", HEADER,
