@@ -69,28 +69,26 @@ def _first_record(stream) -> list[str]:
 
 def layouts(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
     """header -> files with that header; files without any record are left out.
-    The workers read the headers, the driver gets one header per listed file."""
+    The workers read the headers, the driver gets the listed files by header."""
     paths = export_paths(spark, path)
     if not paths:
         return {}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column("path").to_pylist()
-            headers = []
-            for name in names:
+            held: dict[tuple[str, ...], list[str]] = {}
+            for name in batch.column("path").to_pylist():
                 filesystem, place = files.open_filesystem(name)
                 with filesystem.open_input_stream(place, compression=None) as stream:
-                    headers.append(_first_record(stream))
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(headers, pa.list_(pa.string()))],
-                                             ["path", "header"])
+                    held.setdefault(tuple(_first_record(stream)), []).append(name)
+            texts = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([list(h) for h in held], texts),
+                                              pa.array(list(held.values()), texts)], ["header", "paths"])
 
-    tasks = min(len(paths), 8 * spark.sparkContext.defaultParallelism)
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks, "path")
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in listed.mapInArrow(read, "path string, header array<string>").collect():
+    for r in files.listed(spark, paths).mapInArrow(read, "header array<string>, paths array<string>").collect():
         if r["header"]:
-            out.setdefault(tuple(r["header"]), []).append(r["path"])
+            out.setdefault(tuple(r["header"]), []).extend(r["paths"])
     return {h: sorted(ps) for h, ps in sorted(out.items())}
 
 
@@ -107,11 +105,12 @@ def scan_ranges(spark: SparkSession, paths: list[str], width: int, range_bytes:
     are allowed, and one huge file is read by many tasks.  The position is the record's offset."""
     found = ranges.records(spark, paths, range_bytes)
     name = F.element_at(F.split("path", "/"), -1)
-    return found.select(F.from_csv("record", _cells(width).simpleString().removeprefix("struct<").removesuffix(">")
-                                   .replace(":", " "), _csv_options()).alias("cells"),
+    columns = _cells(width).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    # a generated row is parsed once; as a struct's fields each use of a cell would parse the record again
+    return found.select(F.inline(F.array(F.from_csv("record", columns, _csv_options()))),
                         name.alias("source_file"),
                         F.struct(F.lit(0).cast("long").alias("split_start"), F.col("offset").alias("record"))
-                        .alias("row_in_file")).select("cells.*", "source_file", "row_in_file")
+                        .alias("row_in_file"))
 
 
 def scan(spark: SparkSession, paths: list[str], width: int, split_files: bool = False) -> DataFrame:

@@ -6,6 +6,9 @@ for each range in parallel, and the exclusive-or over the ranges before it
 (a running sum modulo two) tells each range how it begins.  A range then owns
 the records that start in it; it reads on to the end of its last one.  Nothing
 is read whole: a task streams ``_CHUNK`` bytes at a time and holds one record.
+Behind its end a range reads in small pieces, and no further where no record
+starts in it, so short ranges of a long file don't read the file again and again.
+Neighbouring short ranges go to one task, which opens their file once.
 
 Lines end in \\n or \\r\\n.  Cells are parsed by Spark's ``from_csv``."""
 
@@ -24,28 +27,66 @@ from spendlake.sources import files
 BOM = b"\xef\xbb\xbf"
 RANGE_BYTES = 64 << 20
 _CHUNK = 1 << 20
+_SPAN, _BEHIND = 32 << 10, 1 << 10
 _QUOTE, _BREAK = ord('"'), ord("\n")
 
 
 def byte_ranges(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, start, stop) of every range of every file; a byte order mark is not cut."""
+    """(path, start, stop, size) of every range of every file; a byte order mark is not cut.
+
+    The workers look up the sizes, the driver has nothing to do for each file."""
     range_bytes = max(range_bytes, len(BOM))
-    sized = [(p, n) for p, n in zip(paths, files.sizes(spark, paths), strict=True) if n]
-    listed = spark.createDataFrame(sized, "path string, size long")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = []
+            for path in batch.column("path").to_pylist():
+                filesystem, place = files.open_filesystem(path)
+                lengths.append(filesystem.get_file_info(place).size)
+                if lengths[-1] is None:
+                    raise FileNotFoundError(path)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lengths, pa.int64())], ["path", "size"])
+
+    listed = files.listed(spark, paths).mapInArrow(measure, "path string, size long").filter("size > 0")
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))
     return (listed.select("path", "size", F.explode(starts).alias("start"))
-            .select("path", "start", F.least(F.col("start") + range_bytes, "size").alias("stop")))
+            .select("path", "start", F.least(F.col("start") + range_bytes, "size").alias("stop"), "size"))
 
 
 def _dealt(ranges: DataFrame) -> DataFrame:
-    """Ranges spread over the tasks, those of one file as well."""
-    return ranges.repartition(8 * ranges.sparkSession.sparkContext.defaultParallelism, "path", "start")
-
-
-def _pieces(stream, start: int, stop: int) -> Iterator[bytes]:
+    """Ranges spread over the tasks, those of one file as well; ranges of one span stay together, in order."""
+    span = F.floor(F.col("start") / _SPAN)
+    return (ranges.repartition(8 * ranges.sparkSession.sparkContext.defaultParallelism, "path", span)
+            .sortWithinPartitions("path", "start"))
+
+
+def _opened(rows: list[dict]) -> Iterator[tuple[dict, pa.NativeFile]]:
+    """Each row with its file, opened once for rows of one file that follow each other."""
+    path, stream = None, None
+    try:
+        for row in rows:
+            if row["path"] != path:
+                if stream is not None:
+                    stream.close()
+                path = row["path"]
+                filesystem, place = files.open_filesystem(path)
+                stream = filesystem.open_input_file(place)
+            yield row, stream
+    finally:
+        if stream is not None:
+            stream.close()
+
+
+def _pieces(stream, start: int, stop: int, behind: int = 0) -> Iterator[bytes]:
+    """The bytes from ``start`` to ``stop``, then on to ``behind`` in pieces that start small."""
     stream.seek(start)
-    while start < stop:
-        piece = stream.read(min(_CHUNK, stop - start))
+    step = _BEHIND
+    while start < max(stop, behind):
+        if start < stop:
+            n = min(_CHUNK, stop - start)
+        else:
+            n, step = min(_CHUNK, step, behind - start), 2 * step
+        piece = stream.read(n)
         if not piece:
             return
         start += len(piece)
@@ -57,21 +98,19 @@ def with_state(ranges: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             quotes, blank = [], []
-            for row in batch.to_pylist():
-                filesystem, place = files.open_filesystem(row["path"])
+            for row, stream in _opened(batch.to_pylist()):
                 n, empty = 0, True
-                with filesystem.open_input_file(place) as stream:
-                    for piece in _pieces(stream, row["start"], row["stop"]):
-                        n += piece.count(b'"')
-                        empty = empty and not (piece.removeprefix(BOM) if not row["start"] else piece).strip()
+                for piece in _pieces(stream, row["start"], row["stop"]):
+                    n += piece.count(b'"')
+                    empty = empty and not (piece.removeprefix(BOM) if not row["start"] else piece).strip()
                 quotes.append(n % 2)
                 blank.append(empty)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(quotes, pa.int64()), pa.array(blank, pa.bool_())],
-                                             ["path", "start", "stop", "odd", "blank"])
+                                             ["path", "start", "stop", "size", "odd", "blank"])
 
     before = W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
-    counted = _dealt(ranges).mapInArrow(count, "path string, start long, stop long, odd long, blank boolean")
-    return counted.select("path", "start", "stop",
+    counted = _dealt(ranges).mapInArrow(count, "path string, start long, stop long, size long, odd long, blank boolean")
+    return counted.select("path", "start", "stop", "size",
                           (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("quoted"),
                           F.coalesce(F.every("blank").over(before), F.lit(True)).alias("head"))
 
@@ -85,7 +124,7 @@ def _owned(stream, start: int, stop: int, size: int, quoted: bool) -> Iterator[t
     offset = start if at_start else None  # of the record being read; None: one of a range before
     held: list[bytes] = []
     place = start
-    for piece in _pieces(stream, start, size):
+    for piece in _pieces(stream, start, stop, size):
         raw = np.frombuffer(piece, np.uint8)
         inside = (np.cumsum(raw == _QUOTE) + quoted) & 1
         quoted = bool(inside[-1])
@@ -99,34 +138,34 @@ def _owned(stream, start: int, stop: int, size: int, quoted: bool) -> Iterator[t
         if offset is not None:
             held.append(piece[first:])
         place += len(piece)
+        if offset is None and place >= stop:
+            return  # the range lies within a record that starts before it
     if offset is not None and offset < size:
         yield offset, b"".join(held)
 
 
 def records(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, offset, record) of every record that is not blank, without the header."""
-    size_of = F.max("stop").over(W.partitionBy("path"))
-    ranges = with_state(byte_ranges(spark, paths, range_bytes)).withColumn("size", size_of)
+    ranges = with_state(byte_ranges(spark, paths, range_bytes))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["path", "offset", "record"], [pa.string(), pa.int64(), pa.string()]
         for batch in batches:
-            for row in batch.to_pylist():
-                filesystem, place = files.open_filesystem(row["path"])
-                out, held, head = [], 0, row["head"]
-                with filesystem.open_input_file(place) as stream:
-                    for offset, raw in _owned(stream, row["start"], row["stop"], row["size"], row["quoted"]):
-                        body = (raw.removeprefix(BOM) if offset == 0 else raw).removesuffix(b"\r")
-                        if head:  # the first record with anything in it is the header
-                            head = not body.strip()
-                        elif body:
-                            out.append((row["path"], offset, body.decode("utf-8", "replace")))
-                            held += len(body)
-                        if held >= _CHUNK:
-                            yield _batch(out, names, kinds)
-                            out, held = [], 0
-                if out:
-                    yield _batch(out, names, kinds)
+            out, held = [], 0
+            for row, stream in _opened(batch.to_pylist()):
+                head = row["head"]
+                for offset, raw in _owned(stream, row["start"], row["stop"], row["size"], row["quoted"]):
+                    body = (raw.removeprefix(BOM) if offset == 0 else raw).removesuffix(b"\r")
+                    if head:  # the first record with anything in it is the header
+                        head = not body.strip()
+                    elif body:
+                        out.append((row["path"], offset, body.decode("utf-8", "replace")))
+                        held += len(body)
+                    if held >= _CHUNK:
+                        yield _batch(out, names, kinds)
+                        out, held = [], 0
+            if out:
+                yield _batch(out, names, kinds)
 
     return _dealt(ranges).mapInArrow(read, "path string, offset long, record string")
 

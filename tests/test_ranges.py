@@ -6,11 +6,12 @@ import os
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import HEADER, write_csv
 from spendlake.plans.catalogue import QUERIES
-from spendlake.sources import ranges
+from spendlake.sources import files, ranges
 from spendlake.sources.exports import read_exports, scan, scan_ranges
 
 PIECES = ["a", "é", "中", ";", '"', "\n", " ", "x" * 30, "", "1,5", "\r\n", '""']
@@ -83,6 +84,58 @@ def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
     assert found.select("description").distinct().count() == 30_000 == found.count()
 
 
+class Counted(io.BytesIO):
+    """A stream that counts the bytes read from it."""
+    n = 0
+
+    def read(self, size=-1):
+        out = super().read(size)
+        self.n += len(out)
+        return out
+
+
+def test_short_ranges_read_little_behind_their_end():
+    """A long file's short ranges read it about twice in all, not once a range."""
+    text = b"".join(b"%d;some text\n" % k for k in range(40_000))
+    size, found = len(text), []
+    stream = Counted(text)
+    for start in range(0, size, 1000):
+        found += [raw for _, raw in ranges._owned(stream, start, min(start + 1000, size), size, False)]
+    assert found == text.splitlines() and stream.n < 3 * size
+
+
+def test_ranges_within_one_long_record_stop_at_their_end():
+    text = b'a;"' + b"x\n" * 300_000 + b'"\nb;c\n'
+    size, found = len(text), []
+    stream = Counted(text)
+    for start in range(0, size, 1000):
+        found += [raw for _, raw in ranges._owned(stream, start, min(start + 1000, size), size, 0 < start < size - 6)]
+    assert found == [text[:-5], b"b;c"] and stream.n < 4 * size
+
+
+def test_a_record_is_parsed_once(spark, tmp_path):
+    write_csv(tmp_path / "Konto 07 - 2024-02-01 08.00.00.csv", HEADER, [["2024/01/05", "-1,00", "07", "", "n", "t", "", "DKK", ""]])
+    for part in read_exports(spark, str(tmp_path), on_error="reject", range_bytes=1000):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
+def test_listed_names_and_sizes(spark, tmp_path):
+    names = ["a,b.csv", ",,.csv", "x\\y.csv", "Konto æ+ø %20.csv", "x${user.name}.csv"]
+    for k, name in enumerate(names):
+        (tmp_path / name).write_bytes(b"a" * k)
+    (tmp_path / "other.txt").write_bytes(b"a")
+    paths = files.matching(spark, f"{tmp_path}/*.csv")
+    # Hadoop takes a backslash in a path for a slash, so that file is not asked for by name
+    assert [p.rsplit("/", 1)[-1] for p in paths if "y.csv" not in p] == sorted(n for n in names if "y.csv" not in n)
+    assert files.matching(spark, f"{tmp_path}/*.none") == []
+    given = [str(tmp_path / n) for n in names]
+    found = {(r["path"].rsplit("/", 1)[-1], r["start"], r["stop"], r["size"]) for r in
+             ranges.byte_ranges(spark, given, 3).collect()}
+    assert found == {(n, s, min(s + 3, k), k) for k, n in enumerate(names) for s in range(0, k, 3)}
+    with pytest.raises(PySparkException, match="gone.csv"):
+        ranges.byte_ranges(spark, [str(tmp_path / "gone.csv")]).collect()
+
+
 def test_files_without_records(spark, tmp_path):
     (tmp_path / "empty.csv").write_bytes(b"")
     (tmp_path / "blank.csv").write_bytes(b"\xef\xbb\xbf\r\n\n \n")
