@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -76,10 +79,44 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(re.sub(r"\\(.)", r"\1", name, flags=re.S) for name in re.findall(r"(?:\\.|[^,\\])+", text, flags=re.S))
 
 
-def listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+def java_texts(spark: SparkSession, texts: list[str]):
+    """Paths as a Java array, passed on in one call: as a list there would be a call for each."""
+    return spark.sparkContext._jvm.java.util.regex.Pattern.compile("\0").split("\0".join(texts))
+
+
+def listed(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
     """Paths as rows (``path``), dealt out to the workers."""
-    tasks = max(1, min(len(paths), 8 * spark.sparkContext.defaultParallelism))
-    return spark.createDataFrame(pa.table({"path": pa.array(paths, pa.string())})).repartition(tasks, "path")
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    if not isinstance(paths, DataFrame):
+        tasks = max(1, min(len(paths), tasks))
+        paths = spark.createDataFrame(pa.table({"path": pa.array(paths, pa.string())}))
+    return paths.repartition(tasks, "path")
+
+
+def _names(folder: str) -> Iterator[str]:
+    """Names in a folder, one after the other where the file system is local; none of what is no folder."""
+    filesystem, place = open_filesystem(folder)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        if os.path.isdir(place):
+            with os.scandir(place) as found:
+                yield from (entry.name for entry in found)
+    elif filesystem.get_file_info(place).type == fs.FileType.Directory:
+        yield from (entry.base_name for entry in filesystem.get_file_info(fs.FileSelector(place)))
+
+
+def in_folder(spark: SparkSession, folder: str, ending: str) -> DataFrame:
+    """Paths (``path``) in a folder, or in those that match a glob, whose names have an ending.
+
+    A worker lists a folder and passes the names on in batches: there may be
+    more of them than the driver can hold."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in batch.column("path").to_pylist():
+                found = (f"{place.rstrip('/')}/{name}" for name in _names(place) if name.endswith(ending))
+                while some := list(islice(found, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["path"])
+
+    return listed(spark, matching(spark, folder)).mapInArrow(read, "path string")
 
 
 def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:

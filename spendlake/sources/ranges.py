@@ -31,7 +31,7 @@ _SPAN, _BEHIND = 32 << 10, 1 << 10
 _QUOTE, _BREAK = ord('"'), ord("\n")
 
 
-def byte_ranges(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+def byte_ranges(spark: SparkSession, paths: list[str] | DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, start, stop, size) of every range of every file; a byte order mark is not cut.
 
     The workers look up the sizes, the driver has nothing to do for each file."""
@@ -144,7 +144,7 @@ def _owned(stream, start: int, stop: int, size: int, quoted: bool) -> Iterator[t
         yield offset, b"".join(held)
 
 
-def records(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+def records(spark: SparkSession, paths: list[str] | DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, offset, record) of every record that is not blank, without the header."""
     ranges = with_state(byte_ranges(spark, paths, range_bytes))
 
